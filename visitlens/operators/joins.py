@@ -1,0 +1,28 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is shipped to every task only below this many rows (with the
+# narrow projections used here that is a few MB). Above it the join stays a
+# shuffle join, which AQE may still convert once real sizes are known.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df``.
+
+    The proof is a ``limit(max_rows + 1).count()``: it stops reading as soon as
+    the bound is exceeded, so it costs at most ``max_rows + 1`` rows of scan.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+                   max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join a fact table to a dimension, broadcasting the dimension only when
+    its size is checked to be small."""
+    return fact.join(broadcast_if_small(dim, max_rows), on=on, how=how)
