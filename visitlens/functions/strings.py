@@ -38,34 +38,30 @@ def pad_two(c: Column) -> Column:
     return F.when(F.length(c) == 2, c).otherwise(F.concat(F.lit("0"), c))
 
 
-def _fields(record: Column) -> Column:
-    # Java's split drops trailing empty fields.
-    return F.split(F.regexp_replace(record, r"\|+$", ""), r"\|")
-
+def kv_get(record: Column, key: str) -> Column:
+    """Value of the first field named ``key``; NULL when absent or empty.
 
-def _name(field: Column) -> Column:
-    return F.split(field, KV_SEP).getItem(0)
+    ``a=b=c`` yields ``b`` (the text between the first and second ``=``).
+    One anchored regex pass per lookup (codegen-friendly, no lambdas). Not
+    ``str_to_map``: that fails on duplicate keys and keeps ``b=c``.
+    """
+    pattern = r"(?:^|\|)\Q" + key + r"\E=([^|=]*)"
+    return F.nullif(F.regexp_extract(record, pattern, 1), F.lit(""))
 
 
-def kv_get(record: Column, key) -> Column:
-    """Value of the first field named ``key``; NULL when absent or empty.
+def kv_set(record: Column, key: str, value) -> Column:
+    r"""Replace the value of the first field named ``key``; unchanged if absent.
 
-    ``a=b=c`` yields ``b`` (the text between the first and second ``=``).
-    Not ``str_to_map``: that fails on duplicate keys and keeps ``b=c``.
+    One regex pass: the lazy prefix ``((?:[^|]*\|)*?)`` stops at the first
+    field whose name is ``key`` (with or without ``=value``), and only that
+    field is rewritten. Trailing empty fields are dropped first, as Java's
+    ``split`` + join does.
     """
-    first = F.get(F.filter(_fields(record), lambda f: _name(f) == _lit(key)), 0)
-    value = F.get(F.split(first, KV_SEP), 1)
-    return F.when(value != F.lit(""), value)
-
-
-def kv_set(record: Column, key, value) -> Column:
-    """Replace the value of the first field named ``key``; unchanged if absent."""
-    fields = _fields(record)
-    hit = F.array_position(F.transform(fields, lambda f: _name(f) == _lit(key)), True)
-    replaced = F.transform(
-        fields,
-        lambda f, i: F.when(i + 1 == hit, F.concat(_lit(key), F.lit(KV_SEP), _lit(value))).otherwise(f))
-    return F.array_join(replaced, FIELD_SEP)
+    pattern = r"^((?:[^|]*\|)*?)\Q" + key + r"\E(?:=[^|]*)?(?=\||$)"
+    # ``$`` and ``\`` in the new value must not act as group references.
+    safe = F.regexp_replace(_lit(value).cast("string"), r"([\\$])", r"\\$1")
+    replacement = F.concat(F.lit("$1" + key + KV_SEP), safe)
+    return F.regexp_replace(F.regexp_replace(record, r"\|+$", ""), F.lit(pattern), replacement)
 
 
 def kv_record(pairs: list[tuple[str, Column]]) -> Column:

@@ -91,7 +91,9 @@ def actions_from_events(events: DataFrame, grain: str = "day") -> DataFrame:
 def users_from_customer(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """User attributes from ``customer`` and ``nation``. Every tenth customer
     key is left out so that some sessions have no user."""
-    nations = broadcast_if_small(nation.select("n_nationkey", "n_name"), 10_000)
+    # ``nation`` is a base table: the planner sizes it from its files and
+    # broadcasts it under ``autoBroadcastJoinThreshold``, else sort-merges.
+    nations = nation.select("n_nationkey", "n_name")
     key = F.col("c_custkey")
     return (customer.where(key % 10 != 0)
             .join(nations, customer["c_nationkey"] == nations["n_nationkey"], "inner")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import java_split
+from .partitioning import spread
 
 
 def word_count(lines: DataFrame, value_col: str = "value", sep: str = " ") -> DataFrame:
@@ -17,7 +18,7 @@ def word_count(lines: DataFrame, value_col: str = "value", sep: str = " ") -> Da
     so a word that is a third of the text still reaches the shuffle as one
     partial count per task.
     """
-    words = lines.select(F.explode(java_split(F.col(value_col), sep)).alias("word"))
+    words = spread(lines).select(F.explode(java_split(F.col(value_col), sep)).alias("word"))
     return (words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("count").desc(), F.col("word")))
 
@@ -25,6 +26,6 @@ def word_count(lines: DataFrame, value_col: str = "value", sep: str = " ") -> Da
 def line_count_containing(lines: DataFrame, needle: str = "g", value_col: str = "value") -> DataFrame:
     """Identical lines that contain ``needle`` (case sensitive) with their
     number of occurrences, most frequent first, ties by line."""
-    return (lines.where(F.col(value_col).contains(needle))
+    return (spread(lines).where(F.col(value_col).contains(needle))
             .groupBy(F.col(value_col).alias("line")).agg(F.count(F.lit(1)).alias("count"))
             .orderBy(F.col("count").desc(), F.col("line")))

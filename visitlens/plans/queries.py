@@ -195,17 +195,17 @@ def q_session_kv(spark, d):
     updated = rec.select(
         "session_id", "user_id",
         fn.kv_set(F.col("record"), "step_length", fn.pad_two(F.col("step_length").cast("string"))).alias("record"))
-    kw = fn.kv_get(F.col("record"), "search_keywords")
-    return updated.select(
+    rec = F.col("record")
+    decoded = updated.select(
         "session_id", "user_id", "record",
-        kw.alias("search_keywords"),
-        fn.is_empty(kw).alias("no_keywords"),
-        fn.kv_get(F.col("record"), "click_category_ids").alias("click_category_ids"),
-        fn.kv_get(F.col("record"), "step_length").alias("step_length"),
-        fn.kv_get(F.col("record"), "visit_length").cast("bigint").alias("visit_length"),
-        fn.kv_get(F.col("record"), "city").alias("city"),
-        fn.kv_get(F.col("record"), "missing").alias("missing"),
+        fn.kv_get(rec, "search_keywords").alias("search_keywords"),
+        fn.kv_get(rec, "click_category_ids").alias("click_category_ids"),
+        fn.kv_get(rec, "step_length").alias("step_length"),
+        fn.kv_get(rec, "visit_length").cast("bigint").alias("visit_length"),
+        fn.kv_get(rec, "city").alias("city"),
+        fn.kv_get(rec, "missing").alias("missing"),
     )
+    return decoded.withColumn("no_keywords", fn.is_empty(F.col("search_keywords")))
 
 
 def q_time_normalise(spark, d):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import java_split
+from ..operators.partitioning import spread
 from ..operators.windows import (DEFAULT_LENGTH, DEFAULT_SLIDE, flatten_window, rank_hot_goods,
                                  rank_hot_searches)
 from .runner import StreamTable, output_schema, read_table, run_available
@@ -23,7 +24,7 @@ def _tokens(stream: DataFrame, value_col: str) -> DataFrame:
 
 
 def _count_words(batch: DataFrame, value_col: str) -> DataFrame:
-    return _tokens(batch, value_col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return _tokens(spread(batch), value_col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def batch_word_count(spark: SparkSession, lines: DataFrame, table: StreamTable,
