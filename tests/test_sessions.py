@@ -163,3 +163,17 @@ def test_partition_invariance(spark):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert out[1] == out[8] and out[(1, "r")] == out[(8, "r")]
+
+
+def test_task_stats_persist_per_task(spark):
+    import tempfile
+
+    from visitlens.plans.queries import QUERIES
+    from visitlens.sources import write_table
+
+    stats = QUERIES["session_task_stats"](spark, SF_SMALL)
+    path = tempfile.mkdtemp(prefix="task-stats-") + "/stats"
+    write_table(stats, path, partition_by=["task_id"])
+    back = spark.read.parquet(path)
+    assert back.count() == 4
+    assert sorted(r["task_id"] for r in back.select("task_id").collect()) == [1, 2, 3, 4]

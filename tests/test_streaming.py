@@ -95,3 +95,19 @@ def test_stream_equals_batch_twin_on_closed_windows(spark):
                                      "product", "click_count", F.col("rank").cast("long"))))
 
     assert norm(streamed.drop("batch_id")) == norm(closed)
+
+
+def test_long_running_trigger_returns_a_query(spark):
+    from visitlens.streaming.runner import read_table
+
+    src = tempfile.mkdtemp(prefix="stream-src-")
+    _write(src, "f1.txt", "x y\nx\n", 1_000_000)
+    table = StreamTable.fresh(spark, "test-trigger")
+    query = jobs.batch_word_count(spark, text_dir_stream(spark, src), table,
+                                  trigger={"processingTime": jobs.WORD_COUNT_INTERVAL})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    out = read_table(spark, table, spark.createDataFrame([], "word string, count long").schema)
+    assert sorted(rows(out, "word", "count")) == [("x", 2), ("y", 1)]

@@ -20,10 +20,14 @@ def java_split(value: Column, sep: str = " ") -> Column:
     """
     if len(sep) != 1:
         raise ValueError("only one-character separators are supported")
+    empty = F.array().cast("array<string>")
+    if sep == " ":
+        # rtrim strips exactly the trailing spaces: no regex pass per line.
+        trimmed = F.rtrim(value)
+        return F.when((trimmed == "") & (value != ""), empty).otherwise(F.split(trimmed, " "))
     esc = "\\" + sep if not sep.isalnum() else sep
     only_sep = value.rlike(f"^{esc}+$")
-    return F.when(only_sep, F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(value, f"{esc}+$", ""), esc))
+    return F.when(only_sep, empty).otherwise(F.split(F.regexp_replace(value, f"{esc}+$", ""), esc))
 
 
 def explode_tokens(df: DataFrame, value_col: str, sep: str = " ", out: str = "word") -> DataFrame:

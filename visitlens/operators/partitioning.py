@@ -13,7 +13,10 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     (tokenising whole texts). A large input already arrives in thousands of
     file splits, so there this is a no-op and adds no shuffle; a small input
     packed in one row group would otherwise be processed by a single task.
-    Counting partitions plans the scan (file listing) but runs no job.
+    Call it on a scan-level DataFrame (scan, filters, projections): counting
+    the partitions of such a plan lists files but runs no job. Under AQE,
+    counting the partitions of a plan that already contains a shuffle would
+    execute that shuffle's stages first.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

@@ -16,6 +16,7 @@ from ..functions.params import TaskParams
 from ..operators import relational as rel
 from ..operators import sessions as ses
 from ..operators import text, windows
+from ..operators.partitioning import spread
 from ..sources import parquet_table_stream, parse_delimited, read_table
 from ..streaming import jobs
 from ..streaming.runner import StreamTable
@@ -58,7 +59,8 @@ def _users(spark, d) -> DataFrame:
 
 
 def _doc_lines(spark, d) -> DataFrame:
-    return fn.document_lines(_t(spark, d, "documents").select("text"))
+    # Spread whole documents (few rows) rather than their lines (many rows).
+    return fn.document_lines(spread(_t(spark, d, "documents").select("text")))
 
 
 def _ts_text(c) -> F.Column:
@@ -267,16 +269,18 @@ def q_stream_hot_goods(spark, d):
     return _flat_text(out.drop("batch_id"))
 
 
-def _doc_line_stream(spark, d) -> DataFrame:
-    return fn.document_lines(parquet_table_stream(spark, d, "documents").select("text"))
+def _doc_stream(spark, d) -> DataFrame:
+    return parquet_table_stream(spark, d, "documents").select(F.col("text").alias("value"))
 
 
 def q_stream_running_count(spark, d):
-    return jobs.running_word_count(spark, _doc_line_stream(spark, d), StreamTable.fresh(spark, "running-count"))
+    return jobs.running_word_count(spark, _doc_stream(spark, d), StreamTable.fresh(spark, "running-count"),
+                                   multiline=True)
 
 
 def q_stream_batch_word_count(spark, d):
-    return jobs.batch_word_count(spark, _doc_line_stream(spark, d), StreamTable.fresh(spark, "batch-count"))
+    return jobs.batch_word_count(spark, _doc_stream(spark, d), StreamTable.fresh(spark, "batch-count"),
+                                 multiline=True)
 
 
 def q_stream_topic_word_count(spark, d):

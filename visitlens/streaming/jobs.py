@@ -1,7 +1,8 @@
 """Structured Streaming jobs. Each takes an unbounded DataFrame from any
 source in ``visitlens.sources.streams`` (file folder, socket, Kafka topic)
-and a :class:`StreamTable`, runs what is available, and returns the result
-table as a batch DataFrame.
+and a :class:`StreamTable`. With ``trigger=None`` it processes what is
+available and returns the result table as a batch DataFrame; with a trigger
+it starts a long-running query and returns its handle.
 
 Event time comes from a ``ts`` column; the window jobs need it as
 ``timestamp`` (not ``timestamp_ntz``) for ``withWatermark``.
@@ -12,40 +13,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import java_split
+from ..functions.text import java_split, text_lines
 from ..operators.partitioning import spread
 from ..operators.windows import (DEFAULT_LENGTH, DEFAULT_SLIDE, flatten_window, rank_hot_goods,
                                  rank_hot_searches)
-from .runner import StreamTable, output_schema, read_table, run_available
+from .runner import StreamTable, run_or_start
 
+# Micro-batch intervals of the reference's jobs (pass them as
+# ``trigger={"processingTime": ...}`` for a long-running query).
+WORD_COUNT_INTERVAL = "5 seconds"
+WINDOW_INTERVAL = "2 seconds"
 
-def _tokens(stream: DataFrame, value_col: str) -> DataFrame:
+
+def _tokens(stream: DataFrame, value_col: str, multiline: bool = False) -> DataFrame:
+    """Tokens of every value; with ``multiline`` a value is a whole text whose
+    lines are tokenised separately (as lines of a file would be)."""
+    if multiline:
+        stream = stream.select(F.explode(text_lines(F.col(value_col))).alias(value_col))
     return stream.select(F.explode(java_split(F.col(value_col))).alias("word"))
 
 
-def _count_words(batch: DataFrame, value_col: str) -> DataFrame:
-    return _tokens(spread(batch), value_col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+def _count_words(batch: DataFrame, value_col: str, multiline: bool = False) -> DataFrame:
+    return (_tokens(spread(batch), value_col, multiline)
+            .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
 
 def batch_word_count(spark: SparkSession, lines: DataFrame, table: StreamTable,
-                     value_col: str = "value") -> DataFrame:
+                     value_col: str = "value", multiline: bool = False, trigger: dict | None = None):
     """Word counts of each micro-batch on its own (no state carried between
     batches): ``(word, count, batch_id)``."""
     def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
-        return _count_words(batch, value_col)
+        return _count_words(batch, value_col, multiline)
 
-    run_available(lines, table, per_batch, "append")
-    return read_table(spark, table, output_schema(spark, lines, per_batch))
+    return run_or_start(spark, lines, table, per_batch, "append", trigger)
 
 
-def topic_word_count(spark: SparkSession, messages: DataFrame, table: StreamTable) -> DataFrame:
+def topic_word_count(spark: SparkSession, messages: DataFrame, table: StreamTable,
+                     trigger: dict | None = None):
     """Per-batch word counts over the ``value`` of ``key, value`` messages
     (a Kafka topic, or any stream with those columns)."""
-    return batch_word_count(spark, messages.select("value"), table, "value")
+    return batch_word_count(spark, messages.select("value"), table, "value", trigger=trigger)
 
 
 def running_word_count(spark: SparkSession, lines: DataFrame, table: StreamTable,
-                       value_col: str = "value", output_mode: str = "update") -> DataFrame:
+                       value_col: str = "value", output_mode: str = "update",
+                       multiline: bool = False, trigger: dict | None = None):
     """Total per word since the first batch, kept in the state store and
     restored from the checkpoint on restart. Keys never expire.
 
@@ -54,14 +66,18 @@ def running_word_count(spark: SparkSession, lines: DataFrame, table: StreamTable
     way the current total of a word is its value in the latest batch that
     wrote it: ``(word, count)``.
     """
-    counts = _tokens(lines, value_col).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-    run_available(counts, table, lambda batch, _id: batch, output_mode)
-    history = read_table(spark, table, counts.schema)
+    counts = _tokens(lines, value_col, multiline).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    started = run_or_start(spark, counts, table, lambda batch, _id: batch, output_mode, trigger)
+    return started if trigger is not None else current_totals(started)
+
+
+def current_totals(history: DataFrame) -> DataFrame:
+    """Latest total per word from the per-batch updates of a running count."""
     return history.groupBy("word").agg(F.max_by("count", "batch_id").alias("count"))
 
 
 def _windowed_top(spark: SparkSession, events: DataFrame, table: StreamTable, keys: list[str],
-                  out: str, rank, length: str, slide: str, delay: str, n: int) -> DataFrame:
+                  out: str, rank, length: str, slide: str, delay: str, n: int, trigger: dict | None):
     counts = (events.withWatermark("ts", delay)
               .groupBy(F.window("ts", length, slide).alias("window"), *keys)
               .agg(F.count(F.lit(1)).alias(out)))
@@ -71,22 +87,21 @@ def _windowed_top(spark: SparkSession, events: DataFrame, table: StreamTable, ke
         # its end: ranking inside the batch is therefore final.
         return flatten_window(rank(batch, n))
 
-    run_available(counts, table, per_batch, "append")
-    return read_table(spark, table, output_schema(spark, counts, per_batch))
+    return run_or_start(spark, counts, table, per_batch, "append", trigger)
 
 
 def hot_search_stream(spark: SparkSession, searches: DataFrame, table: StreamTable,
                       length: str = DEFAULT_LENGTH, slide: str = DEFAULT_SLIDE,
-                      delay: str = "10 seconds", n: int = 3) -> DataFrame:
+                      delay: str = "10 seconds", n: int = 3, trigger: dict | None = None):
     """Top-``n`` keywords of every closed sliding window, from ``(ts, keyword)``."""
     return _windowed_top(spark, searches, table, ["keyword"], "search_count", rank_hot_searches,
-                         length, slide, delay, n)
+                         length, slide, delay, n, trigger)
 
 
 def hot_goods_stream(spark: SparkSession, goods: DataFrame, table: StreamTable,
                      length: str = DEFAULT_LENGTH, slide: str = DEFAULT_SLIDE,
-                     delay: str = "10 seconds", n: int = 3) -> DataFrame:
+                     delay: str = "10 seconds", n: int = 3, trigger: dict | None = None):
     """Top-``n`` products per category of every closed sliding window, from
     ``(ts, category, product)``."""
     return _windowed_top(spark, goods, table, ["category", "product"], "click_count", rank_hot_goods,
-                         length, slide, delay, n)
+                         length, slide, delay, n, trigger)

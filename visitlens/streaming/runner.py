@@ -82,3 +82,15 @@ def output_schema(spark: SparkSession, stream: DataFrame, batch_fn: BatchFn):
     """Schema of ``batch_fn``'s result, found by planning it on an empty batch."""
     empty = spark.createDataFrame([], stream.schema)
     return batch_fn(empty, 0).schema
+
+
+def run_or_start(spark: SparkSession, stream: DataFrame, table: StreamTable, batch_fn: BatchFn,
+                 output_mode: str, trigger: dict | None):
+    """``trigger=None``: process what is available, stop, and return the
+    result table as a DataFrame. Otherwise start a long-running query with
+    that trigger (e.g. ``{"processingTime": "5 seconds"}``) and return its
+    handle; read the table later with :func:`read_table`."""
+    if trigger is None:
+        run_available(stream, table, batch_fn, output_mode)
+        return read_table(spark, table, output_schema(spark, stream, batch_fn))
+    return start_to_table(stream, table, batch_fn, output_mode, trigger)
