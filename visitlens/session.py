@@ -27,6 +27,8 @@ BASE_CONF = {
     # in RocksDB off the JVM heap, so a large key set does not cause GC storms.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit a change log per batch instead of uploading full snapshots.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
