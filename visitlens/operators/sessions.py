@@ -238,15 +238,43 @@ def ratio_column_names() -> list[str]:
             + [f"step_length_{b}_ratio" for b, _, _ in FINE_STEP_BUCKETS])
 
 
+def session_day_partials(actions: DataFrame) -> DataFrame:
+    """Partial session aggregates per ``(session_id, date)``: the exact
+    building blocks of any session restricted to whole days."""
+    kw = F.col("search_keyword")
+    return actions.groupBy("session_id", "date").agg(
+        F.min("user_id").alias("user_id"),
+        F.collect_set(F.when(kw != "", kw)).alias("keyword_set"),
+        F.collect_set("click_category_id").alias("category_set"),
+        F.count(F.lit(1)).alias("steps"),
+        F.min("action_time").alias("first_time"),
+        F.max("action_time").alias("last_time"),
+    )
+
+
+def merge_day_partials(partials: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Sessions from their day partials; same columns as :func:`session_agg`.
+    The gathered lists hold at most one set per day of the session."""
+    return partials.groupBy(*keys).agg(
+        F.min("user_id").alias("user_id"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("keyword_set")))).alias("search_keywords"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("category_set")))).alias("click_category_ids"),
+        F.sum("steps").alias("step_length"),
+        whole_seconds_between(F.min("first_time"), F.max("last_time")).alias("visit_length"),
+    )
+
+
 def session_task_stats(spark: SparkSession, actions: DataFrame, users: DataFrame,
                        tasks: list[TaskParams]) -> DataFrame:
     """One row per task: ``task_id, session_count`` and the 15 fine-bucket shares.
 
-    All tasks run in one job. Each action is tagged with the tasks whose date
-    range holds it (at most ``len(tasks)`` copies; the union of the ranges is
-    pushed to the scan), sessions are built per ``(task_id, session_id)``, the
-    task's own filter is applied, and one ``groupBy(task_id)`` counts buckets.
-    A task that matches nothing still gets a row (0 sessions, NULL shares).
+    All tasks run in one job. Actions are first reduced to per-day session
+    partials (the union of the task date ranges is pushed to the scan); each
+    partial is then tagged with the tasks whose range holds its day, so the
+    fan-out per task grows with session-days, not with actions. Sessions are
+    merged per ``(task_id, session_id)``, each task's own filter is applied
+    with one ``CASE``, and one ``groupBy(task_id)`` counts buckets. A task that
+    matches nothing still gets a row (0 sessions, NULL shares).
     """
     ids = [t.task_id for t in tasks]
     if len(set(ids)) != len(ids):
@@ -254,11 +282,20 @@ def session_task_stats(spark: SparkSession, actions: DataFrame, users: DataFrame
     starts = [t.start_date for t in tasks]
     ends = [t.end_date for t in tasks]
     scan = date_range(actions, None if None in starts else min(starts), None if None in ends else max(ends))
-    tags = F.array(*[
-        F.when(_date_cond(actions, t.start_date, t.end_date) if (t.start_date or t.end_date) else F.lit(True),
-               F.lit(t.task_id)) for t in tasks])
-    tagged = scan.withColumn("task_id", F.explode(F.filter(tags, lambda x: x.isNotNull())))
-    per_task = session_agg(tagged, keys=("task_id", "session_id"))
+    day = F.col("date")
+
+    def holds(t: TaskParams) -> Column:
+        cond = F.lit(True)
+        if t.start_date is not None:
+            cond = cond & (day >= F.lit(t.start_date))
+        if t.end_date is not None:
+            cond = cond & (day <= F.lit(t.end_date))
+        return cond
+
+    tags = F.array(*[F.when(holds(t), F.lit(t.task_id)) for t in tasks])
+    partials = session_day_partials(scan)
+    tagged = partials.withColumn("task_id", F.explode(F.filter(tags, lambda x: x.isNotNull())))
+    per_task = merge_day_partials(tagged, ("task_id", "session_id"))
     dim = broadcast_if_small(users.select("user_id", *USER_ATTRIBUTES))
     joined = per_task.join(dim, "user_id", "inner")
     keep = reduce(lambda acc, t: acc.when(F.col("task_id") == t.task_id, task_predicate(t)),
