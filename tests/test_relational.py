@@ -84,3 +84,17 @@ def test_group_collect_multiset_and_count_by_key(spark):
 def test_count_by_position_shows_null(spark):
     df = spark.createDataFrame([(1, 2, 3, "x"), (1, 2, 3, None), (1, 2, 3, None)], "a int, b int, c int, d string")
     assert sorted(rows(rel.count_by_position(df, 3))) == [("null", 2), ("x", 1)]
+
+
+def test_top_n_takes_ordered_without_global_sort(spark):
+    df = spark.createDataFrame([(w, c) for w, c in [("a", 5), ("b", 9), ("c", 5), ("d", 1)]], "word string, count long")
+    top = rel.top_n(df, [F.col("count").desc(), F.col("word")], 3)
+    assert rows(top) == [("b", 9), ("a", 5), ("c", 5)]
+    assert "TakeOrderedAndProject" in explain_text(top)
+
+
+def test_parameterised_sql_binds_values(spark):
+    df = spark.createDataFrame([(3, "x", 18), (1, "y", 16), (2, "z", 12)], "id int, name string, age int")
+    out = rel.sql(spark, "select * from students where age <= :max_age order by id", {"students": df},
+                  args={"max_age": 16})
+    assert rows(out) == [(1, "y", 16), (2, "z", 12)]

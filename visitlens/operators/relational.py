@@ -27,17 +27,26 @@ def filter_order(df: DataFrame, column: str, max_value, order_by: list[str]) ->
     return df.where(F.col(column) <= F.lit(max_value)).orderBy(*order_by)
 
 
+def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows by ``order`` (which must end in a unique
+    tie-break). Planned as ``TakeOrderedAndProject``: every task keeps an
+    ``n``-row heap and only those rows meet in one place, no global sort."""
+    return df.orderBy(*order).limit(n)
+
+
 def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     """Name DataFrames for ``spark.sql`` (session-scoped temporary views)."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)
 
 
-def sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run SQL over named views. Catalyst rewrites a comma join with an
+def sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = None,
+        args: dict | None = None) -> DataFrame:
+    """Run SQL over named views, with ``:name`` parameters bound as values
+    (never spliced into the text). Catalyst rewrites a comma join with an
     equality predicate into an equi-join and picks broadcast or sort-merge."""
     register_views(spark, views or {})
-    return spark.sql(text)
+    return spark.sql(text, args=args) if args else spark.sql(text)
 
 
 def secondary_sort(df: DataFrame, keys: list[tuple[str, bool]], tiebreak: list[str] | None = None) -> DataFrame:

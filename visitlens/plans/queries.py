@@ -43,6 +43,7 @@ TIME_TEXT_BOUND = "12:00:00"
 LINE_NEEDLE = "g"
 EVEN_COLUMN = "l_linenumber"
 AGE_LIMIT = 16
+TOP_WORDS = 3
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -73,6 +74,11 @@ def q_word_count(spark, d):
     return text.word_count(_doc_lines(spark, d))
 
 
+def q_top_words(spark, d):
+    counts = text.word_count(_doc_lines(spark, d))
+    return rel.top_n(counts, [F.col("count").desc(), F.col("word")], TOP_WORDS)
+
+
 def q_line_count_containing(spark, d):
     return text.line_count_containing(_doc_lines(spark, d), LINE_NEEDLE)
 
@@ -99,10 +105,13 @@ def q_filter_even(spark, d):
     return rel.filter_even(li, EVEN_COLUMN)
 
 
+FILTER_ORDER_SQL = "select * from students where age <= :max_age order by id"
+
+
 def q_filter_order(spark, d):
-    cust = _t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                                           F.col("c_nationkey").alias("age"))
-    return rel.filter_order(cust, "age", AGE_LIMIT, ["id"])
+    students = _t(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                                               F.col("c_nationkey").alias("age"))
+    return rel.sql(spark, FILTER_ORDER_SQL, {"students": students}, args={"max_age": AGE_LIMIT})
 
 
 INNER_JOIN_SQL = ("select st.c_custkey as id, st.c_name as name, sc.o_orderkey as order_key, "
@@ -291,6 +300,7 @@ def q_stream_topic_word_count(spark, d):
 
 QUERIES: dict[str, QueryFn] = {
     "word_count": q_word_count,
+    "top_words": q_top_words,
     "line_count_containing": q_line_count_containing,
     "parse_delimited": q_parse_delimited,
     "map_double": q_map_double,
