@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,11 +14,10 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from visitlens.session import build_session
 
-    scratch = tempfile.mkdtemp(prefix="visitlens-tests-")
+    # The shared folder comes from spark.checkpoint.dir when the environment
+    # sets it; visitlens.session.shared_dir makes a private one otherwise.
     session = build_session("local[4]", 4, app_name="visitlens-tests", extra={
         "spark.ui.showConsoleProgress": "false",
-        # Tests own their shared folder (a cluster sets spark.checkpoint.dir).
-        "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
     })
     yield session
     session.stop()

@@ -18,7 +18,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     counting the partitions of a plan that already contains a shuffle would
     execute that shuffle's stages first.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

@@ -58,21 +58,28 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by driver and executors, for stream checkpoints and
     lineage-cutting tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only a local-mode
-    session without that setting (tests, the laptop) gets a private folder,
-    which is then recorded in the session so later calls agree.
+    Read from ``spark.checkpoint.dir`` (set by the cluster) or the context's
+    checkpoint folder. Only a local-mode session without either gets a
+    private folder, registered with ``setCheckpointDir`` so later calls agree.
     """
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # e.g. a Spark Connect session: configuration only
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: streaming jobs need a folder every executor can reach")
     path = tempfile.mkdtemp(prefix="visitlens-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    if sc is None:
+        return path
+    sc.setCheckpointDir(path)  # later calls read it back through getCheckpointDir
+    return (sc.getCheckpointDir() or path).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
