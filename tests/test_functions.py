@@ -83,3 +83,13 @@ def test_params_spark_side(spark):
     m = fn.parse_params(F.col("p"))
     assert rows(df.select(fn.param_first(m, "startDate"), fn.param_first(m, "cities"),
                           fn.param_first(m, "sex"))) == [("2024-01-01", "a,b", None)]
+
+
+def test_unparsed_times_are_counted_on_the_side(spark):
+    from visitlens.operators.metrics import observe_counts
+
+    df = spark.createDataFrame([("2019-04-08 5:07:08",), ("zz",), (None,)], "t string")
+    parsed = fn.parse_time(F.col("t"))
+    observed, obs = observe_counts(df.select(parsed.alias("p")), "t1", unparsed=F.col("p").isNull())
+    assert observed.count() == 3
+    assert obs.get == {"unparsed": 2}

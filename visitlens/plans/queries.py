@@ -16,6 +16,7 @@ from ..functions.params import TaskParams
 from ..operators import relational as rel
 from ..operators import sessions as ses
 from ..operators import text, windows
+from ..operators.metrics import observe_counts
 from ..operators.partitioning import spread
 from ..sources import parquet_table_stream, parse_delimited, read_table
 from ..streaming import jobs
@@ -225,6 +226,8 @@ def q_time_normalise(spark, d):
     ev = _t(spark, d, "events").select("event_id", F.date_format("ts", fn.dates.FORMAT_TIME_UNPADDED).alias("t"))
     t = F.col("t")
     parsed = fn.parse_time(t)
+    # Rows whose time text does not parse are kept (NULL) and counted on the side.
+    ev, _ = observe_counts(ev, "time_normalise", unparsed=parsed.isNull())
     day = F.get(F.split(t, " "), 0)
     noon = F.concat(day, F.lit(" " + TIME_TEXT_BOUND))
     midnight = F.concat(day, F.lit(" 0:00:00"))

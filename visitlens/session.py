@@ -33,12 +33,14 @@ BASE_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "visitlens", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "visitlens", extra: dict | None = None,
+                  max_partition_bytes: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the package defaults.
 
     On a cluster pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to roughly input bytes / 128 MB (AQE coalesces the
-    excess at runtime).
+    ``shuffle_partitions`` to roughly shuffled bytes / 128 MB (AQE coalesces
+    the excess at runtime). ``max_partition_bytes`` (e.g. ``"32m"``) makes
+    scan splits smaller for CPU-heavy per-row work such as tokenising text.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -46,6 +48,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if max_partition_bytes:
+        conf["spark.sql.files.maxPartitionBytes"] = max_partition_bytes
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
