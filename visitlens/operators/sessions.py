@@ -19,7 +19,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..functions.dates import whole_seconds_between
 from ..functions.numbers import half_up_share
 from ..functions.params import TaskParams
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, join_dimension
 
 GRAINS = ("day", "week", "month")
 
@@ -48,8 +48,6 @@ COARSE_SPEC = [("visit_length", COARSE_VISIT_BUCKETS), ("step_length", COARSE_ST
 FINE_SPEC = [("visit_length", FINE_VISIT_BUCKETS), ("step_length", FINE_STEP_BUCKETS)]
 # ---------------------------------------------------------------------------
 
-SESSION_COLUMNS = ["session_id", "user_id", "search_keywords", "click_category_ids",
-                   "step_length", "visit_length"]
 USER_ATTRIBUTES = ["age", "professional", "city", "sex"]
 
 
@@ -156,8 +154,7 @@ def sessions_as_text(sessions: DataFrame) -> DataFrame:
 def session_user_join(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Sessions with their user's age, profession, city and sex (inner join:
     sessions of unknown users drop out)."""
-    dim = broadcast_if_small(users.select("user_id", *USER_ATTRIBUTES))
-    return sessions.join(dim, "user_id", "inner").select(
+    return join_dimension(sessions, users.select("user_id", *USER_ATTRIBUTES), "user_id").select(
         "session_id", "search_keywords", "click_category_ids", "step_length", "visit_length",
         *USER_ATTRIBUTES, "user_id")
 
@@ -233,11 +230,6 @@ def session_totals(sessions: DataFrame, users: DataFrame) -> DataFrame:
                  F.count("known_user").alias("sessions_with_user")))
 
 
-def ratio_column_names() -> list[str]:
-    return ([f"visit_length_{b}_ratio" for b, _, _ in FINE_VISIT_BUCKETS]
-            + [f"step_length_{b}_ratio" for b, _, _ in FINE_STEP_BUCKETS])
-
-
 def session_day_partials(actions: DataFrame) -> DataFrame:
     """Partial session aggregates per ``(session_id, date)``: the exact
     building blocks of any session restricted to whole days."""
