@@ -111,3 +111,15 @@ def test_long_running_trigger_returns_a_query(spark):
         query.stop()
     out = read_table(spark, table, spark.createDataFrame([], "word string, count long").schema)
     assert sorted(rows(out, "word", "count")) == [("x", 2), ("y", 1)]
+
+
+def test_running_count_complete_mode_matches_update_mode(spark):
+    src = tempfile.mkdtemp(prefix="stream-src-")
+    _write(src, "f1.txt", "x y\nx\n", 1_000_000)
+    _write(src, "f2.txt", "x z\n", 2_000_000)
+    got = {}
+    for mode in ("update", "complete"):
+        stream = text_dir_stream(spark, src, max_files_per_trigger=1)
+        got[mode] = dict(rows(jobs.running_word_count(spark, stream, StreamTable.fresh(spark, f"test-{mode}"),
+                                                      output_mode=mode)))
+    assert got["update"] == got["complete"] == {"x": 3, "y": 1, "z": 1}

@@ -10,16 +10,18 @@ from .files import table_path
 
 
 def parquet_table_stream(spark: SparkSession, base_dir: str, name: str,
-                         max_files_per_trigger: int = 1) -> DataFrame:
+                         max_files_per_trigger: int | None = None) -> DataFrame:
     """A table folder read as a file stream: every new parquet file is new input.
 
     The schema is taken from the existing file footer (a stream cannot infer it).
+    By default a micro-batch takes every new file; ``max_files_per_trigger``
+    caps it (size it so one batch is a few GB per executor, not one file).
     """
     schema = spark.read.parquet(table_path(base_dir, name)).schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", str(max_files_per_trigger))
-            .parquet(base_dir))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(base_dir)
 
 
 def text_dir_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
