@@ -64,3 +64,18 @@ def whole_seconds_between(start: Column, end: Column) -> Column:
     """Seconds from ``start`` to ``end`` after cutting both to whole seconds,
     as a ``yyyy-MM-dd H:mm:ss`` text round trip would."""
     return F.timestamp_diff("SECOND", F.date_trunc("second", start), F.date_trunc("second", end))
+
+
+def wall_clock_as_instant(wall: Column, session_tz: str) -> Column:
+    """A ``timestamp_ntz`` wall-clock value as the ``timestamp`` instant of that
+    wall clock in UTC, whatever the session time zone (``withWatermark`` and
+    streaming windows need ``timestamp``; a plain cast would read the wall
+    clock in the session zone and shift windows in non-UTC sessions)."""
+    instant = wall.cast("timestamp")
+    return instant if session_tz == "UTC" else F.from_utc_timestamp(instant, session_tz)
+
+
+def instant_as_wall_clock(instant: Column, session_tz: str) -> Column:
+    """Inverse of :func:`wall_clock_as_instant`: back to ``timestamp_ntz``."""
+    shifted = instant if session_tz == "UTC" else F.to_utc_timestamp(instant, session_tz)
+    return shifted.cast("timestamp_ntz")

@@ -233,7 +233,8 @@ def q_time_normalise(spark, d):
     midnight = F.concat(day, F.lit(" 0:00:00"))
     return ev.select(
         "event_id", t.alias("action_time"),
-        F.unix_seconds(parsed).alias("epoch_seconds"),
+        # epoch of the wall-clock text read as UTC, whatever the session zone
+        F.unix_seconds(fn.wall_clock_as_instant(parsed.cast("timestamp_ntz"), _tz(spark))).alias("epoch_seconds"),
         fn.format_time(parsed).alias("time_text"),
         fn.format_date(parsed).alias("date_text"),
         fn.date_hour(t).alias("date_hour"),
@@ -263,22 +264,34 @@ def q_hot_goods(spark, d):
 
 # -- streaming -------------------------------------------------------------------
 
+def _tz(spark) -> str:
+    return spark.conf.get("spark.sql.session.timeZone")
+
+
 def _event_stream(spark, d) -> DataFrame:
-    return parquet_table_stream(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    ts = fn.wall_clock_as_instant(F.col("ts"), _tz(spark))
+    return parquet_table_stream(spark, d, "events").withColumn("ts", ts)
+
+
+def _stream_windows_text(spark, out: DataFrame) -> DataFrame:
+    tz = _tz(spark)
+    return _flat_text(out.drop("batch_id").withColumns({
+        "window_start": fn.instant_as_wall_clock(F.col("window_start"), tz),
+        "window_end": fn.instant_as_wall_clock(F.col("window_end"), tz)}))
 
 
 def q_stream_hot_search(spark, d):
     searches = windows.searches_from_events(_event_stream(spark, d))
     out = jobs.hot_search_stream(spark, searches, StreamTable.fresh(spark, "hot-search"),
                                  HOT_LENGTH, HOT_SLIDE, HOT_DELAY)
-    return _flat_text(out.drop("batch_id"))
+    return _stream_windows_text(spark, out)
 
 
 def q_stream_hot_goods(spark, d):
     goods = windows.goods_from_events(_event_stream(spark, d))
     out = jobs.hot_goods_stream(spark, goods, StreamTable.fresh(spark, "hot-goods"),
                                 HOT_LENGTH, HOT_SLIDE, HOT_DELAY)
-    return _flat_text(out.drop("batch_id"))
+    return _stream_windows_text(spark, out)
 
 
 def _doc_stream(spark, d) -> DataFrame:
