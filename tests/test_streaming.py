@@ -75,7 +75,7 @@ def test_late_row_dropped_by_watermark(spark):
 
 
 def test_short_lines_are_skipped(spark):
-    lines = spark.createDataFrame([("gx", _stamp(1)), ("gx iphone", _stamp(2)), ("gx iphone phone", _stamp(3))],
+    lines = spark.createDataFrame([("u1", _stamp(1)), ("u1 iphone", _stamp(2)), ("u1 iphone phone", _stamp(3))],
                                   "value string, ts timestamp")
     assert rows(windows.searches_from_lines(lines), "keyword") == [("iphone",), ("iphone",)]
     assert rows(windows.goods_from_lines(lines), "category", "product") == [("phone", "iphone")]
