@@ -202,6 +202,7 @@ def oracle_sql() -> dict[str, str]:
     fine = joined_sql(q.FILTER_TASK, q.FINE_GRAIN)
     return {
         "word_count": WORD_COUNT_SQL,
+        "text_file_word_count": WORD_COUNT_SQL,
         "top_words": f"select word, count from ({WORD_COUNT_SQL}) w order by count desc, word limit {q.TOP_WORDS}",
         "line_count_containing": (f"select line, count(*) as count from ({DOC_LINES}) l "
                                   f"where contains(line, '{q.LINE_NEEDLE}') group by line"),

@@ -18,7 +18,8 @@ from ..operators import sessions as ses
 from ..operators import text, windows
 from ..operators.metrics import observe_counts
 from ..operators.partitioning import spread
-from ..sources import parquet_table_stream, parse_delimited, read_table
+from ..session import fresh_path
+from ..sources import parquet_table_stream, parse_delimited, read_lines, read_table
 from ..streaming import jobs
 from ..streaming.runner import StreamTable
 
@@ -75,6 +76,15 @@ def q_word_count(spark, d):
     return text.word_count(_doc_lines(spark, d))
 
 
+def q_text_file_word_count(spark, d):
+    """Word count over real text files: the documents are written as text
+    (one file line per text line) to the shared folder, then read back with
+    ``spark.read.text`` as any folder of text files would be."""
+    path = fresh_path(spark, "documents-text")
+    spread(_t(spark, d, "documents").select("text")).write.text(path)
+    return text.word_count(read_lines(spark, path))
+
+
 def q_top_words(spark, d):
     counts = text.word_count(_doc_lines(spark, d))
     return rel.top_n(counts, [F.col("count").desc(), F.col("word")], TOP_WORDS)
@@ -316,6 +326,7 @@ def q_stream_topic_word_count(spark, d):
 
 QUERIES: dict[str, QueryFn] = {
     "word_count": q_word_count,
+    "text_file_word_count": q_text_file_word_count,
     "top_words": q_top_words,
     "line_count_containing": q_line_count_containing,
     "parse_delimited": q_parse_delimited,
