@@ -226,7 +226,8 @@ where rk <= 3""",
         "count_by_column": ("select coalesce(cast(event_type as varchar), 'null') as key, count(*) as count "
                             "from events group by 1"),
         "date_range_scan": (f"select date, user_id, session_id, page_id, strftime(action_time, {TS}) as action_time, "
-                            f"search_keyword, click_category_id, click_product_id, order_category_ids, "
+                            f"search_keyword, cast(click_category_id as varchar) as click_category_id, "
+                            f"cast(click_product_id as varchar) as click_product_id, order_category_ids, "
                             f"order_product_ids, pay_category_ids, pay_product_ids from ({day_range_acts}) a"),
         "session_agg": f"select {SESSION_TEXT_COLS} from ({sessions_sql(actions_sql('day'))}) s",
         "session_user_join": f"select {JOINED_TEXT_COLS} from ({joined_sql(None, 'day', lo, hi)}) j",

@@ -162,7 +162,11 @@ def q_count_by_column(spark, d):
 
 def q_date_range_scan(spark, d):
     acts = ses.date_range(_actions(spark, d), *SESSION_RANGE)
-    return acts.withColumn("action_time", _ts_text("action_time"))
+    # Nullable ids as text: NULL stays NULL and values compare the same in any
+    # client (a nullable bigint becomes a float in pandas).
+    return acts.withColumns({"action_time": _ts_text("action_time"),
+                             "click_category_id": F.col("click_category_id").cast("string"),
+                             "click_product_id": F.col("click_product_id").cast("string")})
 
 
 def q_session_agg(spark, d):
