@@ -123,3 +123,16 @@ def test_running_count_complete_mode_matches_update_mode(spark):
         got[mode] = dict(rows(jobs.running_word_count(spark, stream, StreamTable.fresh(spark, f"test-{mode}"),
                                                       output_mode=mode)))
     assert got["update"] == got["complete"] == {"x": 3, "y": 1, "z": 1}
+
+
+def test_parquet_folder_stream_picks_up_new_part_files(spark):
+    folder = tempfile.mkdtemp(prefix="stream-parquet-") + "/events"
+    spark.createDataFrame([(_stamp(1), "a b")], "ts timestamp, value string").write.parquet(folder)
+    from visitlens.sources import parquet_stream
+
+    table = StreamTable.fresh(spark, "test-parquet-folder")
+    first = jobs.batch_word_count(spark, parquet_stream(spark, folder), table)
+    assert sorted(rows(first, "word", "count")) == [("a", 1), ("b", 1)]
+    spark.createDataFrame([(_stamp(2), "a")], "ts timestamp, value string").write.mode("append").parquet(folder)
+    second = jobs.batch_word_count(spark, parquet_stream(spark, folder), table)
+    assert sorted(rows(second, "batch_id", "word", "count")) == [(0, "a", 1), (0, "b", 1), (1, "a", 1)]

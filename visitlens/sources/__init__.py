@@ -3,7 +3,7 @@
 from .files import parse_delimited, read_lines, read_table, table_path
 from .jdbc import read_jdbc
 from .sinks import write_jdbc, write_table
-from .streams import parquet_table_stream, socket_lines, text_dir_stream, topic_stream
+from .streams import parquet_stream, parquet_table_stream, socket_lines, text_dir_stream, topic_stream
 
 __all__ = ["parse_delimited", "read_lines", "read_table", "table_path", "read_jdbc", "write_jdbc", "write_table",
-           "parquet_table_stream", "socket_lines", "text_dir_stream", "topic_stream"]
+           "parquet_stream", "parquet_table_stream", "socket_lines", "text_dir_stream", "topic_stream"]

@@ -9,19 +9,31 @@ from pyspark.sql import functions as F
 from .files import table_path
 
 
-def parquet_table_stream(spark: SparkSession, base_dir: str, name: str,
-                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """A table folder read as a file stream: every new parquet file is new input.
+def parquet_stream(spark: SparkSession, path: str, schema=None, glob: str | None = None,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """New parquet files under ``path`` as a stream (a table folder of part files).
 
-    The schema is taken from the existing file footer (a stream cannot infer it).
-    By default a micro-batch takes every new file; ``max_files_per_trigger``
-    caps it (size it so one batch is a few GB per executor, not one file).
+    A stream cannot infer its schema: pass it, or it is read once from the
+    files already there. By default a micro-batch takes every new file;
+    ``max_files_per_trigger`` caps it (size it so one batch is a few GB per
+    executor, not one file).
     """
-    schema = spark.read.parquet(table_path(base_dir, name)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(base_dir)
+    return reader.parquet(path)
+
+
+def parquet_table_stream(spark: SparkSession, base_dir: str, name: str,
+                         max_files_per_trigger: int | None = None) -> DataFrame:
+    """The ``<base_dir>/<name>.parquet`` table of the test layout as a stream."""
+    schema = spark.read.parquet(table_path(base_dir, name)).schema
+    return parquet_stream(spark, base_dir, schema, glob=f"{name}.parquet",
+                          max_files_per_trigger=max_files_per_trigger)
 
 
 def text_dir_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
