@@ -86,3 +86,46 @@ def test_half_up_share(spark, pairs):
     df = spark.createDataFrame(pairs, "n long, t long")
     got = [r[0] for r in df.select(fn.half_up_share(F.col("n"), F.col("t"))).collect()]
     assert got == [share(n, t) for n, t in pairs]
+
+
+ACTION = st.tuples(
+    st.sampled_from(["s1", "s2", "s3"]),
+    st.integers(0, 3 * 86400 * 10**6),                        # microseconds after T0
+    st.one_of(st.none(), st.sampled_from(["", "a", "b", "ab", "火锅"])),
+    st.one_of(st.none(), st.integers(0, 20)),
+)
+
+
+def session_model(actions):
+    out = {}
+    for sid, micros, kw, cat in actions:
+        s = out.setdefault(sid, {"kw": set(), "cat": set(), "n": 0, "t": []})
+        if kw:
+            s["kw"].add(kw)
+        if cat is not None:
+            s["cat"].add(cat)
+        s["n"] += 1
+        s["t"].append(micros // 10**6)                          # whole seconds, as text times would be
+    return {sid: (sorted(s["kw"]), sorted(s["cat"]), s["n"], max(s["t"]) - min(s["t"])) for sid, s in out.items()}
+
+
+@SETTINGS
+@given(st.lists(ACTION, min_size=1, max_size=80))
+def test_session_agg_matches_model(spark, actions):
+    import datetime as dt
+
+    from visitlens.operators.sessions import merge_day_partials, session_agg, session_day_partials
+
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame(
+        [(sid, 1, t0 + dt.timedelta(microseconds=m), kw, cat) for sid, m, kw, cat in actions],
+        "session_id string, user_id long, action_time timestamp_ntz, search_keyword string, click_category_id long")
+    def as_dict(sessions):
+        return {r["session_id"]: (r["search_keywords"], r["click_category_ids"], r["step_length"],
+                                  r["visit_length"]) for r in sessions.collect()}
+
+    want = session_model(actions)
+    assert as_dict(session_agg(df)) == want
+    # merging per-day partials (the task-statistics path) gives the same sessions
+    daily = df.withColumn("date", F.date_format("action_time", "yyyy-MM-dd"))
+    assert as_dict(merge_day_partials(session_day_partials(daily), ("session_id",))) == want
