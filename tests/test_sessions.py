@@ -177,3 +177,7 @@ def test_task_stats_persist_per_task(spark):
     back = spark.read.parquet(path)
     assert back.count() == 4
     assert sorted(r["task_id"] for r in back.select("task_id").collect()) == [1, 2, 3, 4]
+    # re-persisting one task replaces that task only
+    write_table(stats.where("task_id = 2"), path, partition_by=["task_id"])
+    again = spark.read.parquet(path)
+    assert sorted(r["task_id"] for r in again.select("task_id").collect()) == [1, 2, 3, 4]

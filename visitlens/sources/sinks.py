@@ -9,14 +9,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
                 fmt: str = "parquet") -> None:
     """Write a result as files (parquet by default), optionally partitioned.
 
-    With ``partition_by=["task_id"]`` and
-    ``spark.sql.sources.partitionOverwriteMode=dynamic``, re-running one task
-    replaces only that task's folder, so per-task statistics can be
-    persisted idempotently.
+    A partitioned overwrite replaces only the partitions present in ``df``
+    (dynamic partition overwrite): re-persisting one task's statistics with
+    ``partition_by=["task_id"]`` leaves the other tasks' rows in place, so
+    the write is idempotent per task.
     """
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+        if mode == "overwrite":
+            writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
 
 
