@@ -40,7 +40,10 @@ def start_to_table(stream: DataFrame, table: StreamTable, batch_fn: BatchFn,
                    output_mode: str = "append", trigger: dict | None = None,
                    query_name: str | None = None):
     """Start ``stream`` with ``foreachBatch``: ``batch_fn(batch_df, batch_id)``
-    is written to ``table.output/batch_id=<id>``. Returns the running query."""
+    is written to ``table.output/batch_id=<id>``. Returns the running query.
+
+    ``batch_fn`` must stay lazy: the write is the one action on the
+    micro-batch (a second action would re-run the batch's stateful work)."""
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         result = batch_fn(batch_df, batch_id)
