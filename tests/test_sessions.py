@@ -181,3 +181,17 @@ def test_task_stats_persist_per_task(spark):
     write_table(stats.where("task_id = 2"), path, partition_by=["task_id"])
     again = spark.read.parquet(path)
     assert sorted(r["task_id"] for r in again.select("task_id").collect()) == [1, 2, 3, 4]
+
+
+def test_session_report_reuses_one_materialised_table(spark):
+    from visitlens.plans import queries as Q
+
+    acts, users = Q._actions(spark, SF_SMALL, Q.FINE_GRAIN), Q._users(spark, SF_SMALL)
+    report = ses.session_report(acts, users, Q.FILTER_TASK)
+    assert sorted(rows(report["ratios"]), key=repr) == sorted(
+        rows(Q.QUERIES["session_bucket_ratio"](spark, SF_SMALL)), key=repr)
+    assert report["sessions"].count() == Q.QUERIES["session_filter"](spark, SF_SMALL).count()
+    # the reused table is a plain parquet scan: lineage is cut
+    plan = explain_text(report["ratios"])
+    assert "session-report" in plan and "events.parquet" not in plan
+    assert report["totals"].first()["session_count"] == report["sessions"].count()

@@ -1,5 +1,5 @@
 """Batch operators: each takes and returns lazy DataFrames."""
 
-from . import joins, relational, sessions, text, windows
+from . import joins, materialize, metrics, partitioning, relational, sessions, text, windows
 
-__all__ = ["joins", "relational", "sessions", "text", "windows"]
+__all__ = ["joins", "materialize", "metrics", "partitioning", "relational", "sessions", "text", "windows"]

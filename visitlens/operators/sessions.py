@@ -309,3 +309,21 @@ def session_task_stats(spark: SparkSession, actions: DataFrame, users: DataFrame
         for name, _, _ in buckets:
             out.append(half_up_share(F.col(f"{metric}_{name}"), total).alias(f"{metric}_{name}_ratio"))
     return stats.select(*out)
+
+
+def session_report(actions: DataFrame, users: DataFrame, params: TaskParams) -> dict[str, DataFrame]:
+    """The task's filtered sessions, fine histogram with shares, and totals.
+
+    The filtered sessions are computed once and written to the shared folder
+    (:func:`materialize`); the other outputs read that table instead of
+    re-running the scan, aggregate and join.
+    """
+    from .materialize import materialize
+
+    sessions = materialize(filtered_sessions(actions, users, params), "session-report")
+    return {
+        "sessions": sessions,
+        "ratios": bucket_counts(sessions, FINE_SPEC, with_share=True),
+        "totals": sessions.agg(F.count(F.lit(1)).alias("session_count"),
+                               F.sum("step_length").alias("total_actions")),
+    }
\ No newline at end of file
