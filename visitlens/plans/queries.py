@@ -79,7 +79,9 @@ def q_word_count(spark, d):
 def q_text_file_word_count(spark, d):
     """Word count over real text files: the documents are written as text
     (one file line per text line) to the shared folder, then read back with
-    ``spark.read.text`` as any folder of text files would be."""
+    ``spark.read.text`` as any folder of text files would be. The staging
+    copy exists only because the given corpus is parquet; on text input,
+    ``read_lines`` reads the files where they are."""
     path = fresh_path(spark, "documents-text")
     spread(_t(spark, d, "documents").select("text")).write.text(path)
     return text.word_count(read_lines(spark, path))
