@@ -19,3 +19,23 @@ def test_same_results_in_other_session_zones(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     for k in KEYS:
         assert got[k] == want[k], k
+
+
+def test_wall_clock_round_trip_is_exact_across_dst(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from visitlens.functions import instant_as_wall_clock, wall_clock_as_instant
+
+    walls = [dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 11, 3, 1, 30), dt.datetime(2024, 1, 1, 0, 0, 0, 7)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(w,) for w in walls], "w timestamp_ntz")
+        inst = wall_clock_as_instant(F.col("w"))
+        got = df.select(F.unix_micros(inst).alias("us"), instant_as_wall_clock(inst).alias("back")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    epoch = dt.datetime(1970, 1, 1)
+    assert [r["us"] for r in got] == [(w - epoch) // dt.timedelta(microseconds=1) for w in walls]
+    assert [r["back"] for r in got] == walls

@@ -66,16 +66,22 @@ def whole_seconds_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("SECOND", F.date_trunc("second", start), F.date_trunc("second", end))
 
 
-def wall_clock_as_instant(wall: Column, session_tz: str) -> Column:
-    """A ``timestamp_ntz`` wall-clock value as the ``timestamp`` instant of that
-    wall clock in UTC, whatever the session time zone (``withWatermark`` and
-    streaming windows need ``timestamp``; a plain cast would read the wall
-    clock in the session zone and shift windows in non-UTC sessions)."""
-    instant = wall.cast("timestamp")
-    return instant if session_tz == "UTC" else F.from_utc_timestamp(instant, session_tz)
+_EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
-def instant_as_wall_clock(instant: Column, session_tz: str) -> Column:
-    """Inverse of :func:`wall_clock_as_instant`: back to ``timestamp_ntz``."""
-    shifted = instant if session_tz == "UTC" else F.to_utc_timestamp(instant, session_tz)
-    return shifted.cast("timestamp_ntz")
+def wall_clock_as_instant(wall: Column, session_tz: str | None = None) -> Column:
+    """A ``timestamp_ntz`` wall-clock value as the ``timestamp`` instant of that
+    wall clock in UTC (``withWatermark`` and streaming windows need
+    ``timestamp``). Computed as microseconds from the epoch on the wall
+    clock itself, so no time zone is consulted: exact in any session zone,
+    DST transitions included (a plain cast would read the wall clock in the
+    session zone). ``session_tz`` is accepted for symmetry and ignored."""
+    epoch = F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, wall))
+
+
+def instant_as_wall_clock(instant: Column, session_tz: str | None = None) -> Column:
+    """Inverse of :func:`wall_clock_as_instant`: the UTC wall clock of an
+    instant as ``timestamp_ntz``, again without consulting a time zone."""
+    epoch = F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
