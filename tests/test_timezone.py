@@ -39,3 +39,21 @@ def test_wall_clock_round_trip_is_exact_across_dst(spark):
     epoch = dt.datetime(1970, 1, 1)
     assert [r["us"] for r in got] == [(w - epoch) // dt.timedelta(microseconds=1) for w in walls]
     assert [r["back"] for r in got] == walls
+
+
+def test_visit_length_across_dst_is_wall_clock(spark):
+    import datetime as dt
+
+    from visitlens.operators.sessions import session_agg
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        acts = spark.createDataFrame(
+            [("s", 1, dt.datetime(2024, 3, 10, 1, 59, 59), None, None),
+             ("s", 1, dt.datetime(2024, 3, 10, 3, 0, 1), None, None)],
+            "session_id string, user_id long, action_time timestamp_ntz, search_keyword string, "
+            "click_category_id long")
+        got = session_agg(acts).first()["visit_length"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == 3602  # wall clock 01:59:59 -> 03:00:01, whatever the zone's DST rules

@@ -60,10 +60,23 @@ def yesterday(as_of: Column | None = None) -> Column:
     return format_date(F.date_sub(as_of if as_of is not None else F.current_date(), 1))
 
 
-def whole_seconds_between(start: Column, end: Column) -> Column:
+def whole_seconds_between(start: Column, end: Column, wall_clock: bool = True) -> Column:
     """Seconds from ``start`` to ``end`` after cutting both to whole seconds,
-    as a ``yyyy-MM-dd H:mm:ss`` text round trip would."""
-    return F.timestamp_diff("SECOND", F.date_trunc("second", start), F.date_trunc("second", end))
+    as a ``yyyy-MM-dd H:mm:ss`` text round trip would.
+
+    ``wall_clock=True`` (``timestamp_ntz`` input): the difference of the wall
+    clocks, computed without a time zone (``date_trunc`` would go through the
+    session zone and shift across a DST change). ``False`` (``timestamp``
+    input): the difference of the instants."""
+    if wall_clock:
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+        def whole(c: Column) -> Column:
+            return F.floor((c - epoch).cast("decimal(24,6)"))
+    else:
+        def whole(c: Column) -> Column:
+            return F.floor(F.unix_micros(c) / F.lit(1_000_000))
+    return (whole(end) - whole(start)).cast("bigint")
 
 
 _EPOCH_NTZ = "1970-01-01 00:00:00"
@@ -77,7 +90,10 @@ def wall_clock_as_instant(wall: Column, session_tz: str | None = None) -> Column
     DST transitions included (a plain cast would read the wall clock in the
     session zone). ``session_tz`` is accepted for symmetry and ignored."""
     epoch = F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, wall))
+    # ntz - ntz is an exact day-time interval (timestamp_diff would go through
+    # the session zone); as decimal seconds it keeps the microseconds.
+    seconds = (wall - epoch).cast("decimal(24,6)")
+    return F.timestamp_micros((seconds * F.lit(1_000_000)).cast("bigint"))
 
 
 def instant_as_wall_clock(instant: Column, session_tz: str | None = None) -> Column:

@@ -139,10 +139,15 @@ def session_agg(actions: DataFrame, keys: tuple[str, ...] = ("session_id",)) ->
         F.array_sort(F.collect_set(F.when(kw != "", kw))).alias("search_keywords"),
         F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
         F.count(F.lit(1)).alias("step_length"),
-        whole_seconds_between(F.min("action_time"), F.max("action_time")).alias("visit_length"),
+        whole_seconds_between(F.min("action_time"), F.max("action_time"),
+                              _is_wall_clock(actions, "action_time")).alias("visit_length"),
     )
 
 
+def _is_wall_clock(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.simpleString() == "timestamp_ntz"
+
+
 def sessions_as_text(sessions: DataFrame) -> DataFrame:
     """Set columns rendered as comma-joined text (the record's edge form)."""
     return sessions.withColumns({
@@ -252,7 +257,8 @@ def merge_day_partials(partials: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("keyword_set")))).alias("search_keywords"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("category_set")))).alias("click_category_ids"),
         F.sum("steps").alias("step_length"),
-        whole_seconds_between(F.min("first_time"), F.max("last_time")).alias("visit_length"),
+        whole_seconds_between(F.min("first_time"), F.max("last_time"),
+                              _is_wall_clock(partials, "first_time")).alias("visit_length"),
     )
 
 
