@@ -131,11 +131,15 @@ def session_agg(actions: DataFrame, keys: tuple[str, ...] = ("session_id",)) ->
     whole seconds (``max - min`` of the action times cut to seconds).
 
     Each aggregate is partial-then-final; the two sets only grow with the
-    number of *distinct* values in a session, not with its rows.
+    number of *distinct* values in a session, not with its rows. Pass
+    ``keys=("user_id", "session_id")`` on input bucketed by ``user_id``
+    (``operators.layout``) to aggregate without a shuffle.
     """
     kw = F.col("search_keyword")
+    # With ``user_id`` among the keys (user-bucketed input), it is a key, not an aggregate.
+    user = [] if "user_id" in keys else [F.min("user_id").alias("user_id")]
     return actions.groupBy(*keys).agg(
-        F.min("user_id").alias("user_id"),
+        *user,
         F.array_sort(F.collect_set(F.when(kw != "", kw))).alias("search_keywords"),
         F.array_sort(F.collect_set("click_category_id")).alias("click_category_ids"),
         F.count(F.lit(1)).alias("step_length"),
