@@ -136,3 +136,21 @@ def test_parquet_folder_stream_picks_up_new_part_files(spark):
     spark.createDataFrame([(_stamp(2), "a")], "ts timestamp, value string").write.mode("append").parquet(folder)
     second = jobs.batch_word_count(spark, parquet_stream(spark, folder), table)
     assert sorted(rows(second, "batch_id", "word", "count")) == [(0, "a", 1), (0, "b", 1), (1, "a", 1)]
+
+
+def test_late_row_is_counted_in_progress(spark):
+    from visitlens.streaming.runner import start_to_table
+
+    src = tempfile.mkdtemp(prefix="stream-src-")
+    schema = "ts timestamp, keyword string"
+    for i, b in enumerate([[(5, "a"), (300, "a")], [(320, "b")], [(6, "a")]]):
+        spark.createDataFrame([(_stamp(s), k) for s, k in b], schema).coalesce(1).write.parquet(
+            os.path.join(src, f"part{i}"))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1")
+              .option("recursiveFileLookup", "true").parquet(src))
+    counts = jobs.windowed_counts(stream, ["keyword"], "search_count", "60 seconds", "60 seconds", "10 seconds")
+    query = start_to_table(counts, StreamTable.fresh(spark, "test-dropped"), lambda b, _i: b, "append")
+    query.awaitTermination()
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in query.recentProgress for op in p["stateOperators"])
+    assert dropped == 1

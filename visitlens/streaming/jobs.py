@@ -76,11 +76,19 @@ def current_totals(history: DataFrame) -> DataFrame:
     return history.groupBy("word").agg(F.max_by("count", "batch_id").alias("count"))
 
 
+def windowed_counts(events: DataFrame, keys: list[str], out: str, length: str, slide: str,
+                    delay: str) -> DataFrame:
+    """Streaming counts per ``(window, *keys)``; rows older than the watermark
+    (max event time seen minus ``delay``) are dropped and counted in the
+    query progress as ``numRowsDroppedByWatermark``."""
+    return (events.withWatermark("ts", delay)
+            .groupBy(F.window("ts", length, slide).alias("window"), *keys)
+            .agg(F.count(F.lit(1)).alias(out)))
+
+
 def _windowed_top(spark: SparkSession, events: DataFrame, table: StreamTable, keys: list[str],
                   out: str, rank, length: str, slide: str, delay: str, n: int, trigger: dict | None):
-    counts = (events.withWatermark("ts", delay)
-              .groupBy(F.window("ts", length, slide).alias("window"), *keys)
-              .agg(F.count(F.lit(1)).alias(out)))
+    counts = windowed_counts(events, keys, out, length, slide, delay)
 
     def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
         # Append mode emits a window once, complete, when the watermark passes
