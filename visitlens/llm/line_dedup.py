@@ -14,6 +14,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import materialize, text_or_empty
 
@@ -48,7 +49,7 @@ def later_windows(windows: DataFrame) -> DataFrame:
             .groupBy("doc").agg(F.collect_set("at").alias("ats")))
 
 
-@F.arrow_udf("text string, removed long")
+@F.arrow_udf(StructType([StructField("text", StringType()), StructField("removed", LongType())]))
 def _cut(text: pa.Array, ats: pa.Array) -> pa.Array:
     texts, removed = [], []
     for value, starts in zip(text.to_pylist(), ats.to_pylist(), strict=True):
