@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,10 @@ BASE_CONF = {
 }
 
 
+# Applications whose executors have the package.
+_SHIPPED: set[str] = set()
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "visitlens", extra: dict | None = None,
                   max_partition_bytes: str | None = None) -> SparkSession:
@@ -92,6 +97,23 @@ def shared_dir(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or path).rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the executors' Python workers, once per
+    application (what ``spark-submit --py-files`` does for a packaged job)."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    # the zip only travels through Spark's own file server
+    target = os.path.join(tempfile.mkdtemp(prefix="visitlens-code-"), "visitlens_code.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused sub-folder of :func:`shared_dir`."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
