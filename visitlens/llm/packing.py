@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,13 @@ from pyspark.sql.window import Window
 from .common import id_table, materialize
 
 CAPACITY = 2048
-#: Words a Python worker remembers (in each of two generations), and the longest remembered.
-CACHE_ENTRIES, CACHE_CHARS = 500_000, 48
+#: Words and parts of words that a Python worker remembers (in each of two generations), and the longest remembered.
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 300_000, 150_000, 48
+# The tokenizer's own pattern and word-end suffix.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+WORD_END = "</w>"
+#: Words that Unicode normalisation leaves alone and that Python lower-cases as the tokenizer does.
+LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
 #: White space of the tokenizer's patterns (Unicode White_Space).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(f"[^{SPACES}]+")
@@ -37,14 +43,39 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 MARK = "\x00"
 
 
+class TwoGenerations(dict):
+    """A dictionary of bounded size: when full it becomes the old generation, from which used keys move over."""
+
+    def __init__(self, entries: int):
+        super().__init__()
+        self.entries, self.old = entries, {}
+
+    def unknown(self, keys) -> list:
+        """The keys that neither generation holds."""
+        if len(self) > self.entries:
+            self.old = dict(self)
+            self.clear()
+        old, missing = self.old, []
+        for key in keys:
+            if key not in self:
+                known = old.get(key)
+                if known is not None:
+                    self[key] = known
+                else:
+                    missing.append(key)
+        return missing
+
+
 class WordCache:
     """Token ids of white-space words as little-endian 32-bit bytes.
 
     The tokenizer never merges over white space, so a text's ids are its words' ids in a row. Unknown
-    words are encoded by the tokenizer in one call, between marks that it keeps as a token of their own.
+    words are encoded by the tokenizer, many in one call. Words of Latin letters are split as its pattern does, so that a
+    part is encoded once whatever stands around it; a part's last token ends in the vocabulary's word-end
+    suffix. Other words go whole, between marks that the tokenizer keeps as a token of their own.
     """
 
-    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+    def __init__(self, path: str, words: int = CACHE_WORDS, parts: int = CACHE_PARTS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -53,40 +84,54 @@ class WordCache:
         mark = self._ids(MARK)
         if len(mark) != 1:
             raise ValueError("the mark must be a token of its own")
-        self.mark, self.entries = mark[0], entries
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.mark = mark[0]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.words, self.parts = TwoGenerations(words), TwoGenerations(parts)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
+    def _learn_parts(self, parts: list[str]) -> None:
+        ids = np.array(self._ids(" ".join(parts)), "<u4")
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        raw, start = ids.tobytes(), 0
+        for part, end in zip(parts, ends, strict=True):
+            self.parts[part] = raw[4 * start:4 * end]
+            start = end
+
+    def _learn_whole(self, words: list[str]) -> None:
         plain = [w for w in words if MARK not in w]
         ids = np.array(self._ids(f" {MARK} ".join(plain)), "<u4")
-        cuts = np.flatnonzero(ids == self.mark)
-        starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-        found = {w: ids[a:b].tobytes() for w, a, b in zip(plain, starts, ends, strict=True)}
-        for w in words:
-            if MARK in w:
-                found[w] = np.array(self._ids(w), "<u4").tobytes()
-        return found
+        cuts = np.flatnonzero(ids == self.mark).tolist()
+        if plain:
+            for word, a, b in zip(plain, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
+                self.words[word] = ids[a:b].tobytes()
+        for word in words:
+            if MARK in word:
+                self.words[word] = np.array(self._ids(word), "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [WORDS.findall(t) if SEPARATORS.search(t) else t.split() for t in texts]
-        new, old = self.new, self.old
-        unknown, long = [], []
-        for word in set().union(*split) - new.keys():
-            known = old.get(word)
-            if known is not None:
-                new[word] = known
-            else:
-                (unknown if len(word) <= CACHE_CHARS else long).append(word)
-        if unknown:
-            new.update(self._learn(unknown))
-        table = new if not long else new | self._learn(long)
-        out = [b"".join(map(table.__getitem__, words)) for words in split]
-        if len(new) > self.entries:
-            self.old, self.new = new, {}
+        unknown = self.words.unknown(set().union(*split))
+        latin = {w: PARTS.findall(w.lower()) for w in unknown if LATIN.fullmatch(w)}
+        if latin:
+            missing = self.parts.unknown(set().union(*latin.values()))
+            if missing:
+                self._learn_parts(missing)
+            ids_of = self.parts.__getitem__
+            for word, parts in latin.items():
+                self.words[word] = b"".join(map(ids_of, parts))
+        whole = [w for w in unknown if w not in latin]
+        if whole:
+            self._learn_whole(whole)
+        out = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        for word in unknown:
+            if len(word) > CACHE_CHARS:
+                del self.words[word]
+                for part in latin.get(word, ()):
+                    self.parts.pop(part, None)
         return out
 
 
