@@ -74,8 +74,8 @@ def test_half_up_share(spark):
 
 
 def test_params_single_quoted_json():
-    p = TaskParams.from_json("{'startAge':['10'],'endAge':['50'],'cities':['x,y'],'sex':[]}", task_id=3)
-    assert (p.task_id, p.start_age, p.end_age, p.cities, p.sex, p.keywords) == (3, 10, 50, ("x", "y"), None, None)
+    p = TaskParams.from_json("{'startAge':['21'],'endAge':['34'],'cities':['x,y'],'sex':[]}", task_id=3)
+    assert (p.task_id, p.start_age, p.end_age, p.cities, p.sex, p.keywords) == (3, 21, 34, ("x", "y"), None, None)
 
 
 def test_params_spark_side(spark):
@@ -93,3 +93,10 @@ def test_unparsed_times_are_counted_on_the_side(spark):
     observed, obs = observe_counts(df.select(parsed.alias("p")), "t1", unparsed=F.col("p").isNull())
     assert observed.count() == 3
     assert obs.get == {"unparsed": 2}
+
+
+def test_time_text_is_read_strictly(spark):
+    # a one-digit month, hour 25 or a 13th month is no time here (it would be rolled over by a lenient reader)
+    texts = ["2024-1-05 10:00:00", "2024-01-05 25:00:00", "2024-13-05 10:00:00", "2024-01-05 9:00:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] is None for r in rows(df.select(fn.parse_time(F.col("t"))))] == [True, True, True, False]

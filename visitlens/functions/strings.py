@@ -27,7 +27,7 @@ def is_not_empty(c: Column) -> Column:
 
 def trim_comma(c: Column) -> Column:
     """Remove at most one comma from each end (``trim`` would strip them all)."""
-    return F.regexp_replace(c, "^,|,$", "")
+    return F.regexp_replace(c, r"^,|,\z", "")
 
 
 def pad_two(c: Column) -> Column:
@@ -57,11 +57,11 @@ def kv_set(record: Column, key: str, value) -> Column:
     field is rewritten. Trailing empty fields are dropped first, as Java's
     ``split`` + join does.
     """
-    pattern = r"^((?:[^|]*\|)*?)\Q" + key + r"\E(?:=[^|]*)?(?=\||$)"
+    pattern = r"^((?:[^|]*\|)*?)\Q" + key + r"\E(?:=[^|]*)?(?=\||\z)"
     # ``$`` and ``\`` in the new value must not act as group references.
     safe = F.regexp_replace(_lit(value).cast("string"), r"([\\$])", r"\\$1")
     replacement = F.concat(F.lit("$1" + key + KV_SEP), safe)
-    return F.regexp_replace(F.regexp_replace(record, r"\|+$", ""), F.lit(pattern), replacement)
+    return F.regexp_replace(F.regexp_replace(record, r"\|+\z", ""), F.lit(pattern), replacement)
 
 
 def kv_record(pairs: list[tuple[str, Column]]) -> Column:

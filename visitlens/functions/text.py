@@ -26,8 +26,8 @@ def java_split(value: Column, sep: str = " ") -> Column:
         trimmed = F.rtrim(value)
         return F.when((trimmed == "") & (value != ""), empty).otherwise(F.split(trimmed, " "))
     esc = "\\" + sep if not sep.isalnum() else sep
-    only_sep = value.rlike(f"^{esc}+$")
-    return F.when(only_sep, empty).otherwise(F.split(F.regexp_replace(value, f"{esc}+$", ""), esc))
+    only_sep = value.rlike(rf"^{esc}+\z")  # not ``$``, which also matches before a final line break
+    return F.when(only_sep, empty).otherwise(F.split(F.regexp_replace(value, rf"{esc}+\z", ""), esc))
 
 
 def explode_tokens(df: DataFrame, value_col: str, sep: str = " ", out: str = "word") -> DataFrame:
