@@ -18,6 +18,22 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base_dir, name))
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path (any store that Spark reads), and the path in it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _file_system(spark, path)
+    return fs.getFileStatus(hadoop).isDirectory()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop = _file_system(spark, path)
+    return fs.exists(hadoop)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files as ``value: string`` (one row per line)."""
     return spark.read.text(path)

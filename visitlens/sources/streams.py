@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import table_path
+from .files import is_folder, table_path
 
 
 def parquet_stream(spark: SparkSession, path: str, schema=None, glob: str | None = None,
@@ -30,8 +30,13 @@ def parquet_stream(spark: SparkSession, path: str, schema=None, glob: str | None
 
 def parquet_table_stream(spark: SparkSession, base_dir: str, name: str,
                          max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``<base_dir>/<name>.parquet`` table of the test layout as a stream."""
-    schema = spark.read.parquet(table_path(base_dir, name)).schema
+    """The ``<base_dir>/<name>.parquet`` table as a stream: a folder of part files, or
+    a single file. A missing table raises."""
+    path = table_path(base_dir, name)
+    schema = spark.read.parquet(path).schema
+    if is_folder(spark, path):
+        return parquet_stream(spark, path, schema, max_files_per_trigger=max_files_per_trigger)
+    # a stream watches a folder; the glob picks the table's one file in it
     return parquet_stream(spark, base_dir, schema, glob=f"{name}.parquet",
                           max_files_per_trigger=max_files_per_trigger)
 

@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import java_split, text_lines
-from ..operators.partitioning import spread
 from ..operators.windows import (DEFAULT_LENGTH, DEFAULT_SLIDE, flatten_window, rank_hot_goods,
                                  rank_hot_searches)
-from .runner import StreamTable, run_or_start
+from .runner import StreamTable, compact_totals, latest_totals, run_or_start
 
 # Micro-batch intervals of the reference's jobs (pass them as
 # ``trigger={"processingTime": ...}`` for a long-running query).
@@ -34,7 +33,7 @@ def _tokens(stream: DataFrame, value_col: str, multiline: bool = False) -> DataF
 
 
 def _count_words(batch: DataFrame, value_col: str, multiline: bool = False) -> DataFrame:
-    return (_tokens(spread(batch), value_col, multiline)
+    return (_tokens(batch, value_col, multiline)
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -68,12 +67,18 @@ def running_word_count(spark: SparkSession, lines: DataFrame, table: StreamTable
     """
     counts = _tokens(lines, value_col, multiline).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     started = run_or_start(spark, counts, table, lambda batch, _id: batch, output_mode, trigger)
-    return started if trigger is not None else current_totals(started)
+    return started if trigger is not None else current_totals(spark, table, counts.schema)
 
 
-def current_totals(history: DataFrame) -> DataFrame:
-    """Latest total per word from the per-batch updates of a running count."""
-    return history.groupBy("word").agg(F.max_by("count", "batch_id").alias("count"))
+def current_totals(spark: SparkSession, table: StreamTable, schema) -> DataFrame:
+    """Current total per word: the newest snapshot and the updates after it. A long-running count calls
+    :func:`compact_running_count` from time to time, so reading does not grow with its uptime."""
+    return latest_totals(spark, table, schema, "word", "count")
+
+
+def compact_running_count(spark: SparkSession, table: StreamTable) -> int:
+    """Fold the updates so far into a snapshot; returns the last batch in it."""
+    return compact_totals(spark, table, spark.createDataFrame([], "word string, count long").schema, "word", "count")
 
 
 def windowed_counts(events: DataFrame, keys: list[str], out: str, length: str, slide: str,
@@ -86,8 +91,15 @@ def windowed_counts(events: DataFrame, keys: list[str], out: str, length: str, s
             .agg(F.count(F.lit(1)).alias(out)))
 
 
+def open_windows(spark: SparkSession, table: StreamTable, keys: list[str], out: str) -> DataFrame:
+    """Counts so far of the windows that the watermark has not passed, from the stopped job's state."""
+    state = spark.read.format("statestore").option("path", table.checkpoint).load()
+    return state.select("key.*", F.col("value.count").alias(out)).toDF("window", *keys, out)
+
+
 def _windowed_top(spark: SparkSession, events: DataFrame, table: StreamTable, keys: list[str],
-                  out: str, rank, length: str, slide: str, delay: str, n: int, trigger: dict | None):
+                  out: str, rank, length: str, slide: str, delay: str, n: int, trigger: dict | None,
+                  report: dict | None):
     counts = windowed_counts(events, keys, out, length, slide, delay)
 
     def per_batch(batch: DataFrame, batch_id: int) -> DataFrame:
@@ -95,21 +107,33 @@ def _windowed_top(spark: SparkSession, events: DataFrame, table: StreamTable, ke
         # its end: ranking inside the batch is therefore final.
         return flatten_window(rank(batch, n))
 
-    return run_or_start(spark, counts, table, per_batch, "append", trigger)
+    closed = run_or_start(spark, counts, table, per_batch, "append", trigger, report)
+    if trigger is not None:
+        return closed
+    # A bounded run also returns the windows still open at its end, as far as they are filled.
+    still_open = flatten_window(rank(open_windows(spark, table, keys, out), n))
+    return (closed.drop("batch_id").withColumn("is_open", F.lit(False))
+            .unionByName(still_open.withColumn("is_open", F.lit(True))))
 
 
 def hot_search_stream(spark: SparkSession, searches: DataFrame, table: StreamTable,
                       length: str = DEFAULT_LENGTH, slide: str = DEFAULT_SLIDE,
-                      delay: str = "10 seconds", n: int = 3, trigger: dict | None = None):
-    """Top-``n`` keywords of every closed sliding window, from ``(ts, keyword)``."""
+                      delay: str = "10 seconds", n: int = 3, trigger: dict | None = None,
+                      report: dict | None = None):
+    """Top-``n`` keywords of every sliding window, from ``(ts, keyword)``.
+
+    ``delay`` is how late a row may come after the newest one seen; later rows whose window has closed are dropped
+    and counted in ``report["late_rows"]``. A bounded run (``trigger=None``) returns every window, those not yet closed
+    with ``is_open``; a long-running one writes each window when it closes."""
     return _windowed_top(spark, searches, table, ["keyword"], "search_count", rank_hot_searches,
-                         length, slide, delay, n, trigger)
+                         length, slide, delay, n, trigger, report)
 
 
 def hot_goods_stream(spark: SparkSession, goods: DataFrame, table: StreamTable,
                      length: str = DEFAULT_LENGTH, slide: str = DEFAULT_SLIDE,
-                     delay: str = "10 seconds", n: int = 3, trigger: dict | None = None):
-    """Top-``n`` products per category of every closed sliding window, from
-    ``(ts, category, product)``."""
+                     delay: str = "10 seconds", n: int = 3, trigger: dict | None = None,
+                     report: dict | None = None):
+    """Top-``n`` products per category of every sliding window, from
+    ``(ts, category, product)``; see :func:`hot_search_stream`."""
     return _windowed_top(spark, goods, table, ["category", "product"], "click_count", rank_hot_goods,
-                         length, slide, delay, n, trigger)
+                         length, slide, delay, n, trigger, report)

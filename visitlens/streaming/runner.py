@@ -14,11 +14,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from ..session import fresh_path
+from ..sources.files import _file_system, path_exists
 
 BatchFn = Callable[[DataFrame, int], DataFrame]
 
@@ -30,6 +30,10 @@ class StreamTable:
     checkpoint: str
     output: str
 
+    @property
+    def snapshots(self) -> str:
+        return self.output.rstrip("/") + "-snapshots"
+
     @classmethod
     def fresh(cls, spark: SparkSession, label: str) -> "StreamTable":
         base = fresh_path(spark, label)
@@ -59,14 +63,17 @@ def start_to_table(stream: DataFrame, table: StreamTable, batch_fn: BatchFn,
 
 
 def run_available(stream: DataFrame, table: StreamTable, batch_fn: BatchFn,
-                  output_mode: str = "append") -> None:
+                  output_mode: str = "append", report: dict | None = None) -> None:
     """Process everything available now (in as many micro-batches as the
     source's rate limit makes), then stop. Restarting with the same ``table``
-    resumes from the checkpoint."""
+    resumes from the checkpoint. ``report`` receives ``late_rows``: how many (partially
+    aggregated) rows came after the watermark had passed their window and were dropped."""
     query = start_to_table(stream, table, batch_fn, output_mode)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"streaming query failed: {query.exception()}")
+    if report is not None:
+        report["late_rows"] = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
 
 
 def read_table(spark: SparkSession, table: StreamTable, schema) -> DataFrame:
@@ -74,10 +81,9 @@ def read_table(spark: SparkSession, table: StreamTable, schema) -> DataFrame:
     full = StructType(list(schema.fields))
     if "batch_id" not in full.fieldNames():
         full = full.add("batch_id", LongType())
-    try:
-        df = spark.read.schema(full).option("basePath", table.output).parquet(table.output)
-    except AnalysisException:  # no batch produced output yet
+    if not path_exists(spark, table.output):  # no batch written yet; any other failure is an error
         return spark.createDataFrame([], full)
+    df = spark.read.schema(full).option("basePath", table.output).parquet(table.output)
     return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
@@ -88,12 +94,47 @@ def output_schema(spark: SparkSession, stream: DataFrame, batch_fn: BatchFn):
 
 
 def run_or_start(spark: SparkSession, stream: DataFrame, table: StreamTable, batch_fn: BatchFn,
-                 output_mode: str, trigger: dict | None):
+                 output_mode: str, trigger: dict | None, report: dict | None = None):
     """``trigger=None``: process what is available, stop, and return the
     result table as a DataFrame. Otherwise start a long-running query with
     that trigger (e.g. ``{"processingTime": "5 seconds"}``) and return its
     handle; read the table later with :func:`read_table`."""
     if trigger is None:
-        run_available(stream, table, batch_fn, output_mode)
+        run_available(stream, table, batch_fn, output_mode, report)
         return read_table(spark, table, output_schema(spark, stream, batch_fn))
     return start_to_table(stream, table, batch_fn, output_mode, trigger)
+
+
+def compact_totals(spark: SparkSession, table: StreamTable, schema, key: str, value: str) -> int:
+    """Fold a running total's per-batch updates into one snapshot, and return its last batch.
+
+    The snapshot is written to a folder of its own before it counts, so a failure leaves the former one in
+    force. Readers take the newest snapshot and the batches after it; folders of folded
+    batches are no longer read and may be expired by the store.
+    """
+    totals = latest_totals(spark, table, schema, key, value)
+    last = read_table(spark, table, schema).agg(F.max("batch_id")).first()[0]
+    if last is not None:
+        totals.write.mode("overwrite").parquet(os.path.join(table.snapshots, f"upto={last}"))
+    return -1 if last is None else last
+
+
+def _newest_snapshot(spark: SparkSession, table: StreamTable) -> int:
+    """The last batch that a finished snapshot holds, or -1. Only folder names are read."""
+    if not path_exists(spark, table.snapshots):
+        return -1
+    fs, hadoop = _file_system(spark, table.snapshots)
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
+    done = [int(n.removeprefix("upto=")) for n in names
+            if n.startswith("upto=") and path_exists(spark, os.path.join(table.snapshots, n, "_SUCCESS"))]
+    return max(done, default=-1)
+
+
+def latest_totals(spark: SparkSession, table: StreamTable, schema, key: str, value: str) -> DataFrame:
+    """Latest ``value`` per ``key``: the newest snapshot and the batches after it."""
+    upto = _newest_snapshot(spark, table)
+    tail = read_table(spark, table, schema).where(F.col("batch_id") > upto).select(key, value, "batch_id")
+    if upto >= 0:
+        known = spark.read.parquet(os.path.join(table.snapshots, f"upto={upto}"))
+        tail = tail.unionByName(known.withColumn("batch_id", F.lit(upto).cast("bigint")))
+    return tail.groupBy(key).agg(F.max_by(value, "batch_id").alias(value))
