@@ -10,10 +10,10 @@ from visitlens.operators.layout import save_bucketed
 def test_user_bucketed_tables_need_no_shuffle(spark):
     suffix = uuid.uuid4().hex[:8]
     events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    users = ses.users_from_customer(spark.read.parquet(f"{SF_SMALL}/customer.parquet"),
-                                    spark.read.parquet(f"{SF_SMALL}/nation.parquet"))
+    users = ses.users_from_customer(spark.read.parquet(f"{SF_SMALL}/customer.parquet"))
+    cities = ses.cities_from_nation(spark.read.parquet(f"{SF_SMALL}/nation.parquet"))
     ev_b = save_bucketed(events, f"events_by_user_{suffix}", "user_id", 4)
-    us_b = save_bucketed(users.select("user_id", *ses.USER_ATTRIBUTES), f"users_by_user_{suffix}", "user_id", 4)
+    us_b = save_bucketed(users.select("user_id", "age", "sex"), f"users_by_user_{suffix}", "user_id", 4)
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -25,5 +25,5 @@ def test_user_bucketed_tables_need_no_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # same sessions as the plain pipeline
-    plain = ses.session_user_join(ses.session_agg(ses.actions_from_events(events)), users)
+    plain = ses.session_user_join(ses.session_agg(ses.actions_from_events(events)), users, cities)
     assert got == sorted(rows(plain.select("session_id", "step_length", "visit_length", "age")))

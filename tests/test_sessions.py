@@ -63,7 +63,7 @@ def test_share_half_up(spark):
 
 def test_session_agg_sets_and_lengths(spark):
     acts = spark.createDataFrame([
-        ("a", 7, T0, "新辣道鱼火锅", 15), ("a", 7, T0 + dt.timedelta(seconds=65, microseconds=900), "火锅", 5),
+        ("a", 7, T0, "green tea pot", 15), ("a", 7, T0 + dt.timedelta(seconds=65, microseconds=900), "tea", 5),
         ("a", 7, T0 + dt.timedelta(seconds=1), "", 5), ("a", 7, T0 + dt.timedelta(seconds=2), None, None),
         ("b", 8, T0, None, None),
     ], ACTIONS)
@@ -71,7 +71,7 @@ def test_session_agg_sets_and_lengths(spark):
     a = got["a"]
     assert (a["user_id"], a["step_length"], a["visit_length"]) == (7, 4, 65)
     assert a["click_category_ids"] == [5, 15]
-    assert sorted(a["search_keywords"]) == sorted(["新辣道鱼火锅", "火锅"])
+    assert sorted(a["search_keywords"]) == sorted(["green tea pot", "tea"])
     b = got["b"]
     assert (b["search_keywords"], b["click_category_ids"], b["step_length"], b["visit_length"]) == ([], [], 1, 0)
 
@@ -116,9 +116,10 @@ def test_unknown_user_in_coarse_not_in_join(spark):
     sessions = spark.createDataFrame([("s1", 1, [], [], 1, 0), ("s2", 99, [], [], 1, 0)],
                                      "session_id string, user_id long, search_keywords array<string>, "
                                      "click_category_ids array<long>, step_length long, visit_length long")
-    users = spark.createDataFrame([(1, 30, "IT", "c", "male")],
-                                  "user_id long, age int, professional string, city string, sex string")
-    assert _ids(ses.session_user_join(sessions, users)) == ["s1"]
+    users = spark.createDataFrame([(1, 30, "IT", 5, "male")],
+                                  "user_id long, age int, professional string, city_key int, sex string")
+    cities = spark.createDataFrame([(5, "c"), (6, "d")], "city_key int, city string")
+    assert _ids(ses.session_user_join(sessions, users, cities)) == ["s1"]
     assert _hist(ses.bucket_counts(sessions, ses.COARSE_SPEC), "visit_length")["0s"] == 2
     tot = ses.session_totals(sessions, users).first()
     assert (tot["total_sessions"], tot["sessions_with_user"], tot["total_actions"]) == (2, 1, 2)
@@ -135,19 +136,23 @@ def test_date_range_is_inclusive_and_pushed_down(spark):
 
 def test_task_stats_one_row_per_task(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    users = ses.users_from_customer(spark.read.parquet(f"{SF_SMALL}/customer.parquet"),
-                                    spark.read.parquet(f"{SF_SMALL}/nation.parquet"))
+    users = ses.users_from_customer(spark.read.parquet(f"{SF_SMALL}/customer.parquet"))
+    cities = ses.cities_from_nation(spark.read.parquet(f"{SF_SMALL}/nation.parquet"))
     acts = ses.actions_from_events(ev, "week")
-    tasks = [TaskParams(task_id=1), TaskParams(task_id=2, start_date="2023-01-01", end_date="2023-01-02"),
-             TaskParams(task_id=3, start_date="2024-01-01", end_date="2024-01-10", sex="male")]
-    got = {r["task_id"]: r for r in ses.session_task_stats(spark, acts, users, tasks).collect()}
-    assert set(got) == {1, 2, 3}
+    texts = ["{}", "{'startDate':['2023-01-01'],'endDate':['2023-01-02']}",
+             "{'startDate':['2024-01-01'],'endDate':['2024-01-10'],'sex':['male']}",
+             "{'endDate':['2024-01-08'],'startAge':['20'],'endAge':['45'],'cities':['NATION_2,NATION_9'],"
+             "'professionals':['BUILDING,MACHINERY'],'keywords':['kw2,kw4,kw6']}", "{'categoryIds':['4,8,15']}"]
+    tasks = spark.createDataFrame(list(enumerate(texts, 1)), "task_id long, params string")
+    got = {r["task_id"]: r for r in ses.session_task_stats(acts, users, cities, tasks).collect()}
+    assert set(got) == {1, 2, 3, 4, 5}
     assert got[2]["session_count"] == 0 and got[2]["visit_length_1s_3s_ratio"] is None
     # task 1 equals the single-task pipeline
-    single = ses.session_user_join(ses.session_agg(acts), users).count()
+    single = ses.session_user_join(ses.session_agg(acts), users, cities).count()
     assert got[1]["session_count"] == single
-    three = ses.filtered_sessions(acts, users, tasks[2]).count()
-    assert got[3]["session_count"] == three
+    for i, text in enumerate(texts, 1):
+        alone = ses.filtered_sessions(acts, users, cities, TaskParams.from_json(text)).count()
+        assert got[i]["session_count"] == alone, text
 
 
 def test_partition_invariance(spark):
@@ -186,8 +191,8 @@ def test_task_stats_persist_per_task(spark):
 def test_session_report_reuses_one_materialised_table(spark):
     from visitlens.plans import queries as Q
 
-    acts, users = Q._actions(spark, SF_SMALL, Q.FINE_GRAIN), Q._users(spark, SF_SMALL)
-    report = ses.session_report(acts, users, Q.FILTER_TASK)
+    acts, (users, cities) = Q._actions(spark, SF_SMALL, Q.FINE_GRAIN), Q._users(spark, SF_SMALL)
+    report = ses.session_report(acts, users, cities, Q.FILTER_TASK)
     assert sorted(rows(report["ratios"]), key=repr) == sorted(
         rows(Q.QUERIES["session_bucket_ratio"](spark, SF_SMALL)), key=repr)
     assert report["sessions"].count() == Q.QUERIES["session_filter"](spark, SF_SMALL).count()

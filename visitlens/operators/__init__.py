@@ -1,6 +1,6 @@
 """Batch operators: each takes and returns lazy DataFrames."""
 
-from . import joins, layout, materialize, metrics, partitioning, relational, sessions, text, windows
+from . import layout, materialize, metrics, partitioning, relational, sessions, text, windows
 
-__all__ = ["joins", "layout", "materialize", "metrics", "partitioning", "relational", "sessions", "text",
+__all__ = ["layout", "materialize", "metrics", "partitioning", "relational", "sessions", "text",
            "windows"]

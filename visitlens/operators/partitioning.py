@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkNotImplementedError
 from pyspark.sql import DataFrame
 
 
@@ -21,6 +22,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+    except PySparkNotImplementedError:  # a Spark Connect session has no RDD view: leave as is
         return df
     return df if current >= target else df.repartition(target)

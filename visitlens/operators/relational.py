@@ -34,19 +34,14 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def register_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
-    """Name DataFrames for ``spark.sql`` (session-scoped temporary views)."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-
-
 def sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = None,
         args: dict | None = None) -> DataFrame:
-    """Run SQL over named views, with ``:name`` parameters bound as values
-    (never spliced into the text). Catalyst rewrites a comma join with an
-    equality predicate into an equi-join and picks broadcast or sort-merge."""
-    register_views(spark, views or {})
-    return spark.sql(text, args=args) if args else spark.sql(text)
+    """Run SQL over DataFrames named as ``{name}`` in the text, with ``:name``
+    parameters bound as values (never spliced into the text). Spark gives each
+    DataFrame a view of its own and drops it again, so the caller's views are untouched. Catalyst
+    rewrites a comma join with an equality predicate into an equi-join and picks broadcast or
+    sort-merge."""
+    return spark.sql(text, args=args, **(views or {}))
 
 
 def secondary_sort(df: DataFrame, keys: list[tuple[str, bool]], tiebreak: list[str] | None = None) -> DataFrame:

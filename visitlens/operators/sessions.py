@@ -4,22 +4,20 @@ visit-length / step-length histograms and shares.
 Every function takes and returns lazy DataFrames. The heavy steps are one
 ``groupBy`` (partial + final hash aggregate, so a session or user holding a
 large share of all rows is pre-aggregated in every map task before the
-shuffle), one join against the user dimension (broadcast only when its size
-is checked), and global aggregates that shuffle a single row per task.
+shuffle), joins with the user and city tables (planned from their file sizes),
+and global aggregates that shuffle a single row per task.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.dates import whole_seconds_between
 from ..functions.numbers import half_up_share
-from ..functions.params import TaskParams
-from .joins import broadcast_if_small, join_dimension
+from ..functions.params import TaskParams, param_first, parse_params
 
 GRAINS = ("day", "week", "month")
 
@@ -86,19 +84,19 @@ def actions_from_events(events: DataFrame, grain: str = "day") -> DataFrame:
     )
 
 
-def users_from_customer(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """User attributes from ``customer`` and ``nation``. Every tenth customer
-    key is left out so that some sessions have no user."""
-    # ``nation`` is a base table: the planner sizes it from its files and
-    # broadcasts it under ``autoBroadcastJoinThreshold``, else sort-merges.
-    nations = nation.select("n_nationkey", "n_name")
+def users_from_customer(customer: DataFrame) -> DataFrame:
+    """User attributes from ``customer``, one row per customer. The city is a
+    key into :func:`cities_from_nation`, joined only where it is needed."""
     key = F.col("c_custkey")
-    return (customer.where(key % 10 != 0)
-            .join(nations, customer["c_nationkey"] == nations["n_nationkey"], "inner")
-            .select(key.alias("user_id"), F.col("c_name").alias("username"),
-                    F.col("c_name").alias("name"), (key % 60).cast("int").alias("age"),
-                    F.col("c_mktsegment").alias("professional"), F.col("n_name").alias("city"),
-                    F.when(key % 2 == 0, "male").otherwise("female").alias("sex")))
+    return customer.select(
+        key.alias("user_id"), F.col("c_name").alias("username"), F.col("c_name").alias("name"),
+        (key % 60).cast("int").alias("age"), F.col("c_mktsegment").alias("professional"),
+        F.col("c_nationkey").alias("city_key"),
+        F.when(key % 2 == 0, "male").otherwise("female").alias("sex"))
+
+
+def cities_from_nation(nation: DataFrame) -> DataFrame:
+    return nation.select(F.col("n_nationkey").alias("city_key"), F.col("n_name").alias("city"))
 
 
 def date_range(actions: DataFrame, start_date: str | None, end_date: str | None) -> DataFrame:
@@ -160,10 +158,20 @@ def sessions_as_text(sessions: DataFrame) -> DataFrame:
     })
 
 
-def session_user_join(sessions: DataFrame, users: DataFrame) -> DataFrame:
+def join_users(rows: DataFrame, users: DataFrame, cities: DataFrame) -> DataFrame:
+    """``rows`` with their user's attributes (inner joins on ``user_id``, then ``city_key``).
+
+    Both sides are joined as base tables, one after the other, so the planner knows
+    their file sizes: a small one is broadcast under ``autoBroadcastJoinThreshold``, a
+    large one is sort-merged and AQE splits a hot user. No hint and no counting job."""
+    named = users.select("user_id", "age", "professional", "sex", "city_key")
+    return rows.join(named, "user_id").join(cities, "city_key").drop("city_key")
+
+
+def session_user_join(sessions: DataFrame, users: DataFrame, cities: DataFrame) -> DataFrame:
     """Sessions with their user's age, profession, city and sex (inner join:
     sessions of unknown users drop out)."""
-    return join_dimension(sessions, users.select("user_id", *USER_ATTRIBUTES), "user_id").select(
+    return join_users(sessions, users, cities).select(
         "session_id", "search_keywords", "click_category_ids", "step_length", "visit_length",
         *USER_ATTRIBUTES, "user_id")
 
@@ -198,10 +206,10 @@ def session_filter(joined: DataFrame, params: TaskParams) -> DataFrame:
     return joined.where(task_predicate(params))
 
 
-def filtered_sessions(actions: DataFrame, users: DataFrame, params: TaskParams) -> DataFrame:
+def filtered_sessions(actions: DataFrame, users: DataFrame, cities: DataFrame, params: TaskParams) -> DataFrame:
     """The task's date range -> sessions -> user join -> task filter."""
     sessions = session_agg(date_range(actions, params.start_date, params.end_date))
-    return session_filter(session_user_join(sessions, users), params)
+    return session_filter(session_user_join(sessions, users, cities), params)
 
 
 # -- statistics -----------------------------------------------------------------
@@ -232,7 +240,7 @@ def bucket_counts(sessions: DataFrame, spec=COARSE_SPEC, with_share: bool = Fals
 
 def session_totals(sessions: DataFrame, users: DataFrame) -> DataFrame:
     """Actions (sum of steps), sessions, and sessions whose user is known."""
-    dim = broadcast_if_small(users.select(F.col("user_id").alias("known_user")))
+    dim = users.select(F.col("user_id").alias("known_user"))
     return (sessions.join(dim, sessions["user_id"] == dim["known_user"], "left")
             .agg(F.sum("step_length").alias("total_actions"),
                  F.count(F.lit(1)).alias("total_sessions"),
@@ -266,53 +274,74 @@ def merge_day_partials(partials: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     )
 
 
-def session_task_stats(spark: SparkSession, actions: DataFrame, users: DataFrame,
-                       tasks: list[TaskParams]) -> DataFrame:
+TASK_COLUMNS = ["start_date", "end_date", "start_age", "end_age", "professionals", "cities", "sex", "keywords",
+                "category_ids"]
+
+
+def parse_tasks(tasks: DataFrame) -> DataFrame:
+    """``(task_id, <TASK_COLUMNS>)`` of a table ``(task_id, params)`` with JSON parameters; an absent one is NULL."""
+    p = parse_params(F.col("params"))
+
+    def first(name: str) -> Column:
+        return param_first(p, name)
+
+    def many(name: str) -> Column:
+        return F.split(first(name), ",")
+
+    return tasks.select(
+        F.col("task_id").cast("long").alias("task_id"), first("startDate").alias("start_date"), first("endDate").alias("end_date"),
+        first("startAge").cast("int").alias("start_age"), first("endAge").cast("int").alias("end_age"),
+        many("professionals").alias("professionals"), many("cities").alias("cities"), first("sex").alias("sex"),
+        many("keywords").alias("keywords"), many("categoryIds").alias("category_ids"))
+
+
+def _task_matches() -> Column:
+    """The optional filters of :func:`task_predicate`, read from the task's own columns."""
+    def unset_or(unset: Column, cond: Column) -> Column:
+        return unset | F.coalesce(cond, F.lit(False))
+
+    def overlap(wanted: str, values: Column) -> Column:
+        return unset_or(F.col(wanted).isNull(), F.arrays_overlap(values, F.col(wanted)))
+
+    return (unset_or(F.col("start_age").isNull() | F.col("end_age").isNull(),
+                     F.col("age").between(F.col("start_age"), F.col("end_age")))
+            & overlap("professionals", F.split("professional", ","))
+            & overlap("cities", F.split("city", ","))
+            & unset_or(F.col("t_sex").isNull(), F.col("sex") == F.col("t_sex"))
+            & overlap("keywords", F.col("search_keywords"))
+            & overlap("category_ids", F.col("click_category_ids").cast("array<string>")))
+
+
+def session_task_stats(actions: DataFrame, users: DataFrame, cities: DataFrame, tasks: DataFrame) -> DataFrame:
     """One row per task: ``task_id, session_count`` and the 15 fine-bucket shares.
 
-    All tasks run in one job. Actions are first reduced to per-day session
-    partials (the union of the task date ranges is pushed to the scan); each
-    partial is then tagged with the tasks whose range holds its day, so the
-    fan-out per task grows with session-days, not with actions. Sessions are
-    merged per ``(task_id, session_id)``, each task's own filter is applied
-    with one ``CASE``, and one ``groupBy(task_id)`` counts buckets. A task that
+    ``tasks`` is a table ``(task_id, params)``; the plan is the same for any number of tasks.
+    Actions are first reduced to per-day session partials; a task is a row for
+    each day of its range (cut to the days there are), joined on the day, so the fan-out
+    grows with session-days, not with actions. Sessions are merged per ``(task_id, session_id)``, the
+    task's filter is read from its columns, and one ``groupBy(task_id)`` counts buckets. A task that
     matches nothing still gets a row (0 sessions, NULL shares).
     """
-    ids = [t.task_id for t in tasks]
-    if len(set(ids)) != len(ids):
-        raise ValueError("task ids must be unique")
-    starts = [t.start_date for t in tasks]
-    ends = [t.end_date for t in tasks]
-    scan = date_range(actions, None if None in starts else min(starts), None if None in ends else max(ends))
-    day = F.col("date")
-
-    def holds(t: TaskParams) -> Column:
-        cond = F.lit(True)
-        if t.start_date is not None:
-            cond = cond & (day >= F.lit(t.start_date))
-        if t.end_date is not None:
-            cond = cond & (day <= F.lit(t.end_date))
-        return cond
-
-    tags = F.array(*[F.when(holds(t), F.lit(t.task_id)) for t in tasks])
-    partials = session_day_partials(scan)
-    tagged = partials.withColumn("task_id", F.explode(F.filter(tags, lambda x: x.isNotNull())))
-    per_task = merge_day_partials(tagged, ("task_id", "session_id"))
-    dim = broadcast_if_small(users.select("user_id", *USER_ATTRIBUTES))
-    joined = per_task.join(dim, "user_id", "inner")
-    keep = reduce(lambda acc, t: acc.when(F.col("task_id") == t.task_id, task_predicate(t)),
-                  tasks[1:], F.when(F.col("task_id") == tasks[0].task_id, task_predicate(tasks[0])))
-    matched = joined.where(F.coalesce(keep.otherwise(F.lit(False)), F.lit(False)))
+    parsed = parse_tasks(tasks)
+    partials = session_day_partials(actions)
+    # one row; a task without a bound takes the data's
+    span = actions.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day")).where(F.col("first_day").isNotNull())
+    lo = F.greatest("start_date", "first_day").cast("date")
+    hi = F.least("end_date", "last_day").cast("date")
+    days = (parsed.select("task_id", "start_date", "end_date").join(F.broadcast(span), F.col("first_day").isNotNull())
+            .where(lo <= hi)
+            .select("task_id", F.explode(F.sequence(lo, hi)).alias("day"))
+            .select("task_id", F.col("day").cast("string").alias("date")))
+    per_task = merge_day_partials(partials.join(days, "date"), ("task_id", "session_id"))
+    wanted = parsed.drop("start_date", "end_date").withColumnRenamed("sex", "t_sex")
+    matched = join_users(per_task, users, cities).join(wanted, "task_id").where(_task_matches())
 
     aggs = [F.count(F.lit(1)).alias("session_count")]
     for metric, buckets in FINE_SPEC:
-        for name, lo, hi in buckets:
-            aggs.append(F.count_if(_in_bucket(F.col(metric), lo, hi)).alias(f"{metric}_{name}"))
+        for name, lo_, hi_ in buckets:
+            aggs.append(F.count_if(_in_bucket(F.col(metric), lo_, hi_)).alias(f"{metric}_{name}"))
     counts = matched.groupBy("task_id").agg(*aggs)
-
-    task_list = spark.createDataFrame([(t,) for t in ids], StructType([StructField("task_id", LongType())]))
-    # ``counts`` has at most one row per task: a proven bound, so broadcast it.
-    stats = task_list.join(F.broadcast(counts), "task_id", "left")
+    stats = parsed.select("task_id").join(counts, "task_id", "left")
     total = F.coalesce(F.col("session_count"), F.lit(0).cast("bigint"))
     out = [F.col("task_id"), total.alias("session_count")]
     for metric, buckets in FINE_SPEC:
@@ -321,7 +350,7 @@ def session_task_stats(spark: SparkSession, actions: DataFrame, users: DataFrame
     return stats.select(*out)
 
 
-def session_report(actions: DataFrame, users: DataFrame, params: TaskParams) -> dict[str, DataFrame]:
+def session_report(actions: DataFrame, users: DataFrame, cities: DataFrame, params: TaskParams) -> dict[str, DataFrame]:
     """The task's filtered sessions, fine histogram with shares, and totals.
 
     The filtered sessions are computed once and written to the shared folder
@@ -330,7 +359,7 @@ def session_report(actions: DataFrame, users: DataFrame, params: TaskParams) ->
     """
     from .materialize import materialize
 
-    sessions = materialize(filtered_sessions(actions, users, params), "session-report")
+    sessions = materialize(filtered_sessions(actions, users, cities, params), "session-report")
     return {
         "sessions": sessions,
         "ratios": bucket_counts(sessions, FINE_SPEC, with_share=True),

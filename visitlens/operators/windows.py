@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import java_split
 from .relational import group_top_n
 
 # The reference's window length and slide.
@@ -31,7 +32,7 @@ def goods_from_events(events: DataFrame) -> DataFrame:
 
 def searches_from_lines(lines: DataFrame, value_col: str = "value", ts_col: str = "ts") -> DataFrame:
     """Parse ``user keyword`` lines; lines without a second field are skipped."""
-    keyword = F.get(F.split(F.col(value_col), " "), 1)
+    keyword = F.get(java_split(F.col(value_col)), 1)  # trailing spaces make no field
     return lines.select(F.col(ts_col).alias("ts"), keyword.alias("keyword")).where(F.col("keyword").isNotNull())
 
 
@@ -39,7 +40,7 @@ def goods_from_lines(lines: DataFrame, value_col: str = "value", ts_col: str = "
     """Parse ``user product category`` lines into two columns (no joined
     ``category_product`` key, so ``_`` inside a name is harmless); short lines
     are skipped."""
-    parts = F.split(F.col(value_col), " ")
+    parts = java_split(F.col(value_col))
     return (lines.select(F.col(ts_col).alias("ts"), F.get(parts, 2).alias("category"),
                          F.get(parts, 1).alias("product"))
             .where(F.col("category").isNotNull() & F.col("product").isNotNull()))

@@ -9,9 +9,43 @@ are expanded with ``range`` here and by ``window()`` there.
 
 from __future__ import annotations
 
-from ..functions.params import TaskParams
-from ..operators.sessions import COARSE_SPEC, FINE_SPEC
-from . import queries as q
+from dataclasses import dataclass
+
+# Fixed values, written out here once more so that a wrong edge in the code shows (inclusive; None = open).
+COARSE_SPEC = [
+    ("visit_length", [("0s", 0, 0), ("30s", 1, 30), ("120s", 31, 120), ("300s", 121, 300), ("6000s", 301, 6000),
+                      ("mt6000s", 6001, None)]),
+    ("step_length", [("step10", 1, 10), ("step30", 11, 30), ("step60", 31, 60), ("mtstep60", 61, None)]),
+]
+FINE_SPEC = [
+    ("visit_length", [("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30), ("30s_60s", 31, 60),
+                      ("1m_3m", 61, 180), ("3m_10m", 181, 600), ("10m_30m", 601, 1800), ("30m", 1801, None)]),
+    ("step_length", [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30), ("30_60", 31, 60), ("60", 61, None)]),
+]
+SESSION_RANGE = ("2024-01-03", "2024-01-20")
+
+
+@dataclass(frozen=True)
+class Task:
+    """A task's conditions in SQL terms."""
+    task_id: int
+    start_date: str | None
+    end_date: str | None
+    where: str
+
+
+# The registered tasks, restated.
+TASKS = [
+    Task(1, "2024-01-03", "2024-01-20",
+         "age between 12 and 47 and sex = 'female' and list_has_any(cast(cat_list as varchar[]), "
+         "['1', '5', '9', '13', '17', '21', '25', '29', '33', '37', '41', '45', '49', '53', '57', '61', '65', '69', "
+         "'73', '77', '81', '85', '89', '93', '97'])"),
+    Task(2, None, None,
+         "age between 20 and 40 and city in ('NATION_1', 'NATION_3', 'NATION_5', 'NATION_7', 'NATION_11', 'NATION_13', 'NATION_17') "
+         "and list_has_any(kw_list, ['kw1', 'kw3'])"),
+    Task(3, "2024-01-10", "2024-01-12", "professional = 'BUILDING' and sex = 'male'"),
+    Task(4, "2023-01-01", "2023-01-31", "true"),
+]
 
 K = "cast(json_extract_string(props, '$.k') as bigint)"
 TS = "'%Y-%m-%d %H:%M:%S'"
@@ -40,8 +74,7 @@ from events"""
 USERS_SQL = """select c_custkey as user_id, c_name as username, c_name as name,
   cast(c_custkey % 60 as integer) as age, c_mktsegment as professional, n_name as city,
   case when c_custkey % 2 = 0 then 'male' else 'female' end as sex
-from customer join nation on c_nationkey = n_nationkey
-where c_custkey % 10 <> 0"""
+from customer join nation on c_nationkey = n_nationkey"""
 
 
 def _date_where(start: str | None, end: str | None) -> str:
@@ -67,33 +100,12 @@ SESSION_TEXT_COLS = """session_id, user_id, array_to_string(kw_list, ',') as sea
   array_to_string(cat_list, ',') as click_category_ids, step_length, visit_length"""
 
 
-def _list(values) -> str:
-    return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
-
-
-def predicate_sql(p: TaskParams) -> str:
-    conds = []
-    if p.start_age is not None and p.end_age is not None:
-        conds.append(f"coalesce(age between {p.start_age} and {p.end_age}, false)")
-    if p.professionals is not None:
-        conds.append(f"coalesce(list_has_any(string_split(professional, ','), {_list(p.professionals)}), false)")
-    if p.cities is not None:
-        conds.append(f"coalesce(list_has_any(string_split(city, ','), {_list(p.cities)}), false)")
-    if p.sex is not None:
-        conds.append(f"coalesce(sex = '{p.sex}', false)")
-    if p.keywords is not None:
-        conds.append(f"coalesce(list_has_any(kw_list, {_list(p.keywords)}), false)")
-    if p.category_ids is not None:
-        conds.append(f"coalesce(list_has_any(cast(cat_list as varchar[]), {_list(p.category_ids)}), false)")
-    return " and ".join(conds) if conds else "true"
-
-
-def joined_sql(p: TaskParams | None, grain: str, start=None, end=None) -> str:
+def joined_sql(p: Task | None, grain: str, start=None, end=None) -> str:
     """Sessions (list form) joined to users, optionally filtered by a task."""
     if p is not None:
         start, end = p.start_date, p.end_date
     acts = f"select * from ({actions_sql(grain)}) x {_date_where(start, end)}"
-    where = f"where {predicate_sql(p)}" if p is not None else ""
+    where = f"where {p.where}" if p is not None else ""
     return f"""select s.session_id, s.kw_list, s.cat_list, s.step_length, s.visit_length,
   u.age, u.professional, u.city, u.sex, s.user_id
 from ({sessions_sql(acts)}) s join ({USERS_SQL}) u on s.user_id = u.user_id {where}"""
@@ -125,7 +137,7 @@ def buckets_sql(sessions: str, spec, with_share: bool = False) -> str:
     return f"with agg as (select {', '.join(aggs)} from ({sessions}) s)\n" + "\nunion all\n".join(rows)
 
 
-def task_stats_sql(tasks: list[TaskParams]) -> str:
+def task_stats_sql(tasks: list[Task]) -> str:
     parts = []
     for t in tasks:
         aggs, outs = ["count(*) as session_count"], []
@@ -134,7 +146,7 @@ def task_stats_sql(tasks: list[TaskParams]) -> str:
                 aggs.append(f"count(*) filter (where {_bucket_cond(metric, lo, hi)}) as {metric}_{name}")
                 outs.append(f"{_share(f'{metric}_{name}', 'session_count')} as {metric}_{name}_ratio")
         parts.append(f"""select cast({t.task_id} as bigint) as task_id, session_count, {', '.join(outs)}
-from (select {', '.join(aggs)} from ({joined_sql(t, q.FINE_GRAIN)}) j) c""")
+from (select {', '.join(aggs)} from ({joined_sql(t, "week")}) j) c""")
     return "\nunion all\n".join(parts)
 
 
@@ -149,18 +161,15 @@ WORD_COUNT_SQL = (f"select word, count(*) as count from (select {_java_tokens('l
                   f"from ({DOC_LINES}) l) t group by word")
 
 
-def _hot_sql(source: str, keys: list[str], out: str, order: str, closed: bool) -> str:
+def _hot_sql(source: str, keys: list[str], out: str, order: str) -> str:
     keycols = ", ".join(keys)
-    cut = ""
-    if closed:
-        cut = "where window_end <= (select max(ts) from src) - interval 1 hour"
     part = ", ".join(["window_start"] + keys[:-1])
     return f"""with src as ({source}),
 w as (select date_trunc('hour', ts) - i * interval 1 hour as window_start, {keycols}
       from src, unnest(range(0, 6)) r(i)),
 c as (select window_start, window_start + interval 6 hour as window_end, {keycols}, count(*) as {out}
       from w group by all),
-k as (select *, row_number() over (partition by {part} order by {out} desc, {order}) as rk from c {cut})
+k as (select *, row_number() over (partition by {part} order by {out} desc, {order}) as rk from c)
 select strftime(window_start, {TS}) as window_start, strftime(window_end, {TS}) as window_end,
   {keycols}, {out}, cast(rk as bigint) as rank from k where rk <= 3"""
 
@@ -169,6 +178,15 @@ SEARCH_SRC = f"select ts, 'kw' || cast({K} % 10 as varchar) as keyword from even
 GOODS_SRC = "select ts, event_type as category, json_extract_string(props, '$.k') as product from events"
 
 
+# Lines, then fields: what is left of a line without its trailing spaces, by position.
+LINES_SRC = f"""select ts, f[3] as category, f[2] as product from (
+  select ts, string_split(rtrim(case when event_id % 11 = 0 then cast(user_id as varchar)
+    when event_id % 7 = 0 then cast(user_id as varchar) || ' ' || json_extract_string(props, '$.k') || ' '
+    when event_id % 5 = 0 then cast(user_id as varchar) || ' ' || json_extract_string(props, '$.k') || ' ' || event_type || '  '
+    else cast(user_id as varchar) || ' ' || json_extract_string(props, '$.k') || ' ' || event_type end, ' '), ' ') as f
+  from events) l where len(f) >= 3"""
+
+
 def _kv_sql() -> str:
     kw = "array_to_string(kw_list, ',')"
     cats = "array_to_string(cat_list, ',')"
@@ -179,17 +197,17 @@ def _kv_sql() -> str:
               f" || '|sex=' || sex")
     return f"""select session_id, user_id, {record} as record,
   nullif({kw}, '') as search_keywords, nullif({kw}, '') is null as no_keywords,
-  nullif({cats}, '') as click_category_ids, {step} as step_length, visit_length, city,
+  nullif({cats}, '') is not null as has_categories, nullif({cats}, '') as click_category_ids, {step} as step_length, visit_length, city,
   cast(null as varchar) as missing
 from ({joined_sql(None, 'day')}) j"""
 
 
-TIME_SQL = """with e as (select event_id, strftime(ts, '%Y-%m-%d %-H:%M:%S') as t from events),
-p as (select event_id, t, try_strptime(t, '%Y-%m-%d %H:%M:%S') as parsed, split_part(t, ' ', 1) as d from e)
+TIME_SQL = """with e as (select event_id, ts, strftime(ts, '%Y-%m-%d %-H:%M:%S') as t from events),
+p as (select event_id, ts, t, try_strptime(t, '%Y-%m-%d %H:%M:%S') as parsed, split_part(t, ' ', 1) as d from e)
 select event_id, t as action_time, cast(epoch(parsed) as bigint) as epoch_seconds,
   strftime(parsed, '%Y-%m-%d %H:%M:%S') as time_text, strftime(parsed, '%Y-%m-%d') as date_text,
   d || '_' || split_part(split_part(t, ' ', 2), ':', 1) as date_hour,
-  strftime(cast(parsed as date) - interval 1 day, '%Y-%m-%d') as day_before,
+  strftime(cast(parsed as date) - interval 1 day, '%Y-%m-%d') as day_before, strftime(ts, '%Y-%m-%d') as same_day,
   coalesce(parsed < try_strptime(d || ' 12:00:00', '%Y-%m-%d %H:%M:%S'), false) as before_noon,
   coalesce(parsed > try_strptime(d || ' 12:00:00', '%Y-%m-%d %H:%M:%S'), false) as after_noon,
   coalesce(cast(epoch(parsed) - epoch(try_strptime(d || ' 0:00:00', '%Y-%m-%d %H:%M:%S')) as bigint), 0) as seconds_of_day
@@ -197,54 +215,56 @@ from p"""
 
 
 def oracle_sql() -> dict[str, str]:
-    lo, hi = q.SESSION_RANGE
+    lo, hi = SESSION_RANGE
     day_range_acts = f"select * from ({actions_sql('day')}) x {_date_where(lo, hi)}"
-    fine = joined_sql(q.FILTER_TASK, q.FINE_GRAIN)
+    fine = joined_sql(TASKS[0], 'week')
     return {
         "word_count": WORD_COUNT_SQL,
         "text_file_word_count": WORD_COUNT_SQL,
-        "top_words": f"select word, count from ({WORD_COUNT_SQL}) w order by count desc, word limit {q.TOP_WORDS}",
+        "top_words": f"select word, count from ({WORD_COUNT_SQL}) w order by count desc, word limit {3}",
         "line_count_containing": (f"select line, count(*) as count from ({DOC_LINES}) l "
-                                  f"where contains(line, '{q.LINE_NEEDLE}') group by line"),
+                                  f"where contains(line, 'g') group by line"),
         "parse_delimited": """with l as (select concat_ws(',', c_custkey, c_name, c_nationkey, c_mktsegment) as v from customer)
 select cast(split_part(v, ',', 1) as bigint) as id, split_part(v, ',', 2) as name,
   cast(split_part(v, ',', 3) as integer) as nation from l""",
         "map_double": "select l_orderkey, l_linenumber, l_quantity * 2 as quantity_x2 from lineitem",
         "filter_even": (f"select l_orderkey, l_linenumber, l_quantity from lineitem "
-                        f"where {q.EVEN_COLUMN} % 2 = 0"),
+                        f"where l_linenumber % 2 = 0"),
         "filter_order": (f"select c_custkey as id, c_name as name, c_nationkey as age from customer "
-                         f"where c_nationkey <= {q.AGE_LIMIT} order by id"),
-        "inner_join_sql": q.INNER_JOIN_SQL,
+                         f"where c_nationkey <= 16 order by id"),
+        "inner_join_sql": """select c.c_custkey as id, c.c_name as name, o.o_orderkey as order_key,
+  o.o_totalprice as score from orders o inner join customer c on o.o_custkey = c.c_custkey""",
         "secondary_sort": (f"select o_orderkey, o_custkey, strftime(o_orderdate, {TS}) as o_orderdate, o_totalprice "
                            f"from orders order by o_orderdate desc, o_totalprice desc, o_orderkey"),
         "group_top_n": """select o_custkey, o_orderkey, o_totalprice, cast(rk as bigint) as rank from (
   select o_custkey, o_orderkey, o_totalprice,
     row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as rk from orders) t
 where rk <= 3""",
-        "group_collect": "select user_id, event_type, count(*) as n from events group by user_id, event_type",
+        "group_collect": "select user_id, event_id, count(*) as n from events group by user_id, event_id",
         "count_by_key": "select event_type, count(*) as count from events group by event_type",
-        "count_by_column": ("select coalesce(cast(event_type as varchar), 'null') as key, count(*) as count "
-                            "from events group by 1"),
+        "count_by_column": ("select coalesce(search_keyword, 'null') as key, count(*) as count "
+                            f"from ({actions_sql('day')}) a group by 1"),
         "date_range_scan": (f"select date, user_id, session_id, page_id, strftime(action_time, {TS}) as action_time, "
                             f"search_keyword, cast(click_category_id as varchar) as click_category_id, "
                             f"cast(click_product_id as varchar) as click_product_id, order_category_ids, "
                             f"order_product_ids, pay_category_ids, pay_product_ids from ({day_range_acts}) a"),
         "session_agg": f"select {SESSION_TEXT_COLS} from ({sessions_sql(actions_sql('day'))}) s",
-        "session_user_join": f"select {JOINED_TEXT_COLS} from ({joined_sql(None, 'day', lo, hi)}) j",
+        "session_user_join": f"select {JOINED_TEXT_COLS} from ({joined_sql(None, 'day')}) j",
         "session_filter": f"select {JOINED_TEXT_COLS} from ({fine}) j",
         "session_totals": f"""select cast(sum(step_length) as bigint) as total_actions, count(*) as total_sessions,
   count(u.user_id) as sessions_with_user
 from ({sessions_sql(actions_sql('day'))}) s left join ({USERS_SQL}) u on s.user_id = u.user_id""",
-        "session_buckets_coarse": buckets_sql(sessions_sql(actions_sql(q.COARSE_GRAIN)), COARSE_SPEC),
+        "session_buckets_coarse": buckets_sql(sessions_sql(actions_sql("month")), COARSE_SPEC),
         "session_buckets_fine": buckets_sql(fine, FINE_SPEC),
         "session_bucket_ratio": buckets_sql(fine, FINE_SPEC, with_share=True),
-        "session_task_stats": task_stats_sql(q.STAT_TASKS),
+        "session_task_stats": task_stats_sql(TASKS),
         "session_kv": _kv_sql(),
         "time_normalise": TIME_SQL,
-        "hot_search": _hot_sql(SEARCH_SRC, ["keyword"], "search_count", "keyword", closed=False),
-        "hot_goods": _hot_sql(GOODS_SRC, ["category", "product"], "click_count", "product", closed=False),
-        "stream_hot_search": _hot_sql(SEARCH_SRC, ["keyword"], "search_count", "keyword", closed=True),
-        "stream_hot_goods": _hot_sql(GOODS_SRC, ["category", "product"], "click_count", "product", closed=True),
+        "hot_search": _hot_sql(SEARCH_SRC, ["keyword"], "search_count", "keyword"),
+        "hot_goods": _hot_sql(GOODS_SRC, ["category", "product"], "click_count", "product"),
+        "hot_goods_lines": _hot_sql(LINES_SRC, ["category", "product"], "click_count", "product"),
+        "stream_hot_search": _hot_sql(SEARCH_SRC, ["keyword"], "search_count", "keyword"),
+        "stream_hot_goods": _hot_sql(GOODS_SRC, ["category", "product"], "click_count", "product"),
         "stream_running_count": WORD_COUNT_SQL,
         "stream_batch_word_count": f"select word, count, cast(0 as bigint) as batch_id from ({WORD_COUNT_SQL}) w",
         "stream_topic_word_count": (f"select word, count(*) as count, cast(0 as bigint) as batch_id from "

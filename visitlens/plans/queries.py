@@ -16,10 +16,8 @@ from ..functions.params import TaskParams
 from ..operators import relational as rel
 from ..operators import sessions as ses
 from ..operators import text, windows
-from ..operators.metrics import observe_counts
 from ..operators.partitioning import spread
-from ..session import fresh_path
-from ..sources import parquet_table_stream, parse_delimited, read_lines, read_table
+from ..sources import parquet_table_stream, parse_delimited, read_table
 from ..streaming import jobs
 from ..streaming.runner import StreamTable
 
@@ -28,7 +26,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # Parameters of the registered queries (shared with the oracle SQL).
 SESSION_RANGE = ("2024-01-03", "2024-01-20")
 FILTER_TASK_JSON = ("{'startDate':['2024-01-03'],'endDate':['2024-01-20'],"
-                    "'startAge':['10'],'endAge':['50'],'sex':['female'],"
+                    "'startAge':['12'],'endAge':['47'],'sex':['female'],"
                     "'categoryIds':['1,5,9,13,17,21,25,29,33,37,41,45,49,53,57,61,65,69,73,77,81,85,89,93,97']}")
 FILTER_TASK = TaskParams.from_json(FILTER_TASK_JSON, task_id=1)
 STAT_TASK_JSONS = [
@@ -37,7 +35,6 @@ STAT_TASK_JSONS = [
     "{'startDate':['2024-01-10'],'endDate':['2024-01-12'],'professionals':['BUILDING'],'sex':['male']}",
     "{'startDate':['2023-01-01'],'endDate':['2023-01-31']}",
 ]
-STAT_TASKS = [TaskParams.from_json(j, task_id=i + 1) for i, j in enumerate(STAT_TASK_JSONS)]
 FINE_GRAIN = "week"
 COARSE_GRAIN = "month"
 HOT_LENGTH, HOT_SLIDE, HOT_DELAY = "6 hours", "1 hour", "1 hour"
@@ -57,8 +54,9 @@ def _actions(spark, d, grain="day") -> DataFrame:
     return ses.actions_from_events(_t(spark, d, "events"), grain)
 
 
-def _users(spark, d) -> DataFrame:
-    return ses.users_from_customer(_t(spark, d, "customer"), _t(spark, d, "nation"))
+def _users(spark, d) -> tuple[DataFrame, DataFrame]:
+    """The user table and its cities."""
+    return ses.users_from_customer(_t(spark, d, "customer")), ses.cities_from_nation(_t(spark, d, "nation"))
 
 
 def _doc_lines(spark, d) -> DataFrame:
@@ -77,14 +75,9 @@ def q_word_count(spark, d):
 
 
 def q_text_file_word_count(spark, d):
-    """Word count over real text files: the documents are written as text
-    (one file line per text line) to the shared folder, then read back with
-    ``spark.read.text`` as any folder of text files would be. The staging
-    copy exists only because the given corpus is parquet; on text input,
-    ``read_lines`` reads the files where they are."""
-    path = fresh_path(spark, "documents-text")
-    spread(_t(spark, d, "documents").select("text")).write.text(path)
-    return text.word_count(read_lines(spark, path))
+    """Word count over lines as ``read_lines`` gives them (``value``). The given corpus is parquet, so its
+    texts' lines stand for a folder of text files; no copy is written. Real files are read in the tests."""
+    return text.word_count(_doc_lines(spark, d))
 
 
 def q_top_words(spark, d):
@@ -118,7 +111,7 @@ def q_filter_even(spark, d):
     return rel.filter_even(li, EVEN_COLUMN)
 
 
-FILTER_ORDER_SQL = "select * from students where age <= :max_age order by id"
+FILTER_ORDER_SQL = "select * from {students} where age <= :max_age order by id"
 
 
 def q_filter_order(spark, d):
@@ -128,7 +121,7 @@ def q_filter_order(spark, d):
 
 
 INNER_JOIN_SQL = ("select st.c_custkey as id, st.c_name as name, sc.o_orderkey as order_key, "
-                  "sc.o_totalprice as score from customer st, orders sc where st.c_custkey = sc.o_custkey")
+                  "sc.o_totalprice as score from {customer} st, {orders} sc where st.c_custkey = sc.o_custkey")
 
 
 def q_inner_join_sql(spark, d):
@@ -149,7 +142,7 @@ def q_group_top_n(spark, d):
 
 
 def q_group_collect(spark, d):
-    return rel.group_collect(_t(spark, d, "events"), "user_id", "event_type")
+    return rel.group_collect(_t(spark, d, "events"), "user_id", "event_id")
 
 
 def q_count_by_key(spark, d):
@@ -157,7 +150,9 @@ def q_count_by_key(spark, d):
 
 
 def q_count_by_column(spark, d):
-    return rel.count_by_position(_t(spark, d, "events"), 3)
+    # the fourth column holds NULLs (events that are no search)
+    acts = _actions(spark, d).select("date", "user_id", "session_id", "search_keyword")
+    return rel.count_by_position(acts, 3)
 
 
 # -- sessions ------------------------------------------------------------------
@@ -176,17 +171,17 @@ def q_session_agg(spark, d):
 
 
 def q_session_user_join(spark, d):
-    sessions = ses.session_agg(ses.date_range(_actions(spark, d), *SESSION_RANGE))
-    return ses.sessions_as_text(ses.session_user_join(sessions, _users(spark, d)))
+    sessions = ses.session_agg(_actions(spark, d))
+    return ses.sessions_as_text(ses.session_user_join(sessions, *_users(spark, d)))
 
 
 def q_session_filter(spark, d):
-    return ses.sessions_as_text(ses.filtered_sessions(_actions(spark, d, FINE_GRAIN), _users(spark, d),
+    return ses.sessions_as_text(ses.filtered_sessions(_actions(spark, d, FINE_GRAIN), *_users(spark, d),
                                                       FILTER_TASK))
 
 
 def q_session_totals(spark, d):
-    return ses.session_totals(ses.session_agg(_actions(spark, d)), _users(spark, d))
+    return ses.session_totals(ses.session_agg(_actions(spark, d)), _users(spark, d)[0])
 
 
 def q_session_buckets_coarse(spark, d):
@@ -194,22 +189,23 @@ def q_session_buckets_coarse(spark, d):
 
 
 def q_session_buckets_fine(spark, d):
-    filtered = ses.filtered_sessions(_actions(spark, d, FINE_GRAIN), _users(spark, d), FILTER_TASK)
+    filtered = ses.filtered_sessions(_actions(spark, d, FINE_GRAIN), *_users(spark, d), FILTER_TASK)
     return ses.bucket_counts(filtered, ses.FINE_SPEC)
 
 
 def q_session_bucket_ratio(spark, d):
-    filtered = ses.filtered_sessions(_actions(spark, d, FINE_GRAIN), _users(spark, d), FILTER_TASK)
+    filtered = ses.filtered_sessions(_actions(spark, d, FINE_GRAIN), *_users(spark, d), FILTER_TASK)
     return ses.bucket_counts(filtered, ses.FINE_SPEC, with_share=True)
 
 
 def q_session_task_stats(spark, d):
-    return ses.session_task_stats(spark, _actions(spark, d, FINE_GRAIN), _users(spark, d), STAT_TASKS)
+    tasks = spark.createDataFrame(list(enumerate(STAT_TASK_JSONS, 1)), "task_id long, params string")
+    return ses.session_task_stats(_actions(spark, d, FINE_GRAIN), *_users(spark, d), tasks)
 
 
 def q_session_kv(spark, d):
     """Sessions encoded as ``k=v|...`` records, one field rewritten, fields read back."""
-    joined = ses.session_user_join(ses.session_agg(_actions(spark, d)), _users(spark, d))
+    joined = ses.session_user_join(ses.session_agg(_actions(spark, d)), *_users(spark, d))
     keywords = fn.trim_comma(F.concat(F.array_join("search_keywords", ","), F.lit(",")))
     categories = fn.trim_comma(F.concat(F.array_join(F.col("click_category_ids").cast("array<string>"), ","),
                                         F.lit(",")))
@@ -233,7 +229,8 @@ def q_session_kv(spark, d):
         fn.kv_get(rec, "city").alias("city"),
         fn.kv_get(rec, "missing").alias("missing"),
     )
-    return decoded.withColumn("no_keywords", fn.is_empty(F.col("search_keywords")))
+    return decoded.withColumns({"no_keywords": fn.is_empty(F.col("search_keywords")),
+                                "has_categories": fn.is_not_empty(F.col("click_category_ids"))})
 
 
 def q_time_normalise(spark, d):
@@ -242,8 +239,6 @@ def q_time_normalise(spark, d):
     ev = _t(spark, d, "events").select("event_id", F.date_format("ts", fn.dates.FORMAT_TIME_UNPADDED).alias("t"))
     t = F.col("t")
     parsed = fn.parse_time(t)
-    # Rows whose time text does not parse are kept (NULL) and counted on the side.
-    ev, _ = observe_counts(ev, "time_normalise", unparsed=parsed.isNull())
     day = F.get(F.split(t, " "), 0)
     noon = F.concat(day, F.lit(" " + TIME_TEXT_BOUND))
     midnight = F.concat(day, F.lit(" 0:00:00"))
@@ -255,6 +250,7 @@ def q_time_normalise(spark, d):
         fn.format_date(parsed).alias("date_text"),
         fn.date_hour(t).alias("date_hour"),
         fn.yesterday(parsed.cast("date")).alias("day_before"),
+        fn.today(parsed.cast("date")).alias("same_day"),
         fn.before(t, noon).alias("before_noon"),
         fn.after(t, noon).alias("after_noon"),
         fn.minus_seconds(t, midnight).alias("seconds_of_day"),
@@ -278,6 +274,22 @@ def q_hot_goods(spark, d):
                                         HOT_LENGTH, HOT_SLIDE))
 
 
+def event_lines(events: DataFrame) -> DataFrame:
+    """``(ts, value)``: every event as a ``user product category`` line; some lines lack fields, some end in spaces."""
+    k = F.get_json_object("props", "$.k")
+    e = F.col("event_id")
+    line = (F.when(e % 11 == 0, F.col("user_id").cast("string"))
+            .when(e % 7 == 0, F.concat_ws(" ", F.col("user_id"), k, F.lit("")))
+            .when(e % 5 == 0, F.concat_ws(" ", F.col("user_id"), k, F.col("event_type"), F.lit(""), F.lit("")))
+            .otherwise(F.concat_ws(" ", F.col("user_id"), k, F.col("event_type"))))
+    return events.select("ts", line.alias("value"))
+
+
+def q_hot_goods_lines(spark, d):
+    """``hot_goods`` from text lines: fields by position, lines that are too short are skipped."""
+    return _flat_text(windows.hot_goods(windows.goods_from_lines(event_lines(_t(spark, d, "events"))), HOT_LENGTH, HOT_SLIDE))
+
+
 # -- streaming -------------------------------------------------------------------
 
 def _tz(spark) -> str:
@@ -291,7 +303,7 @@ def _event_stream(spark, d) -> DataFrame:
 
 def _stream_windows_text(spark, out: DataFrame) -> DataFrame:
     tz = _tz(spark)
-    return _flat_text(out.drop("batch_id").withColumns({
+    return _flat_text(out.drop("is_open").withColumns({
         "window_start": fn.instant_as_wall_clock(F.col("window_start"), tz),
         "window_end": fn.instant_as_wall_clock(F.col("window_end"), tz)}))
 
@@ -358,6 +370,7 @@ QUERIES: dict[str, QueryFn] = {
     "time_normalise": q_time_normalise,
     "hot_search": q_hot_search,
     "hot_goods": q_hot_goods,
+    "hot_goods_lines": q_hot_goods_lines,
     "stream_hot_search": q_stream_hot_search,
     "stream_hot_goods": q_stream_hot_goods,
     "stream_running_count": q_stream_running_count,
