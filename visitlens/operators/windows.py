@@ -46,13 +46,25 @@ def goods_from_lines(lines: DataFrame, value_col: str = "value", ts_col: str = "
             .where(F.col("category").isNotNull() & F.col("product").isNotNull()))
 
 
+def _seconds(duration: str) -> int:
+    """Seconds of a duration such as ``"60 seconds"`` or ``"6 hours"``."""
+    amount, unit = duration.split()
+    return int(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
+
+
 def sliding_counts(df: DataFrame, keys: list[str], length: str, slide: str, out: str,
                    ts_col: str = "ts") -> DataFrame:
     """Rows per ``(window, *keys)`` over windows ``[start, start+length)``
-    every ``slide``, aligned to the epoch. Each row is counted in
-    ``length/slide`` windows, combined map-side before the shuffle."""
-    return df.groupBy(F.window(ts_col, length, slide).alias("window"), *keys).agg(
-        F.count(F.lit(1)).alias(out))
+    every ``slide``, aligned to the epoch (``length`` is a multiple of ``slide``).
+
+    Rows are first counted per slide-sized pane, combined map-side; only a pane's
+    count then goes to the ``length/slide`` windows that hold the pane, so the fan-out grows
+    with panes and keys, not with rows."""
+    if _seconds(length) % _seconds(slide):
+        raise ValueError("the window length must be a multiple of the slide")
+    panes = df.groupBy(F.window(ts_col, slide).alias("pane"), *keys).agg(F.count(F.lit(1)).alias("pane_rows"))
+    return (panes.select(F.window(F.col("pane.start"), length, slide).alias("window"), *keys, "pane_rows")
+            .groupBy("window", *keys).agg(F.sum("pane_rows").alias(out)))
 
 
 def flatten_window(df: DataFrame) -> DataFrame:
