@@ -72,7 +72,8 @@ def run_query(spark, args):
 
     df = QUERIES[args.key](spark, args.sf_dir)
     if args.out:
-        write_table(df, args.out)
+        # a task's row replaces that task's only
+        write_table(df, args.out, partition_by=["task_id"] if "task_id" in df.columns else None)
         print(f"written: {args.out}")
     else:
         df.show(args.show, truncate=False)
