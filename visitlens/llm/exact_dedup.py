@@ -1,8 +1,8 @@
 """Exact duplicates by a heavy-hitter split, in DataFrame operations only.
 
-1. A Misra-Gries sketch (``approx_top_k``, merged in two levels) names at most
-   ``TOP_K`` digests that may be frequent; it holds ``TRACKED`` digests at once and cannot miss one
-   that has more than 1 / (0.75 * TRACKED) of the rows.
+1. Misra-Gries sketches (``approx_top_k``), one for each of ``SKETCHES`` groups of input partitions, name the
+   digests that may be frequent; each holds ``TRACKED`` digests at once and cannot lose one that has more
+   than 1 / (0.75 * TRACKED) of its rows. Their counts are summed and the first ``TOP_K`` are taken.
 2. The named digests are counted exactly. Those with at least ``MIN_SHARE`` of the rows win; a winner's
    largest id and its count are broadcast (``TOP_K`` rows at most).
 3. Map side: rows of a winning digest with a smaller id are finished on the spot and are never shuffled.
@@ -22,17 +22,16 @@ from .common import materialize, text_or_empty
 TOP_K = 256
 TRACKED = 8192
 MIN_SHARE = 1 / 4096
-#: Sketches that meet in the last merge, whatever the number of input partitions.
+#: Sketches whose first ``TOP_K`` digests meet, whatever the number of input partitions.
 SKETCHES = 64
 
 
 def heavy_digests(rows: DataFrame) -> DataFrame:
     """``(digest, top_id, size)`` of the frequent digests of ``rows(doc_id, digest)``: ``TOP_K`` rows at most."""
-    sketches = (rows.groupBy((F.spark_partition_id() % SKETCHES).alias("part"))
-                .agg(F.expr(f"approx_top_k_accumulate(digest, {TRACKED})").alias("sketch")))
-    named = (sketches.agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
-             .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {TOP_K})")).alias("top"))
-             .select(F.col("top.item").alias("digest")).where(F.col("digest").isNotNull()))
+    parts = (rows.groupBy((F.spark_partition_id() % SKETCHES).alias("part"))
+             .agg(F.expr(f"approx_top_k(digest, {TOP_K}, {TRACKED})").alias("top")))
+    named = (parts.select(F.explode("top").alias("t")).groupBy(F.col("t.item").alias("digest")).agg(F.sum("t.count").alias("n"))
+             .where(F.col("digest").isNotNull()).orderBy(F.desc("n"), "digest").limit(TOP_K).select("digest"))
     counted = (rows.join(F.broadcast(named), "digest", "left_semi").groupBy("digest")
                .agg(F.max("doc_id").alias("top_id"), F.count(F.lit(1)).alias("size")))
     total = rows.agg((F.count(F.lit(1)) * MIN_SHARE).alias("least"))
