@@ -188,3 +188,12 @@ def test_lines_edges(edge, nothing):
     assert {(r.text, r.n_lines, r.n_removed) for r in rows if r.doc_id == 4} == {("", 1, 0)}
     assert sum(r.n_removed for r in rows) == 0
     assert line_dedup.dedup_lines(nothing).collect() == []
+
+
+def test_key_bitmap_never_misses(spark):
+    from visitlens.llm.common import may_hold
+    keys = spark.range(0, 3000, 7).withColumnRenamed("id", "k")
+    test = may_hold(keys, "k")
+    found = {r.id for r in spark.range(3000).where(test(F.col("id"))).collect()}
+    assert {r.k for r in keys.collect()} <= found and len(found) < 600
+    assert spark.range(100).where(may_hold(keys.limit(0), "k")(F.col("id"))).count() == 0
