@@ -324,13 +324,11 @@ def session_task_stats(actions: DataFrame, users: DataFrame, cities: DataFrame,
     """
     parsed = parse_tasks(tasks)
     partials = session_day_partials(actions)
-    # one row; a task without a bound takes the data's
-    span = actions.agg(F.min("date").alias("first_day"), F.max("date").alias("last_day")).where(F.col("first_day").isNotNull())
-    lo = F.greatest("start_date", "first_day").cast("date")
-    hi = F.least("end_date", "last_day").cast("date")
-    days = (parsed.select("task_id", "start_date", "end_date").join(F.broadcast(span), F.col("first_day").isNotNull())
-            .where(lo <= hi)
-            .select("task_id", F.explode(F.sequence(lo, hi)).alias("day"))
+    # a task without a bound takes the data's; the two scalars are subqueries, run once
+    first_day, last_day = (actions.agg(f("date")).scalar() for f in (F.min, F.max))
+    lo, hi = F.col("lo").cast("date"), F.col("hi").cast("date")
+    days = (parsed.select("task_id", F.greatest(F.col("start_date"), first_day).alias("lo"), F.least(F.col("end_date"), last_day).alias("hi"))
+            .where(lo <= hi).select("task_id", F.explode(F.sequence(lo, hi)).alias("day"))
             .select("task_id", F.col("day").cast("string").alias("date")))
     per_task = merge_day_partials(partials.join(days, "date"), ("task_id", "session_id"))
     wanted = parsed.drop("start_date", "end_date").withColumnRenamed("sex", "t_sex")
