@@ -1,6 +1,5 @@
 import contextlib
 import io
-import os
 
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -52,10 +51,11 @@ def byte_bpe():
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
-def pytest_configure(config):
-    # Python workers import the package too
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    os.environ["PYTHONPATH"] = os.pathsep.join([root, *filter(None, [os.environ.get("PYTHONPATH")])])
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    """The Python workers import the package too, from whatever folder pytest was started in."""
+    from visitlens.session import ship_package
+    ship_package(spark)
 
 
 def explain_text(df):

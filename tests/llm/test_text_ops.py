@@ -83,11 +83,17 @@ def test_collisions_are_resolved_and_distinct(spark, monkeypatch):
 
 
 def test_replacement_uses_the_attempts(spark):
-    docs = [(i, f"dial +49{i % 60:02d} 1234567 or mail a{i % 60}@b.example.com") for i in range(120)]
-    rows = pii.replace_private_data(spark.createDataFrame(docs, "doc_id long, text string"), report=True).collect()
+    # three free digits: many first surrogates collide, with each other and with the corpus's own numbers
+    numbers = [f"+1 2{i // 100} {i % 100:02d}" for i in range(250)]
+    docs = [(i, f"dial {numbers[i % 250]} or mail a{i % 250}@b.example.com") for i in range(500)] + [(900, "nothing here"), (901, None)]
+    rows = pii.replace_private_data(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), report=True).collect()
     by = {r.doc_id: r for r in rows}
-    assert all(r.n_replaced == 2 and r.kinds == "email,phone" for r in rows)
-    assert all(by[i].text == by[i + 60].text for i in range(60)) and len({r.text for r in rows}) == 60
+    assert len(rows) == 502 and (by[900].text, by[901].text) == ("nothing here", None)
+    assert all(by[i].n_replaced == 2 and by[i].kinds == "email,phone" for i in range(500))
+    assert all(by[i].text == by[i + 250].text for i in range(250))
+    new = [by[i].text.split(" or mail ") for i in range(250)]
+    assert len({a for a, _ in new}) == len({b for _, b in new}) == 250
+    assert not {a for a, _ in new} & {f"dial {n}" for n in numbers}
 
 
 def test_pii_edges(edge, nothing):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +11,10 @@ from pyspark.sql import functions as F
 
 from ..operators.materialize import materialize
 
-__all__ = ["id_table", "large_strings", "materialize", "shuffle_partitions", "text_or_empty", "utf8_blocks"]
+__all__ = ["id_table", "may_hold", "materialize", "shuffle_partitions", "text_or_empty", "utf8_blocks"]
+
+#: Size of a key bitmap (1 MB), and of the pieces that Spark's bitmap aggregate builds.
+BITMAP_BITS, PIECE_BITS = 1 << 23, 1 << 15
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -25,9 +30,28 @@ def id_table(df: DataFrame, id_col: str, text_col: str, label: str = "text") ->
     return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias(label))
 
 
-def large_strings(values: list) -> pa.Array:
-    """A string array that may pass 2 GB in one batch is split by the caller; here it must fit."""
-    return pa.array(values, pa.string())
+def may_hold(keys: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test whether a long key may be in ``keys``: never false for a key that is, seldom true for
+    one that is not.
+
+    It lets the rows that no key touches stay where they are, so that only the others (and few more) are shuffled to an
+    exact join. The keys are hashed into a bitmap of ``BITMAP_BITS`` bits, aggregated in Spark; its size, and
+    that of what reaches the driver and the executors, is fixed. With more keys more rows pass to the exact join.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS))
+    pieces = (keys.select(place.alias("place")).groupBy(F.floor(F.col("place") / PIECE_BITS).alias("piece"))
+              .agg(F.bitmap_construct_agg(F.col("place") % PIECE_BITS).alias("bits")).collect())
+    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
+    size = PIECE_BITS // 8
+    for piece, bits in pieces:  # BITMAP_BITS / PIECE_BITS rows at most
+        bitmap[piece * size:(piece + 1) * size] = np.frombuffer(bits, np.uint8)
+
+    @F.arrow_udf("boolean")
+    def held(places: pa.Array) -> pa.Array:
+        at = places.to_numpy(zero_copy_only=False).astype(np.int64)
+        return pa.array((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return lambda column: held(F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)))
 
 
 def utf8_blocks(column: pa.Array, max_bytes: int = 1 << 21):

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import materialize, text_or_empty
+from .common import materialize, may_hold, text_or_empty
 
 WINDOW_LINES = 3
 
@@ -74,13 +74,19 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     A text whose lines are all removed becomes empty. An empty table gives an empty result.
     """
     windows = materialize(line_windows(df, id_col, text_col), "line-windows")
-    later = materialize(later_windows(windows), "later-windows")
-    found = later.select(F.col("doc.id").alias("__id"), F.col("doc.text").alias("__hash"), F.col("ats").alias("__ats"))
+    later = materialize(later_windows(windows).withColumn("key", F.xxhash64("doc")), "later-windows")
     text = text_or_empty(text_col)
-    joined = df.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
-    # only the texts to be cut travel to Python
-    cut = joined.withColumn("__cut", _cut(F.when(F.col("__ats").isNotNull(), F.col(text_col)), F.col("__ats")))
-    columns = [F.coalesce(F.col("__cut.text"), F.col(f"`{c}`")).alias(c) if c == text_col else F.col(f"`{c}`")
-               for c in df.columns if c not in ("n_lines", "n_removed")]
+    doc = _key(text, F.col(id_col))
+    touched = may_hold(later, "key")(F.xxhash64(doc))
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long")
-    return cut.select(*columns, n_lines.alias("n_lines"), F.col("__cut.removed").alias("n_removed"))
+    others = [c for c in df.columns if c not in ("n_lines", "n_removed")]
+    counted = df.select(*[F.col(f"`{c}`") for c in others], n_lines.alias("n_lines"))
+
+    # only texts to be cut are shuffled and travel to Python
+    found = later.select(F.col("doc.id").alias("__id"), F.col("doc.text").alias("__hash"), F.col("ats").alias("__ats")).hint("merge")
+    joined = counted.where(touched).join(
+        found, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
+    cut = (joined.withColumn("__cut", _cut(F.col(text_col), F.col("__ats")))
+           .select(*[F.col("__cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in others],
+                   "n_lines", F.col("__cut.removed").alias("n_removed")))
+    return counted.where(~touched).withColumn("n_removed", F.lit(0).cast("long")).unionByName(cut)
