@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_table, materialize
+from .common import id_table, materialize, may_hold
 from .graph import connected_components
 
 SHINGLE_WORDS = 3
@@ -149,5 +149,8 @@ def drop_near_dups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``df`` without the rows whose class has a smaller id (all columns kept).
     Rows with a null id stay; rows that share an id share its fate."""
     marked = simhash_near_dups(df, id_col, text_col, shingle)
-    lost = marked.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__lost")).distinct()
-    return df.join(lost, F.col(id_col) == F.col("__lost"), "left_anti")
+    lost = materialize(marked.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__lost")).distinct(),
+                       "near-dups")
+    key = F.col(id_col).cast("long")
+    suspect = may_hold(lost, "__lost")(key)
+    return df.where(~suspect).unionByName(df.where(suspect).join(lost.hint("merge"), key == F.col("__lost"), "left_anti"))
