@@ -21,9 +21,13 @@ GROUPS = [
     ("Sessions", ["date_range_scan", "session_agg", "session_user_join", "session_filter", "session_totals",
                   "session_buckets_coarse", "session_buckets_fine", "session_bucket_ratio",
                   "session_task_stats", "session_kv", "time_normalise"]),
-    ("Windows (batch twins)", ["hot_search", "hot_goods"]),
+    ("Windows (batch twins)", ["hot_search", "hot_goods", "hot_goods_lines"]),
     ("Streaming (run to end + read back)", ["stream_hot_search", "stream_hot_goods", "stream_running_count",
                                             "stream_batch_word_count", "stream_topic_word_count"]),
+    ("Training data (one timed run)", ["op1_simhash_near_dups", "op2_hilbert_shards", "op3_exact_duplicates",
+                                       "op4_pii_surrogates", "op5_chunk_fingerprints", "op6_quality_scores",
+                                       "op7_best_two_fit", "op8_rank_queue_bpe", "op9_license_templates",
+                                       "op10_line_windows", "pipeline"]),
 ]
 
 
@@ -33,7 +37,7 @@ def section(runs: list[dict]) -> str:
     head = ["Median s"] + [f"earlier run {i}" for i in range(1, len(runs))]
     lines = [MARK, "",
              f"`python bench.py` at sf{latest['sf']}, `local[{latest['cpus']}]`, {latest['shuffle_partitions']} shuffle "
-             "partitions (earlier runs: 8), AQE on, RocksDB state store; one warm-up run, then the median of "
+             "partitions, AQE on, RocksDB state store; one warm-up run, then the median of "
              f"{latest['runs']} runs. Each run executes the whole plan into the `noop` sink (every column "
              "computed, nothing collected); streaming keys include running the stream to the end with "
              "`availableNow` and reading its output back. At this size the times are dominated by per-job "

@@ -48,7 +48,7 @@ def summarise(plan: str) -> dict:
 
 def main(argv) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    import __spark_entry__ as entry
+    from visitlens.plans.queries import QUERIES
     from visitlens.session import build_session
 
     spark = build_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
@@ -58,7 +58,7 @@ def main(argv) -> None:
     print("| Query | Shuffles | Broadcasts | Top-N limit | Cartesian | Scans (columns read; pushed filters) |")
     print("|---|---|---|---|---|---|")
     details = []
-    for key, fn in entry.queries().items():
+    for key, fn in QUERIES.items():
         if key.startswith("stream_"):
             continue
         s = summarise(formatted_plan(fn(spark, sf_dir)))
