@@ -1,7 +1,7 @@
 """Byte-level BPE with a hierarchical-bitmap rank queue.
 
 A pre-token is a linked list of tokens. Each mergeable neighbour pair waits in the bucket of its
-merge rank; a three-level bitmap over the ranks finds the lowest waiting rank by
+merge rank; a two-level bitmap over the ranks finds the lowest waiting rank by
 find-first-set. A bucket's positions are merged from left to right, entries whose
 pair has changed meanwhile are skipped. No step scans the list, so the cost of a very long
 pre-token grows with its length only.
@@ -22,52 +22,12 @@ from pyspark.sql import functions as F
 from .common import id_table
 
 #: Encoded pre-tokens a Python worker remembers (in each of two generations), and the longest remembered.
-CACHE_ENTRIES, CACHE_CHARS = 400_000, 48
-
-
-class RankQueue:
-    """Positions by merge rank; 64-way bitmap words on three levels (ranks below 2**18)."""
-
-    def __init__(self, ranks: int):
-        if ranks > 1 << 18:
-            raise ValueError("three levels hold 2**18 ranks")
-        self.buckets: dict[int, list[int]] = {}
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.mid = [0] * ((ranks >> 12) + 1)
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            return
-        self.buckets[rank] = [position]
-        word = rank >> 6
-        if not self.low[word]:
-            if not self.mid[rank >> 12]:
-                self.top |= 1 << (rank >> 12)
-            self.mid[rank >> 12] |= 1 << (word & 63)
-        self.low[word] |= 1 << (rank & 63)
-
-    def lowest(self) -> int:
-        """The lowest waiting rank, or -1."""
-        if not self.top:
-            return -1
-        a = (self.top & -self.top).bit_length() - 1
-        m = self.mid[a]
-        b = (a << 6) + (m & -m).bit_length() - 1
-        w = self.low[b]
-        return (b << 6) + (w & -w).bit_length() - 1
-
-    def take(self, rank: int) -> list[int]:
-        """Empty a rank's bucket."""
-        word = rank >> 6
-        self.low[word] &= ~(1 << (rank & 63))
-        if not self.low[word]:
-            self.mid[rank >> 12] &= ~(1 << (word & 63))
-            if not self.mid[rank >> 12]:
-                self.top &= ~(1 << (rank >> 12))
-        return self.buckets.pop(rank)
+CACHE_ENTRIES, CACHE_CHARS = 600_000, 48
+
+
+#: Ranks in a word of the bitmap's lower level; the upper level has a bit for each word that is not empty.
+WORD_BITS = 8
+BIT = [1 << k for k in range(1 << WORD_BITS)]
 
 
 class ByteBPE:
@@ -77,13 +37,15 @@ class ByteBPE:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.queue = RankQueue(max(self.tokens) + 1)
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.words = [0] * ((max(self.tokens) >> WORD_BITS) + 1)  # empty between two pre-tokens
+        if len(self.words) > len(BIT):
+            raise ValueError("two levels hold 2**16 ranks")
+        self.pairs: dict[int, int] = {}  # (left id << 32) + right id -> rank
         for token, rank in ranks.items():
             for i in range(1, len(token)):
                 left, right = ranks.get(token[:i]), ranks.get(token[i:])
                 if left is not None and right is not None:
-                    self.pairs[left, right] = rank
+                    self.pairs[(left << 32) + right] = rank
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one pre-token, merged lowest rank first and leftmost first within a rank."""
@@ -94,44 +56,63 @@ class ByteBPE:
         n = len(ids)
         if n < 2:
             return ids
-        pairs, queue = self.pairs, self.queue
-        push, after, before = queue.push, list(range(1, n + 1)), list(range(-1, n - 1))
+        rank_of, words, top, mask = self.pairs.get, self.words, 0, len(BIT) - 1
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waiting = [-1] * n  # rank of the pair that begins here
-        for i in range(n - 1):
-            rank = pairs.get((ids[i], ids[i + 1]))
+        buckets: dict[int, list[int]] = {}
+        left = ids[0]
+        for i in range(1, n):
+            right = ids[i]
+            rank = rank_of((left << 32) + right)
+            left = right
             if rank is not None:
-                waiting[i] = rank
-                push(rank, i)
-        while (rank := queue.lowest()) >= 0:
-            places = queue.take(rank)
+                waiting[i - 1] = rank
+                if rank in buckets:
+                    buckets[rank].append(i - 1)
+                else:
+                    buckets[rank] = [i - 1]
+                    words[rank >> WORD_BITS] |= BIT[rank & mask]
+                    top |= BIT[rank >> WORD_BITS]
+        while top:
+            # find first set on both levels: the lowest rank that waits; then clear its bits
+            w = (top & -top).bit_length() - 1
+            bits = words[w]
+            rank = (w << WORD_BITS) + (bits & -bits).bit_length() - 1
+            words[w] = bits = bits & (bits - 1)
+            if not bits:
+                top &= top - 1
+            places = buckets.pop(rank)
             if len(places) > 1:
                 places.sort()
             for k, i in enumerate(places):
                 if waiting[i] != rank:
                     continue  # stale
                 j = after[i]
-                ids[i], waiting[j], nxt = rank, -1, after[j]
-                ids[j] = -1
-                after[i] = nxt
-                new = None
+                ids[i], ids[j], waiting[i], waiting[j] = rank, -1, -1, -1
+                after[i] = nxt = after[j]
+                fresh = []
                 if nxt < n:
                     before[nxt] = i
-                    new = pairs.get((rank, ids[nxt]))
-                waiting[i] = -1 if new is None else new
-                lower = False
-                if new is not None:
-                    push(new, i)
-                    lower = new < rank
+                    fresh.append((i, rank_of((rank << 32) + ids[nxt])))
                 h = before[i]
                 if h >= 0:
-                    new = pairs.get((ids[h], rank))
-                    waiting[h] = -1 if new is None else new
+                    waiting[h] = -1
+                    fresh.append((h, rank_of((ids[h] << 32) + rank)))
+                lower = False
+                for at, new in fresh:
                     if new is not None:
-                        push(new, h)
-                        lower = lower or new < rank
+                        waiting[at] = new
+                        lower |= new < rank
+                        if new in buckets:
+                            buckets[new].append(at)
+                        else:
+                            buckets[new] = [at]
+                            words[new >> WORD_BITS] |= BIT[new & mask]
+                            top |= BIT[new >> WORD_BITS]
                 if lower and k + 1 < len(places):  # a lower rank goes first; the others wait again
-                    for i in places[k + 1:]:
-                        push(rank, i)
+                    buckets[rank] = places[k + 1:]
+                    words[w] |= BIT[rank & mask]
+                    top |= BIT[w]
                     break
         return [t for t in ids if t >= 0]
 
