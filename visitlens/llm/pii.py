@@ -20,13 +20,14 @@ import hashlib
 import hmac
 import ipaddress
 import re
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, text_or_empty
+from .common import materialize, may_hold, text_or_empty
 
 #: A caller's own secret; the default only serves tests and the registered query.
 DEFAULT_KEY = "surrogate-key"
@@ -319,13 +320,20 @@ def replace_private_data(df: DataFrame, key: str = DEFAULT_KEY, text_col: str =
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)],
                                           ["text", "n", "kinds"])
 
+    none = F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>")
     if moved.isEmpty():
-        joined = df.withColumn("__moved", F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>"))
-    else:  # a document's list is bounded by its own mentions
-        lists = (found.join(moved, ["kind", "entity"]).groupBy("text_key")
-                 .agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias("__moved")).withColumnRenamed("text_key", "__key"))
-        joined = df.join(lists, F.xxhash64(text_or_empty(text_col)) == F.col("__key"), "left")
-    done = joined.withColumn("__new", rewrite(F.col(text_col), F.col("__moved")))
+        parts = [df.withColumn("__moved", none)]
+    else:
+        # A document's list is bounded by its own mentions. Only documents that hold a moved entity
+        # (and few more) are shuffled to their lists.
+        lists = materialize(found.join(moved, ["kind", "entity"]).groupBy("text_key")
+                            .agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias("__moved")), "moved-lists")
+        text_key = F.xxhash64(text_or_empty(text_col))
+        touched = may_hold(lists, "text_key")(text_key)
+        parts = [df.where(~touched).withColumn("__moved", none),
+                 df.where(touched).join(lists.withColumnRenamed("text_key", "__key").hint("merge"), text_key == F.col("__key"), "left")]
     added = [F.col("__new.n").alias("n_replaced"), F.col("__new.kinds").alias("kinds")] if report else []
-    return done.select(*[F.col("__new.text").alias(c) if c == text_col else F.col(f"`{c}`")
-                         for c in df.columns if not (report and c in ("n_replaced", "kinds"))], *added)
+    done = [part.withColumn("__new", rewrite(F.col(text_col), F.col("__moved")))
+            .select(*[F.col("__new.text").alias(c) if c == text_col else F.col(f"`{c}`")
+                      for c in df.columns if not (report and c in ("n_replaced", "kinds"))], *added) for part in parts]
+    return reduce(DataFrame.unionByName, done)
