@@ -34,9 +34,8 @@ def heavy_digests(rows: DataFrame) -> DataFrame:
              .where(F.col("digest").isNotNull()).orderBy(F.desc("n"), "digest").limit(TOP_K).select("digest"))
     counted = (rows.join(F.broadcast(named), "digest", "left_semi").groupBy("digest")
                .agg(F.max("doc_id").alias("top_id"), F.count(F.lit(1)).alias("size")))
-    total = rows.agg((F.count(F.lit(1)) * MIN_SHARE).alias("least"))
-    return (counted.join(F.broadcast(total), F.col("size") >= F.col("least"))
-            .where(F.col("top_id").isNotNull() & (F.col("size") > 1)).drop("least"))
+    least = rows.agg((F.count(F.lit(1)) * MIN_SHARE).alias("least")).scalar()
+    return counted.where((F.col("size") >= least) & F.col("top_id").isNotNull() & (F.col("size") > 1))
 
 
 def mark_duplicates(rows: DataFrame, heavy: DataFrame) -> DataFrame:
