@@ -43,26 +43,23 @@ SEPARATORS = re.compile("[\x1c-\x1f]")
 MARK = "\x00"
 
 
-class TwoGenerations(dict):
-    """A dictionary of bounded size: when full it becomes the old generation, from which used keys move over."""
+class TwoGenerations:
+    """A dictionary of bounded size: when ``new`` is full it becomes the old generation, from which used keys move over."""
 
     def __init__(self, entries: int):
-        super().__init__()
-        self.entries, self.old = entries, {}
-
-    def unknown(self, keys) -> list:
-        """The keys that neither generation holds."""
-        if len(self) > self.entries:
-            self.old = dict(self)
-            self.clear()
-        old, missing = self.old, []
-        for key in keys:
-            if key not in self:
-                known = old.get(key)
-                if known is not None:
-                    self[key] = known
-                else:
-                    missing.append(key)
+        self.entries, self.new, self.old = entries, {}, {}
+
+    def unknown(self, keys: set) -> list:
+        """The keys that neither generation holds; ``new`` holds the others afterwards."""
+        if len(self.new) > self.entries:
+            self.old, self.new = self.new, {}
+        old, new, missing = self.old, self.new, []
+        for key in keys.difference(new):  # a plain dict: one look-up a key
+            known = old.get(key)
+            if known is not None:
+                new[key] = known
+            else:
+                missing.append(key)
         return missing
 
 
@@ -98,7 +95,7 @@ class WordCache:
         ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
         raw, start = ids.tobytes(), 0
         for part, end in zip(parts, ends, strict=True):
-            self.parts[part] = raw[4 * start:4 * end]
+            self.parts.new[part] = raw[4 * start:4 * end]
             start = end
 
     def _learn_whole(self, words: list[str]) -> None:
@@ -107,10 +104,10 @@ class WordCache:
         cuts = np.flatnonzero(ids == self.mark).tolist()
         if plain:
             for word, a, b in zip(plain, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
-                self.words[word] = ids[a:b].tobytes()
+                self.words.new[word] = ids[a:b].tobytes()
         for word in words:
             if MARK in word:
-                self.words[word] = np.array(self._ids(word), "<u4").tobytes()
+                self.words.new[word] = np.array(self._ids(word), "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [WORDS.findall(t) if SEPARATORS.search(t) else t.split() for t in texts]
@@ -120,18 +117,18 @@ class WordCache:
             missing = self.parts.unknown(set().union(*latin.values()))
             if missing:
                 self._learn_parts(missing)
-            ids_of = self.parts.__getitem__
+            ids_of = self.parts.new.__getitem__
             for word, parts in latin.items():
-                self.words[word] = b"".join(map(ids_of, parts))
+                self.words.new[word] = b"".join(map(ids_of, parts))
         whole = [w for w in unknown if w not in latin]
         if whole:
             self._learn_whole(whole)
-        out = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        out = [b"".join(map(self.words.new.__getitem__, words)) for words in split]
         for word in unknown:
             if len(word) > CACHE_CHARS:
-                del self.words[word]
+                del self.words.new[word]
                 for part in latin.get(word, ()):
-                    self.parts.pop(part, None)
+                    self.parts.new.pop(part, None)
         return out
 
 
