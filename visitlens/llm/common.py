@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from ..operators.materialize import materialize
 
-__all__ = ["id_table", "may_hold", "materialize", "shuffle_partitions", "text_or_empty", "utf8_blocks"]
+__all__ = ["document_batches", "id_table", "may_hold", "materialize", "shuffle_partitions", "text_or_empty", "utf8_blocks"]
 
+BATCH_ROWS, DOCUMENT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 #: Size of a key bitmap (1 MB), and of the pieces that Spark's bitmap aggregate builds.
 BITMAP_BITS, PIECE_BITS = 1 << 23, 1 << 15
 
@@ -25,6 +26,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def document_batches(spark: SparkSession) -> None:
+    """Arrow batches sized for rows that hold whole texts: ``DOCUMENT_ROWS`` instead of Spark's default of 10,000,
+    which is tens of MB a batch in the JVM and again in each Python worker. A session that sets another number keeps it."""
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, str(DOCUMENT_ROWS))
+
+
 def id_table(df: DataFrame, id_col: str, text_col: str, label: str = "text") -> DataFrame:
     """``(doc_id, text)`` of any table, whatever else its columns are called."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias(label))

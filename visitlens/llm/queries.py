@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 
 from ..sources.files import read_table
 from . import bpe, chunk_prints, exact_dedup, licenses, line_dedup, packing, pii, quality, sharding, simhash
+from .common import document_batches
 
 SHARDS = 40
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    document_batches(spark)
     return read_table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
 
 
