@@ -10,33 +10,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from visitlens.llm import exact_dedup, packing, pii, quality, simhash
+from visitlens.llm.common import document_batches
 from visitlens.operators.materialize import materialize
 from visitlens.sources.files import read_table
 
 
 def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents that the classifier rejects (score below its threshold) go."""
+    document_batches(spark)
     model = quality.fit(docs, read_table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return quality.keep_good(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: of equal texts the document with the largest id stays."""
+    document_batches(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: the document with the smallest id of each class stays."""
+    document_batches(spark)
     return simhash.drop_near_dups(docs)
 
 
 def replace_private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: private data gives way to surrogates."""
+    document_batches(spark)
     return pii.replace_private_data(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: every piece's place in a sequence of at most 2048 tokens."""
+    document_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
