@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_table
+from .common import id_table, tidy
 
 #: Encoded pre-tokens a Python worker remembers (in each of two generations), and the longest remembered.
 CACHE_ENTRIES, CACHE_CHARS = 600_000, 48
@@ -164,7 +164,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
                    for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return id_table(df, id_col, text_col).mapInArrow(compute, "doc_id long, ids array<int>")
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -176,7 +176,7 @@ def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataF
             texts = [bpe.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(compute, "doc_id long, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(compute), "doc_id long, decoded binary")
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -198,4 +198,4 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                                   names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return id_table(df, id_col, text_col).mapInArrow(compute, SCHEMA)
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), SCHEMA)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_table, shuffle_partitions
+from .common import id_table, shuffle_partitions, tidy
 
 WINDOW = 16
 MIN_SIZE, NORMAL_BITS, MAX_SIZE = 16, 6, 256
@@ -102,7 +102,7 @@ def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str =
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(prints, pa.string())],
                                       names=["doc_id", "fingerprint"])
 
-    return id_table(df, id_col, text_col).mapInArrow(compute, "doc_id long, fingerprint string")
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), "doc_id long, fingerprint string")
 
 
 def _runs(texts: list[bytes]):
@@ -188,4 +188,4 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         if len(pending) > 1:
             yield from report(pending)
 
-    return rows.select("doc_id", "text", "place", "guest").mapInArrow(compute, EDIT_SCHEMA)
+    return rows.select("doc_id", "text", "place", "guest").mapInArrow(tidy(compute), EDIT_SCHEMA)

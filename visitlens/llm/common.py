@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.materialize import materialize
 
-__all__ = ["document_batches", "id_table", "may_hold", "materialize", "shuffle_partitions", "text_or_empty", "utf8_blocks"]
+__all__ = ["document_batches", "give_back", "id_table", "may_hold", "materialize", "shuffle_partitions", "text_or_empty", "tidy", "utf8_blocks"]
 
 BATCH_ROWS, DOCUMENT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 #: Size of a key bitmap (1 MB), and of the pieces that Spark's bitmap aggregate builds.
@@ -33,6 +34,26 @@ def document_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_ROWS, str(DOCUMENT_ROWS))
 
 
+def give_back() -> None:
+    """Return a Python worker's freed memory to the system. Idle workers of earlier stages otherwise keep what
+    their largest batch took, beside the running ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(compute: Callable) -> Callable:
+    """A function for ``mapInArrow`` that gives its memory back when its task ends."""
+    def run(batches):
+        try:
+            yield from compute(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def id_table(df: DataFrame, id_col: str, text_col: str, label: str = "text") -> DataFrame:
     """``(doc_id, text)`` of any table, whatever else its columns are called."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias(label))

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import id_table
+from .common import id_table, tidy
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
@@ -187,4 +187,4 @@ def scan_licenses(df: DataFrame, templates=TEMPLATES, phrases=PHRASES, id_col: s
                 found = zip(*(scan(t, automata, phrases) for t in batch.column(1).to_pylist()), strict=True)
                 yield pa.record_batch([batch.column(0), *[pa.array(c, k) for c, k in zip(found, kinds[1:], strict=True)]], names=names)
 
-    return id_table(df, id_col, text_col).mapInArrow(compute, SCHEMA)
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), SCHEMA)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_table, materialize
+from .common import id_table, materialize, tidy
 
 CAPACITY = 2048
 #: Words and parts of words that a Python worker remembers (in each of two generations), and the longest remembered.
@@ -150,7 +150,7 @@ def tokenised(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
             for lo, hi, ids in _encoded(batch.column(1).to_pylist(), tokenizer_path):
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
-    return id_table(df, id_col, text_col).mapInArrow(compute, "doc_id long, ids binary")
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), "doc_id long, ids binary")
 
 
 def _encoded(texts: list[str], path: str):
@@ -183,7 +183,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, i
 
     names = [x.split()[0] for x in PIECES.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
-    return id_table(df, id_col, text_col).mapInArrow(compute, PIECES)
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), PIECES)
 
 
 def best_two_fit(counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:

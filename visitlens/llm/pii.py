@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, may_hold, text_or_empty
+from .common import give_back, materialize, may_hold, text_or_empty, tidy
 
 #: A caller's own secret; the default only serves tests and the registered query.
 DEFAULT_KEY = "surrogate-key"
@@ -270,7 +270,7 @@ def mentions(df: DataFrame, text_col: str = "text") -> DataFrame:
 
     text = text_or_empty(text_col)
     return (df.select(F.xxhash64(text).alias("text_key"), text.alias("text"))
-            .mapInArrow(compute, "text_key long, kind string, entity string"))
+            .mapInArrow(tidy(compute), "text_key long, kind string, entity string"))
 
 
 def assign_attempts(entities: DataFrame, key: str) -> DataFrame:
@@ -317,6 +317,7 @@ def replace_private_data(df: DataFrame, key: str = DEFAULT_KEY, text_col: str =
             known = {(m["kind"], m["entity"]): m["attempt"] for m in moved_here or ()}
             rows.append((None, 0, "") if t is None else replace_entities(t, key, known))
         columns = zip(*rows, strict=True) if rows else ((), (), ())
+        give_back()
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)],
                                           ["text", "n", "kinds"])
 

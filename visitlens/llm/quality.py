@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_table, text_or_empty, utf8_blocks
+from .common import give_back, id_table, text_or_empty, tidy, utf8_blocks
 
 BUCKET_BITS = 17
 DIM = 8
@@ -187,7 +187,7 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_
                                    pa.array(shares, pa.list_(pa.float32()))], names=["doc_id", "label", "ids", "shares"])
 
     table = (drawn.select("doc_id", "label", "text")
-             .mapInArrow(compute, "doc_id long, label int, ids array<int>, shares array<float>").toArrow())
+             .mapInArrow(tidy(compute), "doc_id long, label int, ids array<int>, shares array<float>").toArrow())
     table = table.sort_by([("doc_id", "ascending"), ("label", "ascending")])
     features = [[np.asarray(x.values) for x in table.column(c)] for c in ("ids", "shares")]
     order = range(table.num_rows)
@@ -199,7 +199,9 @@ def scorer(model: Model):
 
     @F.arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:
-        return pa.array(model.score(text), pa.float64())
+        scores = pa.array(model.score(text), pa.float64())
+        give_back()
+        return scores
 
     return score
 

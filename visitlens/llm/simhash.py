@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_table, materialize, may_hold
+from .common import id_table, materialize, may_hold, tidy
 from .graph import connected_components
 
 SHINGLE_WORDS = 3
@@ -76,7 +76,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield pa.record_batch([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))],
                                   names=["doc_id", "fp"])
 
-    return id_table(df, id_col, text_col).mapInArrow(compute, "doc_id long, fp long")
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), "doc_id long, fp long")
 
 
 def segment_counts(fp: Column) -> Column:
