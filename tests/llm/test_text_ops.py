@@ -64,6 +64,16 @@ def test_people_keep_gender_script_and_coreference():
         assert sorted(moved) == sorted(pii.NAMES[key]) and all(a != b for a, b in zip(moved, pii.NAMES[key], strict=True))
 
 
+def test_given_names_alone_follow_the_full_name():
+    new, n, _ = pii.replace_entities("Anna wrote. Mrs. Anna Keller met Иван Петров; Anna smiled, Mrs. Anna Keller and Иван too. Ms Anna, Clara.", "k", {})
+    names = re.findall(r"(\w+) wrote\. Mrs\. (\w+) (\w+) met (\w+) (\w+); (\w+) smiled, Mrs\. (\w+) (\w+) and (\w+) too\. Ms (\w+), Clara\.", new)[0]
+    assert names[0] == names[1] == names[5] == names[6] == names[9] == pii.surrogate("k", "given:latin:f", "Anna")
+    assert names[2] == names[7] != "Keller" and names[3] == names[8] == pii.surrogate("k", "given:cyrillic:m", "Иван")
+    assert n == 10 and "Anna" not in new and "Иван" not in new
+    # a name that is one person's given name and another's surname
+    assert "Martin" not in pii.replace_entities("Martin Weber met Paul Martin. Mr. Martin left, Martin stayed.", "k", {})[0]
+
+
 def test_clean_texts_stay_as_they_are(small):
     clean = [r.text for r in small.collect() if not re.search(r"@|\d{4}|\d+\.\d+\.\d+|AKIA|=", r.text)]
     assert len(clean) > 100

@@ -85,24 +85,25 @@ def _people(text: str):
     """Name parts as ``(start, end, type, value)``: given names by gender and script, surnames by script."""
     if not GIVEN_HINT.search(text):
         return
+    people = [(m["title"], m.start("names"), m["names"].split(" ")) for m in PERSON.finditer(text)]
+    people = [(title, at, words, words[0] in GENDER and len(words) > 1) for title, at, words in people
+              if title or (words[0] in GENDER and len(words) > 1)]
+    given = {words[0]: "given:{}:{}".format(*GENDER[words[0]]) for _, _, words, full in people if full}
+    family = {word for _, _, words, full in people if len(words) > 1 for word in words[full:]}
     surnames = {}
-    for m in PERSON.finditer(text):
-        words, at = m["names"].split(" "), m.start("names")
-        title = m["title"]
-        known = words[0] in GENDER
-        if not (title or (known and len(words) > 1)):
-            continue
+    for _, at, words, full in people:
         for i, word in enumerate(words):
-            if i == 0 and known and len(words) > 1:
-                script, gender = GENDER[word]
-                yield at, at + len(word), f"given:{script}:{gender}", word
+            # a title and a given name alone: the person that the text names in full
+            if i == 0 and (full or (len(words) == 1 and word in given and word not in family)):
+                yield at, at + len(word), given[word], word
             else:
                 surnames[word] = f"surname:{script_of(word)}"
                 yield at, at + len(word), surnames[word], word
             at += len(word) + 1
-    if surnames:  # the same person, named by surname alone elsewhere in the text
-        for m in re.finditer(rf"(?<![\w])(?:{'|'.join(sorted(map(re.escape, surnames), key=len, reverse=True))})(?![\w])", text):
-            yield m.start(), m.end(), surnames[m[0]], m[0]
+    names = {**given, **surnames}
+    if names:  # the same person, named by one name alone elsewhere in the text; a name used both ways counts as surname
+        for m in re.finditer(rf"(?<![\w])(?:{'|'.join(sorted(map(re.escape, names), key=len, reverse=True))})(?![\w])", text):
+            yield m.start(), m.end(), names[m[0]], m[0]
 
 
 def canonical(kind: str, value: str) -> str:
