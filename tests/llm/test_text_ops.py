@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import ipaddress
 import random
 import re
 import zlib
@@ -92,6 +93,34 @@ def test_collisions_are_resolved_and_distinct(spark, monkeypatch):
     assert len(set(final)) == len(final) and not set(final) & set(entities)
 
 
+def test_full_private_ranges_need_no_rounds(spark):
+    full = [f"192.168.{i >> 8}.{i & 255}" for i in range(1 << 16)]
+    others = ["192.168.01.1", "10.0.0.1", "172.16.0.9", "61.131.143.218"]
+    df = spark.createDataFrame([("ip", e) for e in full + others], "kind string, entity string").repartition(8)
+    moved = {r.entity: r.attempt for r in pii.assign_attempts(df, "k").collect()}
+    assert {moved[e] for e in full} == {pii.TURNED} and pii.TURNED not in {moved.get(e, 0) for e in others}
+    final = {e: pii.surrogate("k", "ip", e, moved.get(e, 0)) for e in full + others}
+    assert len(set(final.values())) == len(final) and all(a != b for a, b in final.items())
+    assert {final[e] for e in full} == set(full)
+    assert pii.turned("k", "192.168.1.2") != pii.turned("another", "192.168.1.2")
+
+
+def test_private_ranges_stay_in_their_class():
+    assert pii.private_range("192.0.2.1") is pii.private_range("8.8.8.8") is pii.private_range("192.168.01.1") is None
+    for v in ("10.1.2.3", "127.0.0.1", "169.254.0.1", "172.31.255.255", "198.18.0.0", "240.0.0.1", "255.255.255.255", "0.0.0.0"):
+        prefix, bits = pii.private_range(v)
+        new = pii.turned("k", v)
+        assert new != v and new.startswith(prefix) and prefix.count(".") == 4 - bits // 8 and ipaddress.ip_address(new).is_private
+    tens = {f"10.{i}.{j}.{k}" for i in (0, 255) for j in range(20) for k in (0, 1, 255)}
+    assert len({pii.turned("k", v) for v in tens}) == len(tens)
+
+
+def test_used_up_fictional_numbers_get_a_free_exchange():
+    exchanges = lambda attempt: {pii.surrogate("k", "phone", f"+1499555{i:04d}", attempt)[5:8] for i in range(50)}
+    assert exchanges(0) == exchanges(pii.LENGTHEN - 1) == {"555"} and len(exchanges(pii.LENGTHEN)) > 20
+    assert all(len(pii.surrogate("k", "phone", "+14995550123", a)) == 12 for a in range(10))
+
+
 def test_replacement_uses_the_attempts(spark):
     # three free digits: many first surrogates collide, with each other and with the corpus's own numbers
     numbers = [f"+1 2{i // 100} {i % 100:02d}" for i in range(250)]

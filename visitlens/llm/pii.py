@@ -7,7 +7,8 @@
    card networks, check digits and address classes stay; given names stay within gender and script.
 3. Collision checks over all distinct entities: two entities with the same surrogate, or a
    surrogate that is itself an entity of the corpus, make all but one try again until none is left.
-   So distinct entities stay distinct, and one entity has one surrogate everywhere.
+   So distinct entities stay distinct, and one entity has one surrogate everywhere. A private address range that the corpus
+   fills too far for that is turned as a whole by a keyed permutation.
 4. Texts are rewritten in parallel. Surrogates are recomputed from the key; only the attempt numbers
    of the few entities that collided are joined to the documents that hold them.
 
@@ -34,6 +35,10 @@ DEFAULT_KEY = "surrogate-key"
 #: From this attempt on a surrogate is one character longer for each attempt, for formats with few values.
 LENGTHEN = 6
 MAX_ROUNDS = 40
+#: In place of an attempt: the address is turned within its private range (:func:`turned`), which cannot collide.
+TURNED = -1
+#: A private range is turned as a whole once its distinct addresses are more than this share of it.
+CROWDED = 0.25
 
 # Given names by script and gender, and titles by gender.
 GIVEN = {
@@ -184,6 +189,42 @@ def _iban_checked(country: str, rest: str) -> str:
     return f"{country}{98 - int(digits) % 97:02d}{rest}"
 
 
+def private_range(value: str) -> tuple[str, int] | None:
+    """The wholly private range that an address's surrogates stay in: its fixed octets and the number of its free bits."""
+    if re.search(r"(^|\.)0\d", value):
+        return None
+    a, b = map(int, value.split(".")[:2])
+    if a == 10:
+        return "10.", 24
+    if a in (0, 127) or a >= 240 or (a == 172 and 16 <= b < 32) or (a == 198 and b in (18, 19)) or (a, b) in ((169, 254), (192, 168)):
+        return f"{a}.{b}.", 16
+    return None
+
+
+def turned(key: str, value: str) -> str:
+    """A private address moved one place on in the keyed order of its whole range: a permutation without fixed points.
+
+    The order is a Feistel network over the free bits, so it needs no list of the range.
+    """
+    prefix, bits = private_range(value)
+    half, low = bits // 2, (1 << bits // 2) - 1
+
+    def mixed(step: int, part: int) -> int:
+        drawn = hmac.new(key.encode(), f"ip\x1f{prefix}\x1f{step}\x1f{part}".encode(), hashlib.sha256).digest()
+        return int.from_bytes(drawn[:4], "big") & low
+
+    number = int(ipaddress.IPv4Address(value)) & ((1 << bits) - 1)
+    a, b = number >> half, number & low
+    for step in range(6):
+        a, b = b, a ^ mixed(step, b)
+    place = ((a << half | b) + 1) & ((1 << bits) - 1)
+    a, b = place >> half, place & low
+    for step in reversed(range(6)):
+        a, b = b ^ mixed(step, a), a
+    number = a << half | b
+    return prefix + ".".join(str(number >> shift & 255) for shift in range(bits - 8, -1, -8))
+
+
 def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
     """The canonical surrogate of a canonical entity: same type and format, and the same for the same arguments."""
     s = Stream(key, kind, value, attempt)
@@ -195,6 +236,8 @@ def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
         host = owned.like(domain[:len(domain) - len(keep)])
         return s.like(local) + s.like("a" * extra) + "@" + host + keep
     if kind == "ip":
+        if attempt == TURNED:
+            return turned(key, value)
         old = ipaddress.ip_address(value) if not re.search(r"(^|\.)0\d", value) else None
         if old is not None and old.is_private:
             fixed = next((n for p, n in (("10.", 1), ("192.168.", 2)) if value.startswith(p)), 2)
@@ -212,7 +255,7 @@ def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
         return f"{900 + s.below(100)}{s.like(value[3:])}"  # never issued
     if kind == "phone":
         if value.startswith("+1") and len(value) == 12:
-            exchange = "555" if value[5:8] == "555" else str(2 + s.below(8)) + s.like(value[6:8])
+            exchange = "555" if value[5:8] == "555" and not extra else str(2 + s.below(8)) + s.like(value[6:8])
             return f"+1{2 + s.below(8)}{s.like(value[3:5])}{exchange}{s.like(value[8:])}"
         keep = 3 if value.startswith("+") else 0
         return value[:keep] + s.like(value[keep:]) + s.like("0" * extra)
@@ -275,18 +318,31 @@ def mentions(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def assign_attempts(entities: DataFrame, key: str) -> DataFrame:
-    """``(kind, entity, attempt)`` with ``attempt > 0``: entities whose first surrogates collided.
+    """``(kind, entity, attempt)`` with ``attempt != 0``: entities whose first surrogates collided.
 
     Each round lets one entity of a shared surrogate keep it (the one with fewer attempts, then the first in order) and sends
     the others on, and also all whose surrogate is an entity of the corpus. Rounds are written to the shared folder; their
-    number of collisions is all the driver sees. Given names are a permutation and take no part.
+    number of collisions is all the driver sees. Given names are a permutation and take no part, nor do the addresses of
+    crowded private ranges, whose attempt is ``TURNED``: their surrogates stay distinct, but may be addresses of the corpus.
     """
 
     @F.arrow_udf("string")
     def propose(kind: pa.Array, entity: pa.Array, attempt: pa.Array) -> pa.Array:
         return pa.array([surrogate(key, *x) for x in zip(kind.to_pylist(), entity.to_pylist(), attempt.to_pylist(), strict=True)], pa.string())
 
+    @F.arrow_udf("struct<prefix: string, bits: int>")
+    def range_of(entity: pa.Array) -> pa.Array:
+        found = [private_range(x) for x in entity.to_pylist()]
+        return pa.array([f and {"prefix": f[0], "bits": f[1]} for f in found], pa.struct({"prefix": pa.string(), "bits": pa.int32()}))
+
+    ranged = entities.where("kind = 'ip'").select("kind", "entity", range_of("entity").alias("range")).where("range is not null")
+    crowded = materialize(ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+                          .where(F.col("n") > F.lit(CROWDED) * F.pow(F.lit(2), F.col("range.bits"))), "crowded-ranges")
     names = entities.where(~F.col("kind").startswith("given:")).withColumn("attempt", F.lit(0))
+    full = None
+    if not crowded.isEmpty():
+        full = materialize(ranged.join(crowded, "range", "left_semi").select("kind", "entity", F.lit(TURNED).alias("attempt")), "turned")
+        names = names.join(full, ["kind", "entity"], "left_anti")
     real = names.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("is_real"))
     for _ in range(MAX_ROUNDS):
         rank = F.row_number().over(Window.partitionBy("kind", "surrogate").orderBy("attempt", "entity"))
@@ -295,7 +351,8 @@ def assign_attempts(entities: DataFrame, key: str) -> DataFrame:
             .join(real, ["kind", "surrogate"], "left")
             .select("kind", "entity", "attempt", ((F.col("rank") > 1) | F.col("is_real").isNotNull()).alias("collides")), "surrogates")
         if checked.where("collides").isEmpty():
-            return checked.where("attempt > 0").select("kind", "entity", "attempt")
+            moved = checked.where("attempt > 0").select("kind", "entity", "attempt")
+            return moved if full is None else moved.unionByName(full)
         names = checked.select("kind", "entity", (F.col("attempt") + F.col("collides").cast("int")).alias("attempt"))
     raise RuntimeError("surrogates still collide: the key space of a format is too small")
 
