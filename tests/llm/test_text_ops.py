@@ -381,6 +381,51 @@ def test_notices(text, labels, score):
     assert (found[5], found[6]) == (labels, score)
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the
+"Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,
+distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE
+OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions
+are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+%sTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED
+TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+THIRD = """3. Neither the name of Foo Bar, Inc. nor the names of its contributors may be used to endorse or promote products derived from this
+software without specific prior written permission.
+"""
+ADVERTISING = "3. All advertising materials mentioning features or use of this software must display the following acknowledgement.\n"
+
+
+@pytest.mark.parametrize("text,labels,score", [
+    (MIT, "mit-text", 1.0), (MIT.replace("sell copies", "lend copies"), "mit-opening", 0.75),
+    (MIT.replace("without restriction", "freely without restriction"), "mit-opening", 0.75), (MIT[:-300], "mit-opening", 0.75),
+    (BSD % "", "bsd-2-text", 1.0), (BSD % THIRD, "bsd-3-text", 1.0), (BSD % (ADVERTISING + THIRD.replace("3.", "4.")), "bsd-opening", 0.75),
+    ((BSD % "").replace("EVEN IF ADVISED", "IF ADVISED"), "bsd-opening", 0.75), (MIT + "\n" + BSD[:150], "bsd-opening,mit-text", 1.0),
+])
+def test_whole_texts_and_openings(text, labels, score):
+    found = licenses.scan("Copyright (c) 2020 Foo Bar.\n" + text, [licenses.compile_template(*t) for t in licenses.TEMPLATES])
+    assert (found[5], found[6]) == (labels, score)
+
+
+def test_every_opening_has_a_whole_text():
+    automata = {t[0]: licenses.compile_template(*t) for t in licenses.TEMPLATES}
+    for label, markup in licenses.TEMPLATES:
+        if not label.endswith("-notice"):  # the wording itself, with an owner's name and without what may be left out
+            plain = re.sub("<<[^>]*>>", " ", re.sub(r"<<opt>>[^<]*<</opt>>", " ", markup.replace("<<var:3>>", "x").replace("<<var:12>>", "x")))
+            assert label in licenses.scan(plain, list(automata.values()))[5].split(","), label
+
+
 def test_bad_templates_are_refused():
     for markup in ("<<opt>>a<</opt>>", "<<opt>>a", "a<</opt>>", "<<var:2>> a"):
         with pytest.raises(ValueError):
