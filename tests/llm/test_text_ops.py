@@ -65,6 +65,19 @@ def test_people_keep_gender_script_and_coreference():
         assert sorted(moved) == sorted(pii.NAMES[key]) and all(a != b for a, b in zip(moved, pii.NAMES[key], strict=True))
 
 
+def test_cards_pass_luhn_and_come_in_all_networks_forms():
+    luhn = lambda v: pii._luhn_digit(v[:-1]) == v[-1]
+    for v in ("4944 3394 9042 9605", "3782 822463 10005", "378282246310005", "2221000000000009", "2720-9900-0000-0007", "5555555555554444"):
+        [(_, _, kind, value)] = pii.find_entities(f"no {v}, thanks")
+        assert (kind, value) == ("card", v)
+        new = pii.replace_entities(f"no {v}, thanks", "k", {})[0]
+        digits = re.sub(r"\D", "", new)
+        assert luhn(digits) and digits != re.sub(r"\D", "", v) and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", f"no {v}, thanks")
+        assert pii.find_entities(new)[0][2] == "card"
+    for v in ("4944339490429606", "3782 822463 10006", "2220000000000000", "2721000000000004", "4111 1111 1111 1112"):
+        assert pii.find_entities(f"no {v}, thanks") == []
+
+
 def test_given_names_alone_follow_the_full_name():
     new, n, _ = pii.replace_entities("Anna wrote. Mrs. Anna Keller met Иван Петров; Anna smiled, Mrs. Anna Keller and Иван too. Ms Anna, Clara.", "k", {})
     names = re.findall(r"(\w+) wrote\. Mrs\. (\w+) (\w+) met (\w+) (\w+); (\w+) smiled, Mrs\. (\w+) (\w+) and (\w+) too\. Ms (\w+), Clara\.", new)[0]

@@ -73,7 +73,7 @@ DETECTORS = [
     ("email", re.compile(r"(?<![\w.+%-])[A-Za-z0-9_+%-]+(?:\.[A-Za-z0-9_+%-]+)*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")),
     ("iban", re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")),
     ("ip", re.compile(rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)")),
-    ("card", re.compile(r"(?<![\w.])[3-6]\d{3}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?![\w])")),
+    ("card", re.compile(r"(?<![\w.])(?:3\d{3}[ -]?\d{6}[ -]?\d{5}|(?:[3-6]\d{3}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720))(?:[ -]?\d{4}){2}[ -]?\d{1,7})(?![\w])")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ ]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w])")),
 ]
@@ -129,6 +129,8 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
                 or kind not in ("email", "secret") and not digit:
             continue
         for m in pattern.finditer(text):
+            if kind == "card" and not _passes_luhn(canonical(kind, m[0])):
+                continue
             group = "v" if "v" in pattern.groupindex else 0
             found.append((m.start(group), m.end(group), kind, m[group]))
     found += _people(text)
@@ -184,6 +186,10 @@ def _luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
+def _passes_luhn(digits: str) -> bool:
+    return _luhn_digit(digits[:-1]) == digits[-1]
+
+
 def _iban_checked(country: str, rest: str) -> str:
     digits = "".join(str(int(c, 36)) for c in rest + country + "00")
     return f"{country}{98 - int(digits) % 97:02d}{rest}"
@@ -247,8 +253,8 @@ def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
             if ipaddress.ip_address(new).is_global:
                 return new
     if kind == "card":
-        body = value[0] + s.like(value[1:-1])
-        return body + (_luhn_digit(body) if _luhn_digit(value[:-1]) == value[-1] else s.like("0"))
+        body = f"{2221 + s.below(500)}{s.like(value[4:-1])}" if value[0] == "2" else value[0] + s.like(value[1:-1])
+        return body + (_luhn_digit(body) if _passes_luhn(value) else s.like("0"))
     if kind == "iban":
         return _iban_checked(value[:2], s.like(value[4:]))
     if kind == "ssn":
