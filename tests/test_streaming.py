@@ -76,6 +76,22 @@ def test_late_row_dropped_by_watermark(spark):
     assert report == {"late_rows": 1}
 
 
+def test_late_rows_of_every_batch_are_counted(spark):
+    src = tempfile.mkdtemp(prefix="stream-src-")
+    schema = "ts timestamp, keyword string"
+    for i, b in enumerate([[(300, "a")], [(310, "b")], [(6, "a")], [(7, "c"), (8, "d")], [(320, "a")], [(330, "a")]]):
+        spark.createDataFrame([(_stamp(s), k) for s, k in b], schema).coalesce(1).write.parquet(os.path.join(src, f"part{i}"))
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").option("recursiveFileLookup", "true").parquet(src))
+    report = {}
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")  # as after 100 more batches
+    try:
+        jobs.hot_search_stream(spark, stream, StreamTable.fresh(spark, "test-all-late"), length="60 seconds", slide="60 seconds",
+                               delay="10 seconds", report=report)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert report == {"late_rows": 3}
+
+
 def test_a_long_enough_delay_drops_nothing(spark):
     src = tempfile.mkdtemp(prefix="stream-src-")
     schema = "ts timestamp, keyword string"

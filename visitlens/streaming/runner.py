@@ -10,11 +10,14 @@ Checkpoint and output live under the session's shared checkpoint folder.
 from __future__ import annotations
 
 import os
+import threading
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import LongType, StructType
 
 from ..session import fresh_path
@@ -40,6 +43,33 @@ class StreamTable:
         return cls(os.path.join(base, "checkpoint"), os.path.join(base, "data"))
 
 
+class LateRows(StreamingQueryListener):
+    """Adds up the rows that each run dropped by its watermark; a query itself remembers its last updates only."""
+
+    def __init__(self):
+        self.dropped: Counter = Counter()
+        self._ended: dict[str, threading.Event] = {}
+
+    def ended(self, run_id) -> threading.Event:
+        return self._ended.setdefault(str(run_id), threading.Event())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.dropped[str(event.progress.runId)] += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event):
+        self.ended(event.runId).set()
+
+
+#: Seconds that a stopped query's last events may take to arrive.
+EVENTS_S = 120
+
+
 def start_to_table(stream: DataFrame, table: StreamTable, batch_fn: BatchFn,
                    output_mode: str = "append", trigger: dict | None = None,
                    query_name: str | None = None):
@@ -68,12 +98,21 @@ def run_available(stream: DataFrame, table: StreamTable, batch_fn: BatchFn,
     source's rate limit makes), then stop. Restarting with the same ``table``
     resumes from the checkpoint. ``report`` receives ``late_rows``: how many (partially
     aggregated) rows came after the watermark had passed their window and were dropped."""
-    query = start_to_table(stream, table, batch_fn, output_mode)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"streaming query failed: {query.exception()}")
+    streams, late = stream.sparkSession.streams, LateRows()
     if report is not None:
-        report["late_rows"] = sum(op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators)
+        streams.addListener(late)
+    try:
+        query = start_to_table(stream, table, batch_fn, output_mode)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise RuntimeError(f"streaming query failed: {query.exception()}")
+        if report is not None:
+            if not late.ended(query.runId).wait(EVENTS_S):  # events come in order: the last one tells that all are in
+                raise RuntimeError("the count of late rows did not arrive")
+            report["late_rows"] = late.dropped[str(query.runId)]
+    finally:
+        if report is not None:
+            streams.removeListener(late)
 
 
 def read_table(spark: SparkSession, table: StreamTable, schema) -> DataFrame:
