@@ -58,6 +58,24 @@ def test_shards_prune_by_every_dimension(spark):
     assert spans[0] < 3 and spans[1] < 15 and spans[2] < 900  # 4 languages, 20 sources, 1000 ids in all
 
 
+def test_text_steps_follow_the_rows(spark):
+    rng = random.Random(5)
+    values = [None, "", "arxiv", "https://a", "https://ab", "https://b.org", "https://é", "x" * 3000] + [f"https://site{i}.org" for i in range(60)]
+    rows = sorted((rng.choice(values) for _ in range(900)), key=lambda v: (v is not None, (v or "").encode()))
+    want = [next((r for r in rows if sum(1 for x in rows if (x is not None, x or "") <= (r is not None, r or "")) * 32 >= k * len(rows))) for k in range(1, 32)]
+    df = spark.createDataFrame([(v,) for v in rows], "a_b string").repartition(5)
+    assert sharding._text_bounds(df, "a_b", 32) == [sharding._order(None if w is None else w.encode()) for w in want]
+
+
+def test_shards_prune_by_sources_with_a_long_prefix(spark):
+    docs = [(i, "arxiv" if i % 8 == 0 else f"https://site{i % 8}.org/data") for i in range(4000)]
+    rows = sharding.hilbert_shards(spark.createDataFrame(docs, "doc_id long, source string"), ["source"], 8).collect()
+    shards = defaultdict(set)
+    for r in rows:
+        shards[r.shard].add(r.source)
+    assert [len(shards[s]) for s in range(8)] == [1] * 8
+
+
 def test_hot_cell_is_cut_evenly(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"), F.lit("en").alias("lang"),
                                     F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 40)).alias("source"))

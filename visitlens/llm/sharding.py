@@ -1,7 +1,7 @@
 """Shards cut from a Hilbert curve over quantised metadata.
 
 1. Every dimension is quantised into ``2**bits`` steps of about equally many rows
-   (boundaries from a quantile sketch; text dimensions by the 6 bytes after the prefix that all values share).
+   (boundaries from a quantile sketch; those of text dimensions from the exact counts of their sorted distinct values).
 2. The Hilbert index of the step vector orders the rows: neighbours on the curve are
    neighbours in every dimension, so each shard spans a small box and min / max
    statistics prune files by any of the dimensions.
@@ -13,6 +13,8 @@ Only narrow rows move; texts are read once, and again by :func:`write_shards`.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,25 +58,29 @@ def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _codes(df: DataFrame, dims: list[str]) -> tuple[DataFrame, list[Column]]:
-    """Each dimension as an order-preserving number; a null comes before every value."""
-    texts = [c for c in dims if isinstance(df.schema[c].dataType, StringType)]
-    shared = {}
-    if texts:
-        ends = df.agg(*[f(c).alias(f"{name}{i}") for i, c in enumerate(texts)
-                        for name, f in (("lo", F.min), ("hi", F.max))]).first()
-        for i, c in enumerate(texts):
-            lo, hi = ((ends[f"{k}{i}"] or "").encode() for k in ("lo", "hi"))
-            shared[c] = next((k for k, (a, b) in enumerate(zip(lo, hi, strict=False)) if a != b), min(len(lo), len(hi)))
-    codes = []
-    for c in dims:
-        if c in shared:
-            tail = F.expr(f"rpad(hex(substring(cast(`{c}` as binary), {shared[c] + 1}, 6)), 12, '0')")
-            code = F.conv(tail, 16, 10).cast("double")
-        else:
-            code = F.col(c).cast("double")
-        codes.append(F.coalesce(code, F.lit(float("-inf"))))
-    return df, codes
+def _text_bounds(base: DataFrame, dim: str, steps: int) -> list[tuple]:
+    """The values, as :func:`_order` keys, where a text dimension's cumulative row counts pass each ``1 / steps`` of the rows.
+
+    Distinct values are counted and ranged in Spark; at most ``steps`` of them reach the driver. A null comes before every value.
+    """
+    counts = base.groupBy(F.col(f"`{dim}`").cast("binary").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = materialize(counts.repartitionByRange(shuffle_partitions(base.sparkSession), "value").sortWithinPartitions("value")
+                         .withColumn("range", F.shiftright(F.monotonically_increasing_id(), PLACE_BITS)), "shard-values")
+    before = Window.orderBy("range")  # a row per range: shuffle partitions bound it
+    offsets = ranged.groupBy("range").agg(F.sum("n").alias("rows")).select(
+        "range", (F.sum("rows").over(before) - F.col("rows")).alias("first"),
+        F.sum("rows").over(before.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+    upto = F.col("first") + F.sum("n").over(Window.partitionBy("range").orderBy("value"))
+    rows = (ranged.join(F.broadcast(offsets), "range").withColumn("upto", upto)
+            .select("value", F.expr(f"((upto - n) * {steps}) div total").alias("low"), F.expr(f"(upto * {steps}) div total").alias("high"))
+            .where("high > low").collect())
+    keys = {k: _order(r["value"]) for r in rows for k in range(r["low"] + 1, r["high"] + 1)}
+    return [keys[k] for k in range(1, steps)] if keys else []
+
+
+def _order(value) -> tuple:
+    """Sorts as Spark does: a null first, then by bytes."""
+    return (b"",) if value is None else (b"v", bytes(value))
 
 
 def hilbert_shards(df: DataFrame, dims: list[str], shards: int, id_col: str = "doc_id", bits: int = BITS) -> DataFrame:
@@ -86,16 +92,25 @@ def hilbert_shards(df: DataFrame, dims: list[str], shards: int, id_col: str = "d
     """
     spark = df.sparkSession
     base = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "shard-rows")
-    base, codes = _codes(base, dims)
     steps = 1 << bits
     cuts = [k / steps for k in range(1, steps)]
-    bounds = base.agg(*[F.percentile_approx(c, cuts, ACCURACY).alias(f"b{i}") for i, c in enumerate(codes)]).first()
+    texts = {i: _text_bounds(base, c, steps) for i, c in enumerate(dims) if isinstance(base.schema[c].dataType, StringType)}
+    codes = [F.col(f"`{c}`").cast("binary") if i in texts else F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("-inf")))
+             for i, c in enumerate(dims)]
+    numbers = [F.percentile_approx(c, cuts, ACCURACY).alias(f"b{i}") for i, c in enumerate(codes) if i not in texts]
+    bounds = base.agg(*numbers).first().asDict() if numbers else {}
 
     @F.pandas_udf("long")
     def curve(*columns: pd.Series) -> pd.Series:
         # rows up to a boundary's value lie below it
-        places = [np.searchsorted(np.asarray(bounds[i] or [], float), v.to_numpy(float), side="left")
-                  for i, v in enumerate(columns)]
+        places = []
+        for i, v in enumerate(columns):
+            if i in texts:
+                which, values = pd.factorize(v, use_na_sentinel=False)
+                steps_of = [bisect_left(texts[i], _order(x if isinstance(x, (bytes, bytearray)) else None)) for x in values]
+                places.append(np.asarray(steps_of, np.int64)[which])
+            else:
+                places.append(np.searchsorted(np.asarray(bounds[f"b{i}"] or [], float), v.to_numpy(float), side="left"))
         return pd.Series(hilbert_index(np.stack(places, axis=1), bits))
 
     placed = (base.withColumn("curve", curve(*codes))
