@@ -276,6 +276,24 @@ def test_long_texts_are_read_whole(monkeypatch):
     assert np.allclose(pieces, whole, atol=2e-2) and pieces[0] != pieces[1]
 
 
+def test_all_features_of_the_taken_rows_teach(small, labels, monkeypatch):
+    long = " ".join(f"word{i}" for i in range(5000))
+    [whole] = quality._feature_lists(pa.array([long]))[0]
+    assert len(whole) > 2 * quality.TRAIN_FEATURES
+    taught = []
+    monkeypatch.setattr(quality, "train", lambda ids, shares, labels: taught.append((ids, shares, labels)))
+    texts = {r.doc_id: r.text for r in small.collect()}
+    quality.fit(small, labels)
+    monkeypatch.setattr(quality, "TRAIN_FEATURES", 20)
+    quality.fit(small, labels, rows=1000)
+    quality.fit(small, labels, rows=1)  # the first row has more
+    (every, *_), (some, shares, kinds), (one, *_) = taught
+    assert 1 == len(one) < len(some) < len(every) and sum(map(len, some)) <= 20_000 < sum(map(len, every))
+    assert len(some) == len(shares) == len(kinds) and all(abs(s.sum() - 1) < 1e-3 for s in shares)
+    full = {tuple(x) for x in quality._feature_lists(pa.array([t or "" for t in texts.values()]))[0]}
+    assert all(tuple(x.tolist()) in full for x in every + some)
+
+
 def test_quality_edges(edge, nothing, labels, model):
     rows = quality.score_documents(edge.withColumns({"score": F.lit(1), "held_out": F.lit(2), "quality": F.lit(3)}), model).collect()
     assert len(rows) == len(EDGE) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)

@@ -18,12 +18,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import give_back, id_table, text_or_empty, tidy, utf8_blocks
+from .common import give_back, id_table, materialize, text_or_empty, tidy, utf8_blocks
 
 BUCKET_BITS = 17
 DIM = 8
-#: Labelled rows the model is fitted on, and the features drawn of each of them.
+#: Labelled rows the model is fitted on at most, and how many features they may have on the average: all features of a
+#: row are learned from, and fewer rows are taken where they have more.
 TRAIN_ROWS, TRAIN_FEATURES = 8_000, 3_000
 EPOCHS, RATE = 8, 0.6
 THRESHOLD = 0.7
@@ -121,8 +123,7 @@ class Model:
 
 
 def _feature_lists(column: pa.Array) -> tuple[list, list]:
-    """Each text's distinct buckets and their share of its features; of a text with more than
-    ``TRAIN_FEATURES`` distinct ones, the lowest by a hash are drawn."""
+    """Each text's distinct buckets and their share of its features."""
     found: list[list[np.ndarray]] = [[np.array([ALWAYS], np.uint32)] for _ in range(len(column))]
     for start, data, ends in _runs(column):
         for at, bucket in _features(data, ends):
@@ -135,9 +136,6 @@ def _feature_lists(column: pa.Array) -> tuple[list, list]:
     ids, shares = [], []
     for parts in found:
         bucket, n = np.unique(np.concatenate(parts), return_counts=True)
-        if len(bucket) > TRAIN_FEATURES:
-            drawn = np.argsort(_bucket(bucket.astype(np.uint32), 9), kind="stable")[:TRAIN_FEATURES]
-            bucket, n = bucket[drawn], n[drawn]
         ids.append(bucket.astype(np.int32).tolist())
         shares.append((n / n.sum()).astype(np.float32).tolist())
     return ids, shares
@@ -173,7 +171,8 @@ def held_out(id_col: Column) -> Column:
 def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
         text_col: str = "text", rows: int = TRAIN_ROWS) -> Model:
     """Fit on at most ``rows`` labelled documents, drawn by a hash of their id among those not held out.
-    Their features, not their texts, reach the driver: ``rows * TRAIN_FEATURES`` numbers at most.
+    Their features, not their texts, reach the driver: whole rows in the draw's order, ``rows * TRAIN_FEATURES`` numbers at
+    most (the first row is always taken).
     Rows without id or label are left out; with no labelled row every score is 0.5."""
     chosen = (labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("label"))
               .where(F.col("__id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("__id")))
@@ -186,8 +185,12 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())),
                                    pa.array(shares, pa.list_(pa.float32()))], names=["doc_id", "label", "ids", "shares"])
 
-    table = (drawn.select("doc_id", "label", "text")
-             .mapInArrow(tidy(compute), "doc_id long, label int, ids array<int>, shares array<float>").toArrow())
+    lists = materialize(drawn.select("doc_id", "label", "text")
+                        .mapInArrow(tidy(compute), "doc_id long, label int, ids array<int>, shares array<float>"), "features")
+    sizes = lists.groupBy("doc_id", "label").agg(F.sum(F.size("ids")).alias("n"))
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "label"))  # one narrow row for each of at most `rows` labels
+    taken = sizes.withColumn("upto", upto).where((F.col("upto") <= rows * TRAIN_FEATURES) | (F.col("upto") == F.col("n"))).select("doc_id", "label")
+    table = lists.join(F.broadcast(taken), ["doc_id", "label"], "left_semi").select("doc_id", "label", "ids", "shares").toArrow()
     table = table.sort_by([("doc_id", "ascending"), ("label", "ascending")])
     features = [[np.asarray(x.values) for x in table.column(c)] for c in ("ids", "shares")]
     order = range(table.num_rows)
