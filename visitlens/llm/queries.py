@@ -1,4 +1,5 @@
-"""The registered queries ``op1_`` to ``op10_`` over the whole ``documents`` table, with production parameters."""
+"""The registered queries ``op1_`` to ``op13_`` over their whole tables (``documents``, for op12 also ``benchmark``, for op13
+``embeddings``), with production parameters."""
 
 from __future__ import annotations
 
@@ -7,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.files import read_table
-from . import bpe, chunk_prints, exact_dedup, licenses, line_dedup, packing, pii, quality, sharding, simhash
+from . import (bpe, chunk_prints, exact_dedup, jaccard_join, licenses, line_dedup, packing, pii, quality, resampling, sharding, simhash,
+               whitening)
 from .common import document_batches
 
 SHARDS = 40
@@ -62,6 +64,19 @@ def op10_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
 
 
+def op11_jaccard_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(_documents(spark, sf_dir))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark").select("text"))
+
+
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dups, op2_hilbert_shards, op3_exact_duplicates, op4_pii_surrogates, op5_chunk_fingerprints,
-    op6_quality_scores, op7_best_two_fit, op8_rank_queue_bpe, op9_license_templates, op10_line_windows)}
+    op6_quality_scores, op7_best_two_fit, op8_rank_queue_bpe, op9_license_templates, op10_line_windows, op11_jaccard_regions,
+    op12_importance_resampling, op13_feast_whitening)}
