@@ -15,8 +15,8 @@ from ..operators.materialize import materialize
 __all__ = ["document_batches", "give_back", "id_table", "may_hold", "materialize", "shuffle_partitions", "text_or_empty", "tidy", "utf8_blocks"]
 
 BATCH_ROWS, DOCUMENT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
-#: Size of a key bitmap (1 MB), and of the pieces that Spark's bitmap aggregate builds.
-BITMAP_BITS, PIECE_BITS = 1 << 23, 1 << 15
+#: Size of a key bitmap at least (4 kB) and at most (16 MB), bits for each key, and the pieces that Spark's bitmap aggregate builds.
+LEAST_BITS, MOST_BITS, KEY_BITS, PIECE_BITS = 1 << 15, 1 << 27, 10, 1 << 15
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -64,23 +64,29 @@ def may_hold(keys: DataFrame, key: str) -> Callable[[Column], Column]:
     one that is not.
 
     It lets the rows that no key touches stay where they are, so that only the others (and few more) are shuffled to an
-    exact join. The keys are hashed into a bitmap of ``BITMAP_BITS`` bits, aggregated in Spark; its size, and
-    that of what reaches the driver and the executors, is fixed. With more keys more rows pass to the exact join.
+    exact join. ``keys`` should be a written table. They are hashed into a bitmap aggregated in Spark, of ``KEY_BITS`` bits a key: one
+    row in ten that no key touches passes at most, up to 13 million keys. Its size, and that of what reaches the driver
+    and the executors, is bounded by ``MOST_BITS``; with more keys more rows pass to the exact join.
     """
-    place = F.pmod(F.xxhash64(key), F.lit(BITMAP_BITS))
+    bits = LEAST_BITS
+    wanted = keys.count() * KEY_BITS
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
     pieces = (keys.select(place.alias("place")).groupBy(F.floor(F.col("place") / PIECE_BITS).alias("piece"))
-              .agg(F.bitmap_construct_agg(F.col("place") % PIECE_BITS).alias("bits")).collect())
-    bitmap = np.zeros(BITMAP_BITS // 8, np.uint8)
+              .agg(F.bitmap_construct_agg(F.col("place") % PIECE_BITS).alias("bits")).toArrow())
+    bitmap = np.zeros(bits // 8, np.uint8)
     size = PIECE_BITS // 8
-    for piece, bits in pieces:  # BITMAP_BITS / PIECE_BITS rows at most
-        bitmap[piece * size:(piece + 1) * size] = np.frombuffer(bits, np.uint8)
+    for piece, raw in zip(pieces.column(0).to_pylist(), pieces.column(1), strict=True):  # MOST_BITS / PIECE_BITS rows at most
+        bitmap[piece * size:(piece + 1) * size] = np.frombuffer(raw.as_buffer(), np.uint8)
+    shared = keys.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.arrow_udf("boolean")
     def held(places: pa.Array) -> pa.Array:
         at = places.to_numpy(zero_copy_only=False).astype(np.int64)
-        return pa.array((bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+        return pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
 
-    return lambda column: held(F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS)))
+    return lambda column: held(F.pmod(F.xxhash64(column), F.lit(bits)))
 
 
 def utf8_blocks(column: pa.Array, max_bytes: int = 1 << 21):
