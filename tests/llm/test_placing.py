@@ -141,7 +141,6 @@ def test_packing_by_counts_equals_one_by_one(seed):
 def check_packing(rows, docs, word_bpe, capacity=2048):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(word_bpe)
-    t.encode_special_tokens = True
     want, total = [], 0
     for i, text in docs:
         ids = t.encode(text or "", add_special_tokens=False).ids + [0]
@@ -186,6 +185,24 @@ def test_words_are_encoded_as_the_tokenizer_does(word_bpe):
             assert np.frombuffer(raw, "<u4").tolist() == cache.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_special_tokens_keep_the_tokenizers_ids(spark, word_bpe):
+    from tokenizers import Tokenizer
+    untouched = Tokenizer.from_file(word_bpe)
+    texts = ["a <|endoftext|> x", "<|startoftext|>abc<|endoftext|>", "<|endoftext|", "x<|ENDOFTEXT|>y", "<|", "many words <|endoftext|><|endoftext|> more", "plain"]
+    want = [untouched.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [320, 49407, 343]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in packing.WordCache(word_bpe).encode(texts)] == want
+    docs = list(enumerate(texts))
+    check_packing(packing.pack_documents(spark.createDataFrame(docs, "doc_id long, text string"), word_bpe, 8).collect(), docs, word_bpe, 8)
+
+
+def test_word_memory_ends_with_the_task(word_bpe):
+    list(packing._encoded(["some words"], word_bpe))
+    assert packing.word_cache(word_bpe).words
+    packing.word_cache.cache_clear()
+    assert not packing.word_cache(word_bpe).words
+
+
 def test_packing_edges(edge, nothing, word_bpe):
     rows = packing.pack_documents(edge.withColumns({"part": F.lit(1), "place": F.lit(2), "length": F.lit(3)}), word_bpe).collect()
     check_packing(rows, [r[:2] for r in EDGE], word_bpe)

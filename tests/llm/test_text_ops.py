@@ -56,10 +56,11 @@ def test_special_formats_stay_valid():
 def test_people_keep_gender_script_and_coreference():
     text = "Mrs. Anna Keller met Иван Петров. Later Keller wrote; Mr. Smith did not. Anna. Keller smiled."
     new, n, kinds = pii.replace_entities(text, "k", {})
-    names = re.findall(r"Mrs\. (\w+) (\w+) met (\w+) (\w+)\. Later (\w+) wrote; Mr\. (\w+) did not\. Anna\. (\w+) smiled", new)[0]
+    names = re.findall(r"Mrs\. (\w+) (\w+) met (\w+) (\w+)\. Later (\w+) wrote; Mr\. (\w+) did not\. (\w+)\. (\w+) smiled", new)[0]
     assert names[0] in pii.NAMES["latin", "f"] and names[0] != "Anna"
     assert names[2] in pii.NAMES["cyrillic", "m"] and pii.script_of(names[3]) == "cyrillic"
-    assert names[1] == names[4] == names[6] != names[5] and pii.script_of(names[1]) == "latin"
+    assert names[6] == names[0]  # the lone given name is the person named in full
+    assert names[1] == names[4] == names[7] != names[5] and pii.script_of(names[1]) == "latin"
     for key in pii.NAMES:  # a permutation without fixed points
         moved = [pii.surrogate("k", ":".join(("given", *key)), x) for x in pii.NAMES[key]]
         assert sorted(moved) == sorted(pii.NAMES[key]) and all(a != b for a, b in zip(moved, pii.NAMES[key], strict=True))
@@ -404,7 +405,7 @@ def test_automaton_matches_a_regular_expression():
     ("Licensed under CC BY-NC 4.0.", "cc-by-nc-4.0-notice", 1.0), ("no licence here", "", 0.0),
     ("Licensed under the Apache License, Version 3.0.", "apache", 0.5),
     ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
-     "(the \"Software\"), to deal in the Software without restriction", "mit-text", 1.0),
+     "(the \"Software\"), to deal in the Software without restriction", "mit-opening", 0.75),
 ])
 def test_notices(text, labels, score):
     automata = [licenses.compile_template(*t) for t in licenses.TEMPLATES]

@@ -22,12 +22,7 @@ from pyspark.sql import functions as F
 from .common import id_table, tidy
 
 #: Encoded pre-tokens a Python worker remembers (in each of two generations), and the longest remembered.
-CACHE_ENTRIES, CACHE_CHARS = 600_000, 48
-
-
-#: Ranks in a word of the bitmap's lower level; the upper level has a bit for each word that is not empty.
-WORD_BITS = 8
-BIT = [1 << k for k in range(1 << WORD_BITS)]
+CACHE_ENTRIES, CACHE_CHARS = 200_000, 48
 
 
 class ByteBPE:
@@ -37,9 +32,11 @@ class ByteBPE:
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.single = [ranks[bytes([b])] for b in range(256)]
-        self.words = [0] * ((max(self.tokens) >> WORD_BITS) + 1)  # empty between two pre-tokens
-        if len(self.words) > len(BIT):
-            raise ValueError("two levels hold 2**16 ranks")
+        # Two levels of equal width: a word of the lower one has a bit for each of 2**shift ranks, the upper one a bit for each
+        # word that is not empty. Words are whole numbers of any length, so 2**16 ranks have 256 bits, 2**18 ranks 512.
+        self.shift = -(-max(self.tokens).bit_length() // 2)
+        self.bit = [1 << k for k in range(1 << self.shift)]
+        self.words = [0] * ((max(self.tokens) >> self.shift) + 1)  # empty between two pre-tokens
         self.pairs: dict[int, int] = {}  # (left id << 32) + right id -> rank
         for token, rank in ranks.items():
             for i in range(1, len(token)):
@@ -56,7 +53,7 @@ class ByteBPE:
         n = len(ids)
         if n < 2:
             return ids
-        rank_of, words, top, mask = self.pairs.get, self.words, 0, len(BIT) - 1
+        rank_of, words, top, shift, bit, mask = self.pairs.get, self.words, 0, self.shift, self.bit, len(self.bit) - 1
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waiting = [-1] * n  # rank of the pair that begins here
         buckets: dict[int, list[int]] = {}
@@ -71,13 +68,13 @@ class ByteBPE:
                     buckets[rank].append(i - 1)
                 else:
                     buckets[rank] = [i - 1]
-                    words[rank >> WORD_BITS] |= BIT[rank & mask]
-                    top |= BIT[rank >> WORD_BITS]
+                    words[rank >> shift] |= bit[rank & mask]
+                    top |= bit[rank >> shift]
         while top:
             # find first set on both levels: the lowest rank that waits; then clear its bits
             w = (top & -top).bit_length() - 1
             bits = words[w]
-            rank = (w << WORD_BITS) + (bits & -bits).bit_length() - 1
+            rank = (w << shift) + (bits & -bits).bit_length() - 1
             words[w] = bits = bits & (bits - 1)
             if not bits:
                 top &= top - 1
@@ -107,12 +104,12 @@ class ByteBPE:
                             buckets[new].append(at)
                         else:
                             buckets[new] = [at]
-                            words[new >> WORD_BITS] |= BIT[new & mask]
-                            top |= BIT[new >> WORD_BITS]
+                            words[new >> shift] |= bit[new & mask]
+                            top |= bit[new >> shift]
                 if lower and k + 1 < len(places):  # a lower rank goes first; the others wait again
                     buckets[rank] = places[k + 1:]
-                    words[w] |= BIT[rank & mask]
-                    top |= BIT[w]
+                    words[w] |= bit[rank & mask]
+                    top |= bit[w]
                     break
         return [t for t in ids if t >= 0]
 
@@ -140,6 +137,10 @@ class PieceCache(dict):
         return found
 
 
+#: The pre-token memories of this worker, emptied when a task ends.
+CACHES: list[PieceCache] = []
+
+
 @lru_cache(maxsize=2)
 def load(path: str, pattern: str):
     """``(ByteBPE, PieceCache, compiled pattern)`` of a rank file, once per Python worker."""
@@ -147,9 +148,17 @@ def load(path: str, pattern: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     bpe = ByteBPE(ranks)
     cache = PieceCache(lambda piece: np.array(bpe.merge(piece.encode()), "<u4").tobytes())
+    CACHES.append(cache)
     return bpe, cache, regex.compile(pattern)
 
 
+def forget() -> None:
+    """Empty the pre-token memories of this worker; the tables stay."""
+    for cache in CACHES:
+        cache.clear()
+        cache.old = {}
+
+
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -164,7 +173,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
                    for t in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), "doc_id long, ids array<int>")
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute, forget), "doc_id long, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -198,4 +207,4 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
             yield pa.record_batch([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                                   names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), SCHEMA)
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute, forget), SCHEMA)

@@ -29,8 +29,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def document_batches(spark: SparkSession) -> None:
     """Arrow batches sized for rows that hold whole texts: ``DOCUMENT_ROWS`` instead of Spark's default of 10,000,
-    which is tens of MB a batch in the JVM and again in each Python worker. A session that sets another number keeps it."""
-    if spark.conf.get(BATCH_ROWS) == "10000":
+    which is tens of MB a batch in the JVM and again in each Python worker. It holds for the session from then on. A session that has
+    set any number itself keeps it, 10,000 too; the registered queries and the pipeline's stages call this, the operators do not."""
+    if BATCH_ROWS not in spark.conf.getAll and spark.sparkContext.getConf().get(BATCH_ROWS) is None:
         spark.conf.set(BATCH_ROWS, str(DOCUMENT_ROWS))
 
 
@@ -43,12 +44,14 @@ def give_back() -> None:
         trim(0)
 
 
-def tidy(compute: Callable) -> Callable:
-    """A function for ``mapInArrow`` that gives its memory back when its task ends."""
+def tidy(compute: Callable, forget: Callable[[], None] | None = None) -> Callable:
+    """A function for ``mapInArrow`` that gives its memory back when its task ends; ``forget`` empties what it has cached."""
     def run(batches):
         try:
             yield from compute(batches)
         finally:
+            if forget is not None:
+                forget()
             give_back()
 
     return run

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, text_or_empty
+from .common import materialize, may_hold, text_or_empty
 
 TOP_K = 256
 TRACKED = 8192
@@ -76,10 +76,21 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with one row per distinct text, all columns kept. The heavy digests' other copies
-    never leave their map task; the rest is shuffled once."""
-    heavy = materialize(heavy_digests(digests(df, id_col, text_col)), "heavy-digests")
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-                     F.col(id_col).cast("long").alias("doc_id"),
-                     F.sha2(text_or_empty(text_col), 256).alias("digest"))
-    return mark_duplicates(rows, heavy).where("kept").select("row.*")
+    """``df`` with one row per distinct text, all columns kept. The duplicates are marked on narrow rows of (digest, id). Whole rows
+    are shuffled to the losers' list only if they may be losers (and few more). Of rows that repeat the kept row's id and text one is kept."""
+    rows = materialize(digests(df, id_col, text_col), "digests")
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                      F.sha2(text_or_empty(text_col), 256).alias("digest"))
+    heavy = materialize(heavy_digests(rows), "heavy-digests")
+    marked = mark_duplicates(rows, heavy)
+    # losers by (digest, id); ``one_stays`` where the kept row has that id too
+    lost = materialize(marked.groupBy("digest", "doc_id").agg(F.sum((~F.col("kept")).cast("long")).alias("losers"), F.max("kept").alias("one_stays"))
+                       .where("losers > 0").select(F.xxhash64("digest", "doc_id").alias("key"), F.col("digest").alias("d"), F.col("doc_id").alias("i"), "one_stays"),
+                       "exact-losers")
+    suspect = may_hold(lost, "key")(F.xxhash64("digest", "doc_id"))
+    same = (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i"))
+    met = keyed.where(suspect).join(lost.drop("key").hint("merge"), same, "left")
+    first = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy("digest"))
+    repeated = met.where("one_stays").withColumn("place", first).where("place = 1")  # rows equal in id and text
+    return (keyed.where(~suspect).select("row.*")
+            .union(met.where("d is null").select("row.*")).union(repeated.select("row.*")))

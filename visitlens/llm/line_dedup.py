@@ -80,13 +80,14 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     touched = may_hold(later, "key")(F.xxhash64(doc))
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(F.split(text, "\n"))).cast("long")
     others = [c for c in df.columns if c not in ("n_lines", "n_removed")]
-    counted = df.select(*[F.col(f"`{c}`") for c in others], n_lines.alias("n_lines"))
+    # the row travels as one struct, so that its columns may have any names
+    counted = df.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("value"),
+                        n_lines.alias("n_lines"), touched.alias("touched"))
 
     # only texts to be cut are shuffled and travel to Python
-    found = later.select(F.col("doc.id").alias("__id"), F.col("doc.text").alias("__hash"), F.col("ats").alias("__ats")).hint("merge")
-    joined = counted.where(touched).join(
-        found, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__hash")), "left")
-    cut = (joined.withColumn("__cut", _cut(F.col(text_col), F.col("__ats")))
-           .select(*[F.col("__cut.text").alias(c) if c == text_col else F.col(f"`{c}`") for c in others],
-                   "n_lines", F.col("__cut.removed").alias("n_removed")))
-    return counted.where(~touched).withColumn("n_removed", F.lit(0).cast("long")).unionByName(cut)
+    found = later.select(F.col("doc.id").alias("found_id"), F.col("doc.text").alias("hash"), "ats").hint("merge")
+    joined = counted.where("touched").join(found, F.col("id").eqNullSafe(F.col("found_id")) & (F.xxhash64(text_or_empty("value")) == F.col("hash")), "left")
+    cut = (joined.withColumn("cut", _cut(F.col("value"), F.col("ats")))
+           .select(*[F.col("cut.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in others],
+                   "n_lines", F.col("cut.removed").alias("n_removed")))
+    return counted.where("not touched").select("row.*", "n_lines", F.lit(0).cast("long").alias("n_removed")).unionByName(cut)

@@ -15,11 +15,12 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,48 +29,45 @@ from pyspark.sql.window import Window
 from .common import id_table, materialize, tidy
 
 CAPACITY = 2048
-#: Words and parts of words that a Python worker remembers (in each of two generations), and the longest remembered.
-CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 300_000, 150_000, 48
-# The tokenizer's own pattern and word-end suffix.
-PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-WORD_END = "</w>"
-#: Words that Unicode normalisation leaves alone and that Python lower-cases as the tokenizer does.
-LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
+#: Words and parts of words that a task remembers (in each of two generations), and the longest remembered.
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 100_000, 50_000, 48
+# The tokenizer's own pattern, for words of ASCII characters in lower case.
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Words that Unicode normalisation leaves alone and whose bytes are their characters.
+PLAIN = re.compile("[!-~]+")
 #: White space of the tokenizer's patterns (Unicode White_Space).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(f"[^{SPACES}]+")
 #: Characters that str.split takes for white space and the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
-MARK = "\x00"
 
 
-class TwoGenerations:
-    """A dictionary of bounded size: when ``new`` is full it becomes the old generation, from which used keys move over."""
+class TwoGenerations(dict):
+    """A dictionary that computes what it lacks. When it holds ``entries`` it becomes the old generation, from which used keys move over."""
 
-    def __init__(self, entries: int):
-        self.entries, self.new, self.old = entries, {}, {}
+    def __init__(self, compute: Callable[[str], bytes], entries: int):
+        super().__init__()
+        self.compute, self.entries, self.old = compute, entries, {}
 
-    def unknown(self, keys: set) -> list:
-        """The keys that neither generation holds; ``new`` holds the others afterwards."""
-        if len(self.new) > self.entries:
-            self.old, self.new = self.new, {}
-        old, new, missing = self.old, self.new, []
-        for key in keys.difference(new):  # a plain dict: one look-up a key
-            known = old.get(key)
-            if known is not None:
-                new[key] = known
-            else:
-                missing.append(key)
-        return missing
+    def __missing__(self, key: str) -> bytes:
+        if len(key) > CACHE_CHARS:
+            return self.compute(key)
+        found = self.old.get(key)
+        if found is None:
+            found = self.compute(key)
+        if len(self) >= self.entries:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
 
 
 class WordCache:
     """Token ids of white-space words as little-endian 32-bit bytes.
 
-    The tokenizer never merges over white space, so a text's ids are its words' ids in a row. Unknown
-    words are encoded by the tokenizer, many in one call. Words of Latin letters are split as its pattern does, so that a
-    part is encoded once whatever stands around it; a part's last token ends in the vocabulary's word-end
-    suffix. Other words go whole, between marks that the tokenizer keeps as a token of their own.
+    The tokenizer never merges over white space, so a text's ids are its words' ids in a row. Words of ASCII characters are split as
+    its pattern does and their parts merged by its model, so a part is merged once whatever stands around it. Other words,
+    and whole texts that hold the beginning of a special token's string, go through the tokenizer itself.
     """
 
     def __init__(self, path: str, words: int = CACHE_WORDS, parts: int = CACHE_PARTS):
@@ -77,62 +75,35 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        mark = self._ids(MARK)
-        if len(mark) != 1:
-            raise ValueError("the mark must be a token of its own")
-        self.mark = mark[0]
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.words, self.parts = TwoGenerations(words), TwoGenerations(parts)
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-    def _learn_parts(self, parts: list[str]) -> None:
-        ids = np.array(self._ids(" ".join(parts)), "<u4")
-        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-        raw, start = ids.tobytes(), 0
-        for part, end in zip(parts, ends, strict=True):
-            self.parts.new[part] = raw[4 * start:4 * end]
-            start = end
-
-    def _learn_whole(self, words: list[str]) -> None:
-        plain = [w for w in words if MARK not in w]
-        ids = np.array(self._ids(f" {MARK} ".join(plain)), "<u4")
-        cuts = np.flatnonzero(ids == self.mark).tolist()
-        if plain:
-            for word, a, b in zip(plain, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
-                self.words.new[word] = ids[a:b].tobytes()
-        for word in words:
-            if MARK in word:
-                self.words.new[word] = np.array(self._ids(word), "<u4").tobytes()
+        self.model = self.tokenizer.model
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: What all special tokens' strings begin with; no text without it holds one.
+        self.opening = os.path.commonprefix(specials)
+        self.words, self.parts = TwoGenerations(self._word, words), TwoGenerations(self._part, parts)
+
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if not PLAIN.fullmatch(word):
+            return self._ids(word)
+        word = word.lower()
+        return self._part(word) if word.isalpha() else b"".join(map(self.parts.__getitem__, PARTS.findall(word)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [WORDS.findall(t) if SEPARATORS.search(t) else t.split() for t in texts]
-        unknown = self.words.unknown(set().union(*split))
-        latin = {w: PARTS.findall(w.lower()) for w in unknown if LATIN.fullmatch(w)}
-        if latin:
-            missing = self.parts.unknown(set().union(*latin.values()))
-            if missing:
-                self._learn_parts(missing)
-            ids_of = self.parts.new.__getitem__
-            for word, parts in latin.items():
-                self.words.new[word] = b"".join(map(ids_of, parts))
-        whole = [w for w in unknown if w not in latin]
-        if whole:
-            self._learn_whole(whole)
-        out = [b"".join(map(self.words.new.__getitem__, words)) for words in split]
-        for word in unknown:
-            if len(word) > CACHE_CHARS:
-                del self.words.new[word]
-                for part in latin.get(word, ()):
-                    self.parts.new.pop(part, None)
-        return out
-
-
-@lru_cache(maxsize=2)
+        return [self.encode_text(text) for text in texts]
+
+    def encode_text(self, text: str) -> bytes:
+        if self.opening in text if self.opening else self.tokenizer.get_added_tokens_decoder():
+            return self._ids(text)
+        words = WORDS.findall(text) if SEPARATORS.search(text) else text.split()
+        return b"".join(map(self.words.__getitem__, words))
+
+
+@lru_cache(maxsize=1)
 def word_cache(path: str) -> WordCache:
     return WordCache(path)
 
@@ -150,17 +121,19 @@ def tokenised(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
             for lo, hi, ids in _encoded(batch.column(1).to_pylist(), tokenizer_path):
                 yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
-    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), "doc_id long, ids binary")
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute, word_cache.cache_clear), "doc_id long, ids binary")
 
 
 def _encoded(texts: list[str], path: str):
     cache, end = word_cache(path), np.zeros(1, "<u4").tobytes()
     lo = size = 0
+    encoded = []
     for i, text in enumerate(texts):
+        encoded.append(cache.encode_text(text) + end)
         size += len(text)
         if size >= BLOCK_CHARS or i == len(texts) - 1:
-            yield lo, i + 1, [raw + end for raw in cache.encode(texts[lo:i + 1])]
-            lo, size = i + 1, 0
+            yield lo, i + 1, encoded
+            lo, size, encoded = i + 1, 0, []
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
@@ -183,7 +156,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, i
 
     names = [x.split()[0] for x in PIECES.split(", ")]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
-    return id_table(df, id_col, text_col).mapInArrow(tidy(compute), PIECES)
+    return id_table(df, id_col, text_col).mapInArrow(tidy(compute, word_cache.cache_clear), PIECES)
 
 
 def best_two_fit(counts: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:

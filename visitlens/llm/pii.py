@@ -1,7 +1,7 @@
 """Private data replaced by keyed, type-consistent surrogates.
 
 1. Detectors find entities in whole texts (:func:`find_entities`): e-mail and IP addresses, phone, card, bank and
-   social-security numbers, access keys, passwords and tokens, and people named by a title or a known given name.
+   social-security numbers, access keys, passwords and tokens, and people known by a given name, a title or the place where their names stand.
 2. Each distinct entity of the corpus is proposed a surrogate, an HMAC of (type, entity, attempt)
    that keeps the type's format: letters stay letters of the same case and script, digits stay digits, separators, country codes,
    card networks, check digits and address classes stay; given names stay within gender and script.
@@ -58,12 +58,30 @@ GIVEN = {
 }
 TITLES = {"f": "Mrs Ms Miss Frau Madame Mme Señora Sra Lady", "m": "Mr Herr Monsieur Señor Sr Sir Lord", "": "Dr Prof Professor"}
 LETTERS = {"latin": ("bcdfghklmnprstvz", "aeiou"), "cyrillic": ("бвгдзклмнпрстф", "аеиоу"), "greek": ("βγδζκλμνπρστφ", "αειου")}
+CAPITALS = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "".join(map(chr, range(0x410, 0x430))), "greek": "".join(chr(c) for c in range(0x391, 0x3AA) if c != 0x3A2)}
 KEEP_DOMAINS = ("example.com", "example.org", "example.net")
 
 NAMES = {key: names.split() for key, names in GIVEN.items()}
 GENDER = {name: key for key, names in NAMES.items() for name in names}
 TITLE = {t: g for g, titles in TITLES.items() for t in titles.split()}
-CAP = r"[^\W\d_a-zа-яёα-ω][^\W\d_]+(?:-[^\W\d_a-zа-яёα-ω][^\W\d_]+)?"
+# Words that end a run of capitalised words, or follow a lone word that is a verb or noun there; particles within names;
+# field names, salutations and closings that stand before names.
+STOP = frozenset("The A An In On At He She It They We I You This That These Those And But Or If When Then So As For From To My His Her Our Their "
+                 "There Here Yesterday Today Tomorrow Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June "
+                 "July August September October November December Sir Madam All Team Customer Customers Friend Friends Everyone Colleagues".split())
+PLAIN_AFTER = frozenset("the a an this that these those your my our his her its their all each every it them".split())
+PARTICLE = "(?:van|von|der|den|de|del|della|di|da|dos|das|du|la|le|bin|al|el|zu|ter|y) "
+FIELD = "name|full name|author|contact|from|to|cc|attn|signed|signed by|sender|recipient|patient|customer|employee|nombre|nom|имя"
+SALUTATION = "Dear|Hi|Hello|Hey|Liebe|Lieber|Cher|Chère|Estimado|Estimada|Querido|Querida|Дорогой|Дорогая|Уважаемый|Уважаемая|Αγαπητέ|Αγαπητή"
+CLOSING = ("best regards|kind regards|regards|sincerely|yours sincerely|yours truly|best wishes|mit freundlichen grüßen|viele grüße|"
+           "cordialement|saludos|atentamente|с уважением")
+
+CAP = r"[^\W\d_a-zа-яёα-ω][^\W\d_]+(?:-[^\W\d_a-zа-яёα-ω][^\W\d_]+)*"
+_TITLES = "|".join(sorted(TITLE, key=len, reverse=True))
+_NO_TITLE = rf"(?!(?:{_TITLES})(?![\w]))"
+#: A further word of a name: capitalised, with particles before it, or an initial; a title begins another name.
+PART = rf"(?:{PARTICLE}){{0,3}}{_NO_TITLE}(?:{CAP}|[A-ZА-ЯΑ-Ω]\.)"
+RUN = rf"{_NO_TITLE}{CAP}(?: {PART})*"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: One pattern a type, tried from the most specific; an entity is the named group ``v`` or the whole match.
@@ -75,10 +93,22 @@ DETECTORS = [
     ("ip", re.compile(rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)")),
     ("card", re.compile(r"(?<![\w.])(?:3\d{3}[ -]?\d{6}[ -]?\d{5}|(?:[3-6]\d{3}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720))(?:[ -]?\d{4}){2}[ -]?\d{1,7})(?![\w])")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
-    ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ ]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w])")),
+    ("phone", re.compile(r"(?<![\w+])(?:\+(?=(?:[ .-]?\d){8})\d{1,3}[ .-]\d(?:[ .-]?\d{2,4}){2,5}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ ]?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w])")),
 ]
-PERSON = re.compile(rf"(?<![\w])(?:(?P<title>{'|'.join(sorted(TITLE, key=len, reverse=True))})\.? )?(?P<names>{CAP}(?: {CAP}){{0,2}})(?![\w])")
-GIVEN_HINT = re.compile("|".join(sorted({*GENDER, *TITLE}, key=lambda n: (-len(n), n))))
+#: What a text must hold for a detector to be tried: one of these strings, or for the others a digit.
+NEEDS = {"email": ("@",), "secret": ("=", ":"), "accesskey": ("AKIA", "ASIA")}
+_GIVEN = "|".join(sorted(GENDER, key=lambda n: (-len(n), n)))
+#: A known given name at the start of any word, and what follows it; a title and the name after it; names known by where they stand.
+FULL = re.compile(rf"(?<![\w])(?P<names>(?:{_GIVEN})(?: {PART})+)(?![\w])")
+TITLED = re.compile(rf"(?<![\w])(?:{_TITLES})\.? (?P<names>{RUN})(?![\w])")
+PLACED = [
+    ((":", "="), re.compile(rf"(?<![\w])(?i:{FIELD})[ \t]*[:=][ \t]*\"?(?P<names>{RUN})(?=\"?[ \t]*(?:[,;<(\n\"]|$))")),
+    ((",", "!"), re.compile(rf"(?<![\w])(?:{SALUTATION}) (?P<names>{RUN})(?=[,!])")),
+    (("\n",), re.compile(rf"(?<![\w])(?i:{CLOSING})[,.!]?[ \t]*\n\s*(?P<names>{RUN})(?=[ \t]*(?:\n|$))")),
+    (("@",), re.compile(rf"(?<![\w])(?P<names>{RUN})\"? ?<[^<>\s@]+@")),
+]
+CAP_WORD = re.compile(rf"(?<![\w])({CAP})(?![\w])(?=(?: (\w+))?)")
+NAME_WORD = re.compile(rf"{PARTICLE}|({CAP}|[A-ZА-ЯΑ-Ω]\.)")
 
 
 def script_of(word: str) -> str:
@@ -86,29 +116,66 @@ def script_of(word: str) -> str:
     return "cyrillic" if 0x400 <= c < 0x530 else "greek" if 0x370 <= c < 0x400 else "latin"
 
 
+def _name_words(text: str, start: int, end: int) -> list[tuple[int, str]]:
+    """``(start, word)`` of a run of name words, without particles, up to the first word that is no name."""
+    words = []
+    for m in NAME_WORD.finditer(text, start, end):
+        if m[1] in STOP:
+            break
+        if m[1]:
+            words.append((m.start(1), m[1]))
+    return words
+
+
 def _people(text: str):
-    """Name parts as ``(start, end, type, value)``: given names by gender and script, surnames by script."""
-    if not GIVEN_HINT.search(text):
-        return
-    people = [(m["title"], m.start("names"), m["names"].split(" ")) for m in PERSON.finditer(text)]
-    people = [(title, at, words, words[0] in GENDER and len(words) > 1) for title, at, words in people
-              if title or (words[0] in GENDER and len(words) > 1)]
-    given = {words[0]: "given:{}:{}".format(*GENDER[words[0]]) for _, _, words, full in people if full}
-    family = {word for _, _, words, full in people if len(words) > 1 for word in words[full:]}
-    surnames = {}
-    for _, at, words, full in people:
-        for i, word in enumerate(words):
-            # a title and a given name alone: the person that the text names in full
-            if i == 0 and (full or (len(words) == 1 and word in given and word not in family)):
-                yield at, at + len(word), given[word], word
+    """Name parts as ``(start, end, type, value)``: given names by gender and script, initials and surnames by script.
+
+    A person is known by a given name of the list before at least one more name, by a title, or by its place: after a field's name, a
+    salutation or a closing, or before an address in angle brackets. Their names alone elsewhere in the text
+    are the same person, unless the word is visibly no name there (``Mark the box``, ``White House``).
+    """
+    runs = {m.start("names"): m.end("names") for signs, pattern in PLACED if any(c in text for c in signs) for m in pattern.finditer(text)}
+    titled = {m.start("names"): m.end("names") for m in TITLED.finditer(text)}
+    runs.update(titled)
+    runs.update((m.start("names"), max(m.end("names"), runs.get(m.start("names"), 0))) for m in FULL.finditer(text))
+    given, family, found, alone = {}, {}, [], []
+    for start in sorted(runs):
+        words = _name_words(text, start, runs[start])
+        if len(words) < 2 and start not in titled and not (words and words[0][1] not in TITLE):
+            continue
+        lead = True  # given names come first
+        for i, (at, word) in enumerate(words):
+            last = i == len(words) - 1
+            if word.endswith("."):
+                found.append((at, at + 1, f"initial:{script_of(word)}", word[0]))
+                continue
+            if lead and word in GENDER and (not last or (len(words) == 1 and start not in titled)):
+                kind = given.setdefault(word, "given:{}:{}".format(*GENDER[word]))
+            elif len(words) == 1 and word in GENDER:
+                alone.append((at, word))  # a title and a given name alone
+                continue
             else:
-                surnames[word] = f"surname:{script_of(word)}"
-                yield at, at + len(word), surnames[word], word
+                lead = False
+                kind = family.setdefault(word, f"surname:{script_of(word)}")
+            found.append((at, at + len(word), kind, word))
+    for at, word in alone:  # the person that the text names in full, or else a surname
+        kind = given[word] if word in given and word not in family else family.setdefault(word, f"surname:{script_of(word)}")
+        found.append((at, at + len(word), kind, word))
+    yield from found
+    names = {**given, **family}
+    if not names:
+        return
+    ends = {at + len(word) for at, _, _, word in found}
+    for m in CAP_WORD.finditer(text):
+        after, at = m[2], m.start(1)
+        if after is not None:
+            other = after[0].isupper() and len(after) > 1 and after not in names and after not in STOP
+            if m[1] in names and ((other and m.end(1) not in ends) or (after in PLAIN_AFTER and m[1] in given and m[1] not in family)):
+                continue
+        for word in (m[1],) if m[1] in names else m[1].split("-"):
+            if word in names:
+                yield at, at + len(word), names[word], word
             at += len(word) + 1
-    names = {**given, **surnames}
-    if names:  # the same person, named by one name alone elsewhere in the text; a name used both ways counts as surname
-        for m in re.finditer(rf"(?<![\w])(?:{'|'.join(sorted(map(re.escape, names), key=len, reverse=True))})(?![\w])", text):
-            yield m.start(), m.end(), names[m[0]], m[0]
 
 
 def canonical(kind: str, value: str) -> str:
@@ -125,8 +192,7 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     found: list[tuple[int, int, str, str]] = []
     digit = any(c in text for c in "0123456789")
     for kind, pattern in DETECTORS:
-        if kind == "email" and "@" not in text or kind == "secret" and "=" not in text and ":" not in text \
-                or kind not in ("email", "secret") and not digit:
+        if not any(sign in text for sign in NEEDS[kind]) if kind in NEEDS else not digit:
             continue
         for m in pattern.finditer(text):
             if kind == "card" and not _passes_luhn(canonical(kind, m[0])):
@@ -136,12 +202,12 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     found += _people(text)
     if len(found) < 2:
         return found
-    order = sorted(range(len(found)), key=lambda i: i)  # detectors' order is priority
-    taken: list[tuple[int, int, str, str]] = []
-    for i in order:
-        a, b = found[i][:2]
-        if all(b <= x[0] or a >= x[1] for x in taken):
-            taken.append(found[i])
+    used, taken = bytearray(len(text)), []  # a byte for each character that belongs to an entity
+    for entity in found:  # detectors' order is priority
+        a, b = entity[:2]
+        if used.find(1, a, b) < 0:
+            used[a:b] = b"\x01" * (b - a)
+            taken.append(entity)
     return sorted(taken)
 
 
@@ -274,6 +340,10 @@ def surrogate(key: str, kind: str, value: str, attempt: int = 0) -> str:
         names = NAMES[tuple(kind.split(":")[1:])]
         mixed = sorted(names, key=lambda n: hmac.new(key.encode(), f"{kind}{n}".encode(), hashlib.sha256).digest())
         return mixed[(mixed.index(value) + 1 + attempt) % len(mixed)]
+    if kind.startswith("initial:"):  # likewise among the script's capital letters
+        letters = CAPITALS[kind.partition(":")[2]]
+        mixed = sorted(letters, key=lambda c: hmac.new(key.encode(), f"{kind}{c}".encode(), hashlib.sha256).digest())
+        return mixed[(mixed.index(value) + 1) % len(mixed)]
     consonants, vowels = LETTERS[kind.partition(":")[2]]
     size = max(3, (len(value) + 1) // 2) + extra
     name = "".join(consonants[s.below(len(consonants))] + vowels[s.below(len(vowels))] for _ in range(size))
@@ -344,7 +414,7 @@ def assign_attempts(entities: DataFrame, key: str) -> DataFrame:
     ranged = entities.where("kind = 'ip'").select("kind", "entity", range_of("entity").alias("range")).where("range is not null")
     crowded = materialize(ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
                           .where(F.col("n") > F.lit(CROWDED) * F.pow(F.lit(2), F.col("range.bits"))), "crowded-ranges")
-    names = entities.where(~F.col("kind").startswith("given:")).withColumn("attempt", F.lit(0))
+    names = entities.where(~F.col("kind").startswith("given:") & ~F.col("kind").startswith("initial:")).withColumn("attempt", F.lit(0))
     full = None
     if not crowded.isEmpty():
         full = materialize(ranged.join(crowded, "range", "left_semi").select("kind", "entity", F.lit(TURNED).alias("attempt")), "turned")
@@ -385,20 +455,22 @@ def replace_private_data(df: DataFrame, key: str = DEFAULT_KEY, text_col: str =
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True)],
                                           ["text", "n", "kinds"])
 
+    # The row travels as one struct, so that its columns may have any names.
     none = F.lit(None).cast("array<struct<kind:string,entity:string,attempt:int>>")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(text_col).alias("value"),
+                     F.xxhash64(text_or_empty(text_col)).alias("key"))
     if moved.isEmpty():
-        parts = [df.withColumn("__moved", none)]
+        parts = [rows.withColumn("moved", none)]
     else:
         # A document's list is bounded by its own mentions. Only documents that hold a moved entity
         # (and few more) are shuffled to their lists.
         lists = materialize(found.join(moved, ["kind", "entity"]).groupBy("text_key")
-                            .agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias("__moved")), "moved-lists")
-        text_key = F.xxhash64(text_or_empty(text_col))
-        touched = may_hold(lists, "text_key")(text_key)
-        parts = [df.where(~touched).withColumn("__moved", none),
-                 df.where(touched).join(lists.withColumnRenamed("text_key", "__key").hint("merge"), text_key == F.col("__key"), "left")]
-    added = [F.col("__new.n").alias("n_replaced"), F.col("__new.kinds").alias("kinds")] if report else []
-    done = [part.withColumn("__new", rewrite(F.col(text_col), F.col("__moved")))
-            .select(*[F.col("__new.text").alias(c) if c == text_col else F.col(f"`{c}`")
+                            .agg(F.collect_set(F.struct("kind", "entity", "attempt")).alias("moved")), "moved-lists")
+        touched = may_hold(lists, "text_key")(F.col("key"))
+        parts = [rows.where(~touched).withColumn("moved", none),
+                 rows.where(touched).join(lists.hint("merge"), F.col("key") == F.col("text_key"), "left").drop("text_key")]
+    added = [F.col("new.n").alias("n_replaced"), F.col("new.kinds").alias("kinds")] if report else []
+    done = [part.withColumn("new", rewrite("value", "moved"))
+            .select(*[F.col("new.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)
                       for c in df.columns if not (report and c in ("n_replaced", "kinds"))], *added) for part in parts]
     return reduce(DataFrame.unionByName, done)

@@ -28,6 +28,8 @@ DIM = 8
 #: row are learned from, and fewer rows are taken where they have more.
 TRAIN_ROWS, TRAIN_FEATURES = 8_000, 3_000
 EPOCHS, RATE = 8, 0.6
+#: Texts whose feature columns are built at a time.
+FEATURE_ROWS = 100
 THRESHOLD = 0.7
 #: A longer text is read in segments, cut at white space where there is any.
 SEGMENT = 1 << 20
@@ -122,23 +124,28 @@ class Model:
         return 1.0 / (1.0 + np.exp(-total / count))
 
 
-def _feature_lists(column: pa.Array) -> tuple[list, list]:
-    """Each text's distinct buckets and their share of its features."""
-    found: list[list[np.ndarray]] = [[np.array([ALWAYS], np.uint32)] for _ in range(len(column))]
+def _feature_columns(column: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Each text's distinct buckets and their share of its features, as two list columns over flat numpy buffers."""
+    buckets, rows = [np.full(len(column), ALWAYS, np.uint32)], [np.arange(len(column), dtype=np.int32)]
     for start, data, ends in _runs(column):
         for at, bucket in _features(data, ends):
-            row = np.minimum(np.searchsorted(ends, at, side="right"), len(ends) - 1)
-            order = np.argsort(row, kind="stable")
-            cuts = np.searchsorted(row[order], np.arange(len(ends) + 1))
-            for i in range(len(ends)):
-                if cuts[i + 1] > cuts[i]:
-                    found[start + i].append(bucket[order[cuts[i]:cuts[i + 1]]])
-    ids, shares = [], []
-    for parts in found:
-        bucket, n = np.unique(np.concatenate(parts), return_counts=True)
-        ids.append(bucket.astype(np.int32).tolist())
-        shares.append((n / n.sum()).astype(np.float32).tolist())
-    return ids, shares
+            rows.append((start + np.minimum(np.searchsorted(ends, at, side="right"), len(ends) - 1)).astype(np.int32))
+            buckets.append(bucket)
+    key = np.concatenate(rows).astype(np.int64) << BUCKET_BITS | np.concatenate(buckets)
+    del rows, buckets
+    key, n = np.unique(key, return_counts=True)
+    row = key >> BUCKET_BITS
+    ends = np.searchsorted(row, np.arange(len(column) + 1)).astype(np.int32)
+    totals = np.bincount(row, weights=n, minlength=len(column))
+    shares = (n / totals[row]).astype(np.float32)
+    ids = (key & ((1 << BUCKET_BITS) - 1)).astype(np.int32)
+    return tuple(pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (ids, shares))
+
+
+def _feature_lists(column: pa.Array) -> tuple[list, list]:
+    """The same as Python lists."""
+    ids, shares = _feature_columns(column)
+    return ids.to_pylist(), shares.to_pylist()
 
 
 def train(ids: list[np.ndarray], shares: list[np.ndarray], labels: np.ndarray, seed: int = 11) -> Model:
@@ -181,9 +188,9 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_
 
     def compute(batches):
         for batch in batches:
-            ids, shares = _feature_lists(batch.column(2))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32())),
-                                   pa.array(shares, pa.list_(pa.float32()))], names=["doc_id", "label", "ids", "shares"])
+            for lo in range(0, batch.num_rows, FEATURE_ROWS):  # the features of a few texts take many times their bytes
+                some = batch.slice(lo, FEATURE_ROWS)
+                yield pa.record_batch([some.column(0), some.column(1), *_feature_columns(some.column(2))], names=["doc_id", "label", "ids", "shares"])
 
     lists = materialize(drawn.select("doc_id", "label", "text")
                         .mapInArrow(tidy(compute), "doc_id long, label int, ids array<int>, shares array<float>"), "features")
@@ -222,8 +229,7 @@ def score_documents(df: DataFrame, model: Model, id_col: str = "doc_id", text_co
 
 def keep_good(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` without the rows the model rejects; all columns kept."""
-    return (df.withColumn("__score", scorer(model)(text_or_empty(text_col)))
-            .where(F.col("__score") >= THRESHOLD).drop("__score"))
+    return df.where(scorer(model)(text_or_empty(text_col)) >= THRESHOLD)
 
 
 __all__ = ["Model", "fit", "held_out", "keep_good", "score_documents", "scorer", "train"]

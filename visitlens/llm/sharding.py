@@ -133,6 +133,10 @@ def hilbert_shards(df: DataFrame, dims: list[str], shards: int, id_col: str = "d
             .drop("__rank", "__first", "__total", "__place", "__range", "__row"))
 
 
+#: Rows that one task writes of a shard.
+FILE_ROWS = 100_000
+
+
 def document_shards(df: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text",
                     meta: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """Shard report of a document table over its metadata, text size and id: ``doc_id, size,
@@ -147,8 +151,9 @@ def document_shards(df: DataFrame, shards: int, id_col: str = "doc_id", text_col
 
 
 def write_shards(df: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id") -> None:
-    """Write ``df`` as one folder per shard, each in slot order (``id_col`` must be unique)."""
+    """Write ``df`` as one folder per shard in slot order (``id_col`` must be unique): a file for each ``FILE_ROWS`` slots, which a task
+    of its own may write, whatever the size of the shard."""
     where = assigned.select(F.col("doc_id").alias("__id"), "shard", "slot")
     (df.join(where, F.col(id_col) == F.col("__id")).drop("__id")
-     .repartition("shard").sortWithinPartitions("shard", "slot")
+     .repartition(shuffle_partitions(df.sparkSession), "shard", F.floor(F.col("slot") / FILE_ROWS)).sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_table, materialize, may_hold, tidy
+from .common import id_table, materialize, may_hold, text_or_empty, tidy
 from .graph import connected_components
 
 SHINGLE_WORDS = 3
@@ -146,11 +146,19 @@ def simhash_near_dups(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_dups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``df`` without the rows whose class has a smaller id (all columns kept).
-    Rows with a null id stay; rows that share an id share its fate."""
+    """``df`` without the rows whose class has a smaller id (all columns kept, whatever their names).
+    Rows with a null id stay. Only rows whose id may be a loser's are shuffled; of rows that share an id, those go whose
+    fingerprint is the loser's."""
     marked = simhash_near_dups(df, id_col, text_col, shingle)
-    lost = materialize(marked.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__lost")).distinct(),
-                       "near-dups")
-    key = F.col(id_col).cast("long")
-    suspect = may_hold(lost, "__lost")(key)
-    return df.where(~suspect).unionByName(df.where(suspect).join(lost.hint("merge"), key == F.col("__lost"), "left_anti"))
+    lost = materialize(marked.where(F.col("doc_id") != F.col("component_id"))
+                       .select(F.col("doc_id").alias("lost_id"), F.col("fingerprint").alias("lost_print")).distinct(), "near-dups")
+    suspect = may_hold(lost, "lost_id")(F.col(id_col).cast("long"))
+
+    @F.arrow_udf("string")
+    def fingerprint(text: pa.Array) -> pa.Array:
+        return pa.array([f"{simhash(t, shingle):016x}" for t in text.to_pylist()], pa.string())
+
+    rows = df.where(suspect).select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).cast("long").alias("id"),
+                                    fingerprint(text_or_empty(text_col)).alias("print"))
+    kept = rows.join(lost.hint("merge"), (F.col("id") == F.col("lost_id")) & (F.col("print") == F.col("lost_print")), "left_anti")
+    return df.where(F.coalesce(~suspect, F.lit(True))).unionByName(kept.select("row.*"))
