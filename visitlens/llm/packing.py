@@ -21,6 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +31,14 @@ from .common import id_table, materialize, tidy
 
 CAPACITY = 2048
 #: Words and parts of words that a task remembers (in each of two generations), and the longest remembered.
-CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 100_000, 50_000, 48
-# The tokenizer's own pattern, for words of ASCII characters in lower case.
-PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-#: Words that Unicode normalisation leaves alone and whose bytes are their characters.
-PLAIN = re.compile("[!-~]+")
+CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 300_000, 200_000, 48
+# The tokenizer's own pattern.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Words that Unicode normalisation leaves alone and that Python lower-cases as the tokenizer does.
+LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: Byte-level alphabet of the tokenizer's model: visible Latin-1 characters are themselves, the other bytes follow from 256 on.
+BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 #: White space of the tokenizer's patterns (Unicode White_Space).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WORDS = re.compile(f"[^{SPACES}]+")
@@ -65,7 +69,7 @@ class TwoGenerations(dict):
 class WordCache:
     """Token ids of white-space words as little-endian 32-bit bytes.
 
-    The tokenizer never merges over white space, so a text's ids are its words' ids in a row. Words of ASCII characters are split as
+    The tokenizer never merges over white space, so a text's ids are its words' ids in a row. Words of Latin letters are split as
     its pattern does and their parts merged by its model, so a part is merged once whatever stands around it. Other words,
     and whole texts that hold the beginning of a special token's string, go through the tokenizer itself.
     """
@@ -85,13 +89,15 @@ class WordCache:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def _part(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(BYTE_LEVEL)
         return array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
 
     def _word(self, word: str) -> bytes:
-        if not PLAIN.fullmatch(word):
+        if not LATIN.fullmatch(word):
             return self._ids(word)
         word = word.lower()
-        return self._part(word) if word.isalpha() else b"".join(map(self.parts.__getitem__, PARTS.findall(word)))
+        return self.parts[word] if word.isalpha() else b"".join(map(self.parts.__getitem__, PARTS.findall(word)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self.encode_text(text) for text in texts]

@@ -101,12 +101,14 @@ _GIVEN = "|".join(sorted(GENDER, key=lambda n: (-len(n), n)))
 #: A known given name at the start of any word, and what follows it; a title and the name after it; names known by where they stand.
 FULL = re.compile(rf"(?<![\w])(?P<names>(?:{_GIVEN})(?: {PART})+)(?![\w])")
 TITLED = re.compile(rf"(?<![\w])(?:{_TITLES})\.? (?P<names>{RUN})(?![\w])")
+#: Signs of which the text must hold one, capitalised words of which it must hold one, and the pattern.
 PLACED = [
-    ((":", "="), re.compile(rf"(?<![\w])(?i:{FIELD})[ \t]*[:=][ \t]*\"?(?P<names>{RUN})(?=\"?[ \t]*(?:[,;<(\n\"]|$))")),
-    ((",", "!"), re.compile(rf"(?<![\w])(?:{SALUTATION}) (?P<names>{RUN})(?=[,!])")),
-    (("\n",), re.compile(rf"(?<![\w])(?i:{CLOSING})[,.!]?[ \t]*\n\s*(?P<names>{RUN})(?=[ \t]*(?:\n|$))")),
-    (("@",), re.compile(rf"(?<![\w])(?P<names>{RUN})\"? ?<[^<>\s@]+@")),
+    ((":", "="), None, re.compile(rf"(?<![\w])(?i:{FIELD})[ \t]*[:=][ \t]*\"?(?P<names>{RUN})(?=\"?[ \t]*(?:[,;<(\n\"]|$))")),
+    ((",", "!"), frozenset(SALUTATION.split("|")), re.compile(rf"(?<![\w])(?:{SALUTATION}) (?P<names>{RUN})(?=[,!])")),
+    (("\n",), None, re.compile(rf"(?<![\w])(?i:{CLOSING})[,.!]?[ \t]*\n\s*(?P<names>{RUN})(?=[ \t]*(?:\n|$))")),
+    (("<",), None, re.compile(rf"(?<![\w])(?P<names>{RUN})\"? ?<[^<>\s@]+@")),
 ]
+WORD = re.compile(r"[A-ZÀ-ÖØ-ÞΆ-ΫА-ЯЁ]\w+")
 CAP_WORD = re.compile(rf"(?<![\w])({CAP})(?![\w])(?=(?: (\w+))?)")
 NAME_WORD = re.compile(rf"{PARTICLE}|({CAP}|[A-ZА-ЯΑ-Ω]\.)")
 
@@ -134,10 +136,13 @@ def _people(text: str):
     salutation or a closing, or before an address in angle brackets. Their names alone elsewhere in the text
     are the same person, unless the word is visibly no name there (``Mark the box``, ``White House``).
     """
-    runs = {m.start("names"): m.end("names") for signs, pattern in PLACED if any(c in text for c in signs) for m in pattern.finditer(text)}
-    titled = {m.start("names"): m.end("names") for m in TITLED.finditer(text)}
+    words = set(WORD.findall(text))
+    runs = {m.start("names"): m.end("names") for signs, marks, pattern in PLACED
+            if any(c in text for c in signs) and (marks is None or not marks.isdisjoint(words)) for m in pattern.finditer(text)}
+    titled = {} if TITLE.keys().isdisjoint(words) else {m.start("names"): m.end("names") for m in TITLED.finditer(text)}
     runs.update(titled)
-    runs.update((m.start("names"), max(m.end("names"), runs.get(m.start("names"), 0))) for m in FULL.finditer(text))
+    if not GENDER.keys().isdisjoint(words):
+        runs.update((m.start("names"), max(m.end("names"), runs.get(m.start("names"), 0))) for m in FULL.finditer(text))
     given, family, found, alone = {}, {}, [], []
     for start in sorted(runs):
         words = _name_words(text, start, runs[start])

@@ -198,10 +198,12 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_
     upto = F.sum("n").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "label"))  # one narrow row for each of at most `rows` labels
     taken = sizes.withColumn("upto", upto).where((F.col("upto") <= rows * TRAIN_FEATURES) | (F.col("upto") == F.col("n"))).select("doc_id", "label")
     table = lists.join(F.broadcast(taken), ["doc_id", "label"], "left_semi").select("doc_id", "label", "ids", "shares").toArrow()
-    table = table.sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    features = [[np.asarray(x.values) for x in table.column(c)] for c in ("ids", "shares")]
-    order = range(table.num_rows)
-    return train([features[0][i] for i in order], [features[1][i] for i in order], table.column("label").to_numpy())
+    place = np.lexsort((table.column("label").to_numpy(), table.column("doc_id").to_numpy()))
+    ids, shares = ([np.asarray(x.values) for x in table.column(c)] for c in ("ids", "shares"))  # views of the one copy
+    model = train([ids[i] for i in place], [shares[i] for i in place], table.column("label").to_numpy()[place])
+    del table, ids, shares
+    give_back()
+    return model
 
 
 def scorer(model: Model):
