@@ -1,0 +1,141 @@
+"""Panes, versions of open windows, and state functions, against their batch twins."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from conftest import explain_text
+from visitlens.operators import windows
+from visitlens.streaming import jobs, panes, state, versions
+from visitlens.streaming.runner import StreamTable, read_table
+
+START = dt.datetime(2024, 1, 1)
+SCHEMA = "ts timestamp, keyword string"
+WINDOW = ("60 seconds", "10 seconds", "20 seconds")
+
+
+def searches(seed, n=400, minutes=6):
+    rng = random.Random(seed)
+    rows = sorted((START + dt.timedelta(seconds=rng.randrange(60 * minutes)), rng.choice("aaabbcdefg")) for _ in range(n))
+    return [rows[i:i + n // 5] for i in range(0, n, n // 5)]
+
+
+def folder(spark, path, batches, start=0):
+    for i, rows in enumerate(batches, start):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{path}/f{i:03d}")
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+def want(spark, batches):
+    df = spark.createDataFrame([r for b in batches for r in b], SCHEMA)
+    return sorted(tuple(r) for r in windows.hot_search(df, *WINDOW[:2]).collect())
+
+
+COLUMNS = ["window_start", "window_end", "keyword", "search_count", "rank"]
+
+
+def test_panes_equal_the_batch_windows(spark, tmp_path):
+    batches = searches(1)
+    stream = folder(spark, str(tmp_path / "in"), batches)
+    got = panes.hot_search_panes(spark, stream, StreamTable.fresh(spark, "panes"), *WINDOW)
+    rows = got.collect()
+    assert sorted(tuple(r[c] for c in COLUMNS) for r in rows) == want(spark, batches)
+    newest = max(ts for b in batches for ts, _ in b)
+    assert {r.is_open for r in rows} == {True, False}
+    assert all(r.is_open for r in rows if r.window_end > newest - dt.timedelta(seconds=20))
+
+
+def test_panes_keep_one_state_a_row(spark, tmp_path):
+    stream = folder(spark, str(tmp_path / "in"), searches(2, 50))
+    counts = panes.pane_window_counts(stream, ["keyword"], "n", *WINDOW)
+    assert explain_text(counts).count("StateStoreSave") == 2
+    table = StreamTable.fresh(spark, "panes")
+    panes.run_or_start(spark, counts, table, lambda b, _: b.select("keyword", "n"), "append", None)
+    state_rows = spark.read.format("statestore").option("operatorId", 1).load(table.checkpoint).count()
+    plain = StreamTable.fresh(spark, "plain")
+    jobs.run_or_start(spark, jobs.windowed_counts(folder(spark, str(tmp_path / "in2"), searches(2, 50)), ["keyword"], "n", *WINDOW), plain,
+                      lambda b, _: b.select("keyword", "n"), "append", None)
+    assert 0 < state_rows < spark.read.format("statestore").load(plain.checkpoint).count()
+
+
+def test_panes_need_whole_slides(spark, tmp_path):
+    with pytest.raises(ValueError):
+        panes.pane_window_counts(folder(spark, str(tmp_path / "in"), searches(2, 5)), ["keyword"], "n", "60 seconds", "7 seconds", "1 second")
+
+
+def test_versions_end_at_the_batch_result_and_survive_a_restart(spark, tmp_path):
+    batches = searches(3)
+    table = StreamTable.fresh(spark, "versions")
+    path = str(tmp_path / "in")
+    first = versions.hot_search_versions(spark, folder(spark, path, batches[:3]), table, *WINDOW)
+    assert sorted(tuple(r[c] for c in COLUMNS) for r in first.collect()) == want(spark, batches[:3])
+    second = versions.hot_search_versions(spark, folder(spark, path, batches[3:], 3), table, *WINDOW)  # from the checkpoint
+    rows = second.collect()
+    assert sorted(tuple(r[c] for c in COLUMNS) for r in rows) == want(spark, batches)
+    assert {r.is_final for r in rows} == {True, False}
+
+
+def test_versions_show_open_windows_after_every_batch(spark, tmp_path):
+    batches = searches(4)
+    table = StreamTable.fresh(spark, "versions")
+    last = versions.hot_search_versions(spark, folder(spark, str(tmp_path / "in"), batches), table, *WINDOW)
+    every = read_table(spark, table, last.drop("batch_id").schema)
+    for k in range(len(batches)):
+        so_far = versions.newest_version(every.where(F.col("batch_id") <= k))
+        assert sorted(tuple(r[c] for c in COLUMNS) for r in so_far.collect()) == want(spark, batches[:k + 1])
+    final = [tuple(r[c] for c in COLUMNS) for r in every.where("is_final").collect()]
+    assert final and set(final) <= set(want(spark, batches))  # what is called final never changes
+
+
+def numbers(spark, path, batches, start=0):
+    for i, rows in enumerate(batches, start):
+        spark.createDataFrame(rows, "user long, us long").coalesce(1).write.parquet(f"{path}/f{i:03d}")
+    return spark.readStream.schema("user long, us long").option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+def test_gaps_equal_the_batch_computation_over_batches_and_a_restart(spark, tmp_path):
+    rng = random.Random(6)
+    rows = sorted(((rng.randrange(12), rng.randrange(10 ** 9)) for _ in range(300)), key=lambda r: r[1])
+    batches, table, path = [rows[:100], rows[100:150], rows[150:]], StreamTable.fresh(spark, "gaps"), str(tmp_path / "in")
+    state.keyed_state(spark, numbers(spark, path, batches[:2]), ["user"], state.longest_gaps, state.GAPS, table)
+    got = state.keyed_state(spark, numbers(spark, path, batches[2:], 2), ["user"], state.longest_gaps, state.GAPS, table)
+    expected = set()
+    for user in {u for u, _ in rows}:
+        times = [t for u, t in rows if u == user]
+        expected.add((user, len(times), times[0], times[-1], max([b - a for a, b in zip(times, times[1:], strict=False)], default=0)))
+    assert {tuple(r) for r in got.collect()} == expected
+
+
+def test_an_absent_result_removes_the_key(spark, tmp_path):
+    def balance(key, frames, held):
+        """Keeps a sum; a sum of zero is no state."""
+        total = (held or (0,))[0] + sum(int(f["us"].sum()) for f in frames)
+        return (total,) if total else None
+
+    batches = [[(1, 5), (2, 7), (3, 1)], [(1, -5), (2, 1)], [(1, 9), (3, -1)]]
+    schema, table = StructType.fromDDL("total long"), StreamTable.fresh(spark, "balance")
+    got = state.keyed_state(spark, numbers(spark, str(tmp_path / "in"), batches), ["user"], balance, schema, table)
+    assert {tuple(r) for r in got.collect()} == {(1, 9), (2, 8)}  # 1 began anew, 3 is gone
+    updates = read_table(spark, table, StructType.fromDDL("user long, total long, is_removed boolean"))
+    assert {(r.user, r.batch_id) for r in updates.where("is_removed").collect()} == {(1, 1), (3, 2)}
+
+
+def test_a_silent_key_times_out(spark, tmp_path):
+    table, path = StreamTable.fresh(spark, "silent"), str(tmp_path / "in")
+    with pytest.raises(ValueError):
+        state.keyed_state(spark, numbers(spark, path, [[(1, 5), (2, 6)]]), ["user"], state.longest_gaps, state.GAPS, table, timeout_ms=1)
+    query = state.keyed_state(spark, numbers(spark, path, [[(3, 9)]], 1), ["user"], state.longest_gaps, state.GAPS, table, timeout_ms=1,
+                              trigger={"processingTime": "200 milliseconds"})
+    schema = StructType(StructType.fromDDL("user long").fields + state.GAPS.fields).add("is_removed", "boolean")
+    gone = set()
+    try:
+        for _ in range(40):
+            gone = {r.user for r in read_table(spark, table, schema).where("is_removed").collect()}
+            if gone == {1, 2, 3} or query.awaitTermination(0.5):
+                break
+    finally:
+        query.stop()
+    assert gone == {1, 2, 3}

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .materialize import materialize
+
 
 def _col(c) -> Column:
     return c if isinstance(c, Column) else F.col(c)
@@ -80,6 +82,30 @@ def group_collect(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
 
 
+def gather_values(df: DataFrame, key: str, value: str, size: int = 1000) -> DataFrame:
+    """All values of every key with duplicates, in order, as ``(key, chunk, n, values)`` with ``size`` values a chunk (the last may
+    have fewer).
+
+    Rows are ranged by (key, value, row), so a key that holds a third of all rows lies in as many ranges as its
+    share asks for. A row's rank is its place in the range plus the key's rows in earlier ranges; only those counts, one for each key and
+    range, are summed. No array outgrows ``size``. The ranged rows are written to the shared folder once.
+    """
+    spark = df.sparkSession
+    rows = df.select(F.col(key).alias("key"), F.col(value).alias("value"), F.monotonically_increasing_id().alias("row"))
+    ranged = materialize(rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "key", "value", "row")
+                         .sortWithinPartitions("key", "value", "row").drop("row")
+                         .withColumn("place", F.monotonically_increasing_id()), "gathered")
+    part = F.shiftright("place", 33)  # the id's upper bits are the range's number
+    parts = ranged.groupBy("key", part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("begin"))
+    before = F.sum("n").over(Window.partitionBy("key").orderBy("part")) - F.col("n")  # a row a range
+    offsets = parts.select(F.col("key").alias("k"), F.col("part").alias("p"), (before - F.col("begin")).alias("shift"))
+    ranks = ranged.join(offsets, F.col("key").eqNullSafe(F.col("k")) & (part == F.col("p"))).select(
+        "key", "value", (F.col("place") + F.col("shift")).alias("rank"))
+    chunks = ranks.groupBy("key", F.floor(F.col("rank") / size).alias("chunk")).agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("v"))
+    return chunks.select(F.col("key").alias(key), "chunk", "n", F.col("v.value").alias("values"))
+
+
 def count_by_key(df: DataFrame, key) -> DataFrame:
     """Rows per key, as a distributed result (never a driver-side map)."""
     k = _col(key)

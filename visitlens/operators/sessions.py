@@ -333,7 +333,11 @@ def session_task_stats(actions: DataFrame, users: DataFrame, cities: DataFrame,
     per_task = merge_day_partials(partials.join(days, "date"), ("task_id", "session_id"))
     wanted = parsed.drop("start_date", "end_date").withColumnRenamed("sex", "t_sex")
     matched = join_users(per_task, users, cities).join(wanted, "task_id").where(_task_matches())
+    return task_rows(parsed, matched)
 
+
+def task_rows(parsed: DataFrame, matched: DataFrame) -> DataFrame:
+    """A row for every task of :func:`parse_tasks` with the session count and bucket shares of its ``matched`` sessions."""
     aggs = [F.count(F.lit(1)).alias("session_count")]
     for metric, buckets in FINE_SPEC:
         for name, lo_, hi_ in buckets:

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+GATHER_SIZE = 7  # values of a chunk, as in the query
+
 # Fixed values, written out here once more so that a wrong edge in the code shows (inclusive; None = open).
 COARSE_SPEC = [
     ("visit_length", [("0s", 0, 0), ("30s", 1, 30), ("120s", 31, 120), ("300s", 121, 300), ("6000s", 301, 6000),
@@ -265,6 +267,15 @@ from ({sessions_sql(actions_sql('day'))}) s left join ({USERS_SQL}) u on s.user_
         "hot_goods_lines": _hot_sql(LINES_SRC, ["category", "product"], "click_count", "product"),
         "stream_hot_search": _hot_sql(SEARCH_SRC, ["keyword"], "search_count", "keyword"),
         "stream_hot_goods": _hot_sql(GOODS_SRC, ["category", "product"], "click_count", "product"),
+        "stream_hot_search_panes": _hot_sql(SEARCH_SRC, ["keyword"], "search_count", "keyword"),
+        "stream_hot_search_versions": _hot_sql(SEARCH_SRC, ["keyword"], "search_count", "keyword"),
+        "stream_hot_goods_versions": _hot_sql(GOODS_SRC, ["category", "product"], "click_count", "product"),
+        "stream_user_gaps": """select user_id, count(*) as n_events, min(us) as first_us, max(us) as last_us,
+  coalesce(max(us - before), 0) as longest_gap_us
+from (select user_id, epoch_us(ts) as us, lag(epoch_us(ts)) over (partition by user_id order by ts) as before from events) e group by user_id""",
+        "group_gather": f"""select user_id, (r - 1) // {GATHER_SIZE} as chunk, count(*) as n, string_agg(cast(event_id as varchar), ',' order by r) as event_ids
+from (select user_id, event_id, row_number() over (partition by user_id order by event_id) as r from events) e group by 1, 2""",
+        "session_task_index": task_stats_sql(TASKS),
         "stream_running_count": WORD_COUNT_SQL,
         "stream_batch_word_count": f"select word, count, cast(0 as bigint) as batch_id from ({WORD_COUNT_SQL}) w",
         "stream_topic_word_count": (f"select word, count(*) as count, cast(0 as bigint) as batch_id from "

@@ -15,10 +15,10 @@ from .. import functions as fn
 from ..functions.params import TaskParams
 from ..operators import relational as rel
 from ..operators import sessions as ses
-from ..operators import text, windows
+from ..operators import task_index, text, windows
 from ..operators.partitioning import spread
 from ..sources import parquet_table_stream, parse_delimited, read_table
-from ..streaming import jobs
+from ..streaming import jobs, panes, state, versions
 from ..streaming.runner import StreamTable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -342,6 +342,47 @@ def q_stream_topic_word_count(spark, d):
     return jobs.topic_word_count(spark, messages, StreamTable.fresh(spark, "topic-count"))
 
 
+def q_stream_hot_search_panes(spark, d):
+    """``stream_hot_search`` with one state update a row: pane counts, then windows over the panes."""
+    searches = windows.searches_from_events(_event_stream(spark, d))
+    out = panes.hot_search_panes(spark, searches, StreamTable.fresh(spark, "pane-search"), HOT_LENGTH, HOT_SLIDE, HOT_DELAY)
+    return _stream_windows_text(spark, out)
+
+
+def q_stream_hot_search_versions(spark, d):
+    """The newest version of every window's ranking; windows need not have closed."""
+    searches = windows.searches_from_events(_event_stream(spark, d))
+    out = versions.hot_search_versions(spark, searches, StreamTable.fresh(spark, "search-versions"), HOT_LENGTH, HOT_SLIDE, HOT_DELAY)
+    return _stream_windows_text(spark, out.drop("batch_id", "is_final"))
+
+
+def q_stream_hot_goods_versions(spark, d):
+    goods = windows.goods_from_events(_event_stream(spark, d))
+    out = versions.hot_goods_versions(spark, goods, StreamTable.fresh(spark, "goods-versions"), HOT_LENGTH, HOT_SLIDE, HOT_DELAY)
+    return _stream_windows_text(spark, out.drop("batch_id", "is_final"))
+
+
+def q_stream_user_gaps(spark, d):
+    """Each user's longest time without an event: a state function that is no sum."""
+    rows = _event_stream(spark, d).select("user_id", F.unix_micros("ts").alias("us"))
+    return state.keyed_state(spark, rows, ["user_id"], state.longest_gaps, state.GAPS, StreamTable.fresh(spark, "user-gaps"))
+
+
+GATHER_SIZE = 7
+
+
+def q_group_gather(spark, d):
+    """Every user's event ids, gathered in chunks of bounded length."""
+    chunks = rel.gather_values(_t(spark, d, "events"), "user_id", "event_id", GATHER_SIZE)
+    return chunks.select("user_id", "chunk", "n", F.array_join(F.col("values").cast("array<string>"), ",").alias("event_ids"))
+
+
+def q_session_task_index(spark, d):
+    """``session_task_stats`` by an index of the tasks' terms."""
+    tasks = spark.createDataFrame(list(enumerate(STAT_TASK_JSONS, 1)), "task_id long, params string")
+    return task_index.task_stats_by_index(_actions(spark, d, FINE_GRAIN), *_users(spark, d), tasks)
+
+
 QUERIES: dict[str, QueryFn] = {
     "word_count": q_word_count,
     "text_file_word_count": q_text_file_word_count,
@@ -376,4 +417,10 @@ QUERIES: dict[str, QueryFn] = {
     "stream_running_count": q_stream_running_count,
     "stream_batch_word_count": q_stream_batch_word_count,
     "stream_topic_word_count": q_stream_topic_word_count,
+    "stream_hot_search_panes": q_stream_hot_search_panes,
+    "stream_hot_search_versions": q_stream_hot_search_versions,
+    "stream_hot_goods_versions": q_stream_hot_goods_versions,
+    "stream_user_gaps": q_stream_user_gaps,
+    "group_gather": q_group_gather,
+    "session_task_index": q_session_task_index,
 }
