@@ -276,6 +276,13 @@ from (select user_id, epoch_us(ts) as us, lag(epoch_us(ts)) over (partition by u
         "group_gather": f"""select user_id, (r - 1) // {GATHER_SIZE} as chunk, count(*) as n, string_agg(cast(event_id as varchar), ',' order by r) as event_ids
 from (select user_id, event_id, row_number() over (partition by user_id order by event_id) as r from events) e group by 1, 2""",
         "session_task_index": task_stats_sql(TASKS),
+        "session_task_days": task_stats_sql(TASKS),
+        "session_values": (f"select distinct session_id, 'keyword' as kind, search_keyword as value from ({actions_sql('day')}) a where search_keyword <> '' "
+                           f"union all select distinct session_id, 'category' as kind, cast(click_category_id as varchar) as value "
+                           f"from ({actions_sql('day')}) b where click_category_id is not null"),
+        "session_value_counts": f"select session_id, len(kw_list) as n_keywords, len(cat_list) as n_categories from ({sessions_sql(actions_sql('day'))}) s",
+        "session_filter_facts": f"select session_id, step_length, visit_length, age, professional, city, sex, user_id from ({fine}) j",
+        "stream_text_folder_count": WORD_COUNT_SQL,
         "stream_running_count": WORD_COUNT_SQL,
         "stream_batch_word_count": f"select word, count, cast(0 as bigint) as batch_id from ({WORD_COUNT_SQL}) w",
         "stream_topic_word_count": (f"select word, count(*) as count, cast(0 as bigint) as batch_id from "

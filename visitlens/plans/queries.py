@@ -15,9 +15,10 @@ from .. import functions as fn
 from ..functions.params import TaskParams
 from ..operators import relational as rel
 from ..operators import sessions as ses
-from ..operators import task_index, text, windows
+from ..operators import layout, session_values, task_days, task_index, text, windows
 from ..operators.partitioning import spread
-from ..sources import parquet_table_stream, parse_delimited, read_table
+from ..session import fresh_path
+from ..sources import parquet_table_stream, parse_delimited, read_lines, read_table, text_dir_stream, write_lines
 from ..streaming import jobs, panes, state, versions
 from ..streaming.runner import StreamTable
 
@@ -64,6 +65,11 @@ def _doc_lines(spark, d) -> DataFrame:
     return fn.document_lines(spread(_t(spark, d, "documents").select("text")))
 
 
+def _text_folder(spark, d) -> str:
+    """The corpus as a folder of text files in the shared folder."""
+    return write_lines(_doc_lines(spark, d), fresh_path(spark, "text-files"))
+
+
 def _ts_text(c) -> F.Column:
     return F.date_format(c, TS_TEXT)
 
@@ -75,9 +81,8 @@ def q_word_count(spark, d):
 
 
 def q_text_file_word_count(spark, d):
-    """Word count over lines as ``read_lines`` gives them (``value``). The given corpus is parquet, so its
-    texts' lines stand for a folder of text files; no copy is written. Real files are read in the tests."""
-    return text.word_count(_doc_lines(spark, d))
+    """Word count of a folder of text files, written from the corpus's lines and read as files."""
+    return text.word_count(read_lines(spark, _text_folder(spark, d), "\n"))
 
 
 def q_top_words(spark, d):
@@ -383,6 +388,37 @@ def q_session_task_index(spark, d):
     return task_index.task_stats_by_index(_actions(spark, d, FINE_GRAIN), *_users(spark, d), tasks)
 
 
+def q_session_task_days(spark, d):
+    """``session_task_stats`` over actions written by day, of which the tasks' days are read."""
+    tasks = spark.createDataFrame(list(enumerate(STAT_TASK_JSONS, 1)), "task_id long, params string")
+    return task_days.task_stats_by_day(layout.save_by_day(_actions(spark, d, FINE_GRAIN)), *_users(spark, d), tasks)
+
+
+def q_session_values(spark, d):
+    """The distinct keywords and categories of every session, one a row."""
+    return session_values.session_values(_actions(spark, d))
+
+
+def q_session_value_counts(spark, d):
+    return session_values.session_value_counts(_actions(spark, d))
+
+
+def q_session_filter_facts(spark, d):
+    """``session_filter`` from rows of fixed size, without the sets."""
+    return session_values.filtered_facts(_actions(spark, d, FINE_GRAIN), *_users(spark, d), FILTER_TASK)
+
+
+TEXT_FILES_PER_BATCH = 4
+
+
+def q_stream_text_folder_count(spark, d):
+    """Words of a folder of text files, read as a stream in several batches and counted by arrival interval; added up over the
+    intervals, whose number depends on when the files were written."""
+    lines = text_dir_stream(spark, _text_folder(spark, d), TEXT_FILES_PER_BATCH, "\n", arrival=True)
+    counts = jobs.arrival_word_count(spark, lines, StreamTable.fresh(spark, "arrival-count"))
+    return counts.groupBy("word").agg(F.sum("count").alias("count"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "word_count": q_word_count,
     "text_file_word_count": q_text_file_word_count,
@@ -423,4 +459,9 @@ QUERIES: dict[str, QueryFn] = {
     "stream_user_gaps": q_stream_user_gaps,
     "group_gather": q_group_gather,
     "session_task_index": q_session_task_index,
+    "session_task_days": q_session_task_days,
+    "session_values": q_session_values,
+    "session_value_counts": q_session_value_counts,
+    "session_filter_facts": q_session_filter_facts,
+    "stream_text_folder_count": q_stream_text_folder_count,
 }

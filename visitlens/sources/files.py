@@ -34,9 +34,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop)
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files as ``value: string`` (one row per line)."""
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
+    """Lines of text files as ``value: string`` (one row per line). Lines end with LF, CR LF or CR, or with ``line_sep`` only."""
+    return spark.read.text(path, lineSep=line_sep)
+
+
+def write_lines(lines: DataFrame, path: str) -> str:
+    """Write a one-column table as a folder of text files, a line (LF) for each row; returns the path."""
+    lines.write.text(path, lineSep="\n")
+    return path
 
 
 def parse_delimited(lines: DataFrame, schema: StructType, sep: str = ",",

@@ -41,12 +41,17 @@ def parquet_table_stream(spark: SparkSession, base_dir: str, name: str,
                           max_files_per_trigger=max_files_per_trigger)
 
 
-def text_dir_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New text files in a folder, one row per line (``value``)."""
+def text_dir_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None, line_sep: str | None = None,
+                    arrival: bool = False) -> DataFrame:
+    """New text files in a folder, one row per line (``value``). With ``arrival`` also the time its file came as ``ts``
+    (the file's modification time: it stays the same when a batch is run again, as a clock read by the job would not)."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.load(path)
+    if line_sep:
+        reader = reader.option("lineSep", line_sep)
+    lines = reader.load(path)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("ts")) if arrival else lines
 
 
 def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
