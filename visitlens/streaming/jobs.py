@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import java_split, text_lines
+from ..operators.partitioning import spread
 from ..operators.windows import (DEFAULT_LENGTH, DEFAULT_SLIDE, flatten_window, rank_hot_goods,
                                  rank_hot_searches)
 from .runner import StreamTable, compact_totals, latest_totals, run_or_start
@@ -33,7 +34,8 @@ def _tokens(stream: DataFrame, value_col: str, multiline: bool = False) -> DataF
 
 
 def _count_words(batch: DataFrame, value_col: str, multiline: bool = False) -> DataFrame:
-    return (_tokens(batch, value_col, multiline)
+    # a micro-batch of one split would be tokenised by one task
+    return (_tokens(spread(batch), value_col, multiline)
             .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
 
 
