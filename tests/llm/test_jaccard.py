@@ -118,3 +118,37 @@ def test_counts_of_common_shingles(spark):
     ranks = jj.shingle_ranks(docs, 5)
     common = jj.shingle_set("the very common line of words here", jj.WordHashes())
     assert (ranks[jj._counter(common)] >= 8 * 8).all() and ranks.max() < 255
+
+
+def slow_links(sets, percent=80):
+    n = Counter()
+    keys = sorted(sets)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1:]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                n[a] += 1
+                n[b] += 1
+    return {k: n[k] for k in keys}
+
+
+@pytest.mark.parametrize("leaf,block,copies,share", [(1000, 1000, 2.0, 0.75), (12, 16, 2.0, 0.75), (12, 40, 8.0, 1.0)])
+def test_every_link_is_counted_once(spark, monkeypatch, leaf, block, copies, share):
+    for name, value in (("LEAF_NODES", leaf), ("BLOCK_SHINGLES", 60 * block), ("COPIES", copies), ("PART_OF_PAIRS", share), ("SALT_NODES", 50)):
+        monkeypatch.setattr(jj, name, value)
+    sets = clusters(5)
+    rows = [("all", k, len(s), k, True, 1, sorted(s)) for k, s in sets.items()]
+    df = spark.createDataFrame(rows, "region string, node long, n long, known long, home boolean, copies long, shingles array<long>").repartition(5)
+    got = Counter()
+    for r in jj.region_rows(df, 80).where("n_links is not null").collect():
+        got[r.src] += r.n_links
+    assert {k: got[k] for k in sets} == slow_links(sets)
+
+
+def test_links_of_near_copies_and_copies(spark):
+    """A cloud of near copies, all linked with each other, has its pairs counted, and so have rows with equal sets."""
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join([*words, f"end{i}"]) for i in range(30)] + [" ".join([*words, "end0"]).upper()] * 3 + ["another text of some six words", "", "   "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.component_id, r.n_links) for r in jj.jaccard_join(docs).collect()}
+    assert got == {**{i: (0, 32) for i in range(33)}, **{i: (i, 0) for i in (33, 34, 35)}}

@@ -7,15 +7,15 @@ The Jaccard distance ``d = 1 - |A & B| / |A | B|`` is a metric, and two document
 2. First regions: the *head* of a set are its ``|A| - ceil(0.8 |A|) + 1`` seldomest shingles. Two sets of which one's head ends
    before the other's have no more in common than their heads have, plus what lies behind the first head. So nodes whose heads
    share too little are more than ``r`` apart (:func:`near_nodes`). The components of what is left are regions that no link leaves.
-3. A region of bounded size is joined exactly in one task. A larger one draws ``PIVOTS`` pivots among its nodes and measures
-   each node's distance to all of them. A node in a pivot's ball (``d <= r``) is linked to the pivot, and so with the whole ball.
+3. A region of bounded size is joined exactly in one task. A larger one draws ``PIVOTS`` pivots among its nodes, leaves out those
+   within ``r`` of an earlier one and measures each node's distance to the others. A node in a pivot's ball (``d <= r``) is linked to the pivot.
    Each node's home is the Voronoi cell of its nearest pivot. It is copied to every other cell whose pivot is at most
    ``2r`` farther than its own: by the triangle inequality, two linked nodes then meet in the home of each.
    The cells are regions of their own and are joined the same way.
-4. ``open`` nodes are those not yet known to be connected with the largest cluster of their region. Pairs of two nodes that are
-   not open need no look, so a dense group of near copies costs one pass for each pivot and never its pairs.
-5. A region that its pivots do not divide (all its nodes are about equally far from each other) is joined in blocks: open nodes by
-   all nodes, a bounded block of each a task. That is exact too.
+4. Every link is counted, a node's links in its home, where all the nodes it links with are. Links themselves are only kept
+   where they join what is not yet ``known`` to be connected, so a dense group of near copies gives its counts and a tree, not its pairs.
+5. A region that its pivots do not divide (all its nodes are about equally far from each other) is joined in blocks: its nodes
+   are dealt to bounded groups, and a task joins two of them. That is exact too.
 
 Sets travel only for nodes of regions with two or more members. Nothing but a count for each large region's
 level and the fixed-size shingle counts reaches the driver.
@@ -31,7 +31,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 from pyspark.sql.window import Window
 
 from .common import id_table, materialize, may_hold, shuffle_partitions, tidy
@@ -42,6 +41,8 @@ SHINGLE_WORDS, PERCENT = 5, 80
 LEAF_NODES, LEAF_SHINGLES, PIVOTS, BLOCK_SHINGLES = 1024, 1 << 20, 8, 1 << 20
 #: Levels of division, and how many copies of a node they may make on the average; then blocks.
 LEVELS, COPIES = 6, 2.0
+#: Share of its pairs that a divided region's cells may have.
+PART_OF_PAIRS = 0.75
 #: Counters of the shingle counts (4 MB a task) and counters a row.
 COUNTERS, ROW_COUNTERS = 1 << 20, 1 << 14
 #: Nodes that share a shingle of their heads and are looked at in pairs; more of them are held together by one.
@@ -207,38 +208,57 @@ def _find(parent: list[int], i: int) -> int:
     return i
 
 
-def region_links(nodes: np.ndarray, asks: np.ndarray, closed: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links within one region that join all its clusters: every ``asks`` node is compared with all nodes outside its cluster.
-    ``closed`` nodes are known to be connected. A node may occur twice."""
+def region_links(nodes: np.ndarray, known: np.ndarray, home: np.ndarray, copies: np.ndarray, side: np.ndarray, sets: list[np.ndarray],
+                 percent: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links within one region that join all its clusters, and for each ``home`` node the ``copies`` of all nodes it links with.
+
+    All pairs are looked at, or those of two sides if there are two. A node is connected with the one it is ``known`` by."""
     n = np.array([len(s) for s in sets])
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    starts = np.concatenate([[0], np.cumsum(n)[:-1]])
-    parent, first = list(range(len(nodes))), {}
-    for i, node in enumerate(nodes.tolist()):  # closed nodes, and both rows of a node, begin as one cluster
-        parent[_find(parent, i)] = _find(parent, first.setdefault(node, i))
-        if closed[i]:
-            parent[_find(parent, i)] = _find(parent, first.setdefault("closed", i))
+    counts = np.zeros(len(nodes), np.int64)
+    _, codes, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    starts = np.concatenate([[0], np.cumsum(n)])
+    common = uses[codes] > 1
+    # a node links with nothing if too few of its shingles are in any other set; from small sets to large
+    rows = np.flatnonzero(100 * np.add.reduceat(common, starts[:-1], dtype=np.int64) >= percent * n)
+    rows = rows[np.argsort(n[rows], kind="stable")]
+    if len(rows) < 2:
+        return [], counts
+    n, side = n[rows], side[rows]
+    parts = [codes[starts[i]:starts[i + 1]][common[starts[i]:starts[i + 1]]] for i in rows]
+    codes, starts = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+    last = np.searchsorted(percent * n, 100 * n, side="right")  # larger sets of a size to link with
+    first: dict[int, int] = {}
+    parent = list(range(len(rows)))
+    for i, at in enumerate(rows.tolist()):
+        for name in (int(nodes[at]), int(known[at])):
+            parent[_find(parent, i)] = _find(parent, first.setdefault(name, i))
     links = []
-    own = np.zeros(codes.max() + 1, np.uint8)
-    left = len({_find(parent, i) for i in range(len(nodes))})
-    for i in np.flatnonzero(asks).tolist():
-        if left == 1:
-            break
-        mine = codes[starts[i]:starts[i] + n[i]]
-        own[mine] = 1
-        both = np.add.reduceat(own[codes], starts, dtype=np.int64)
-        own[mine] = 0
-        for j in np.flatnonzero(100 * both >= percent * (n[i] + n - both)).tolist():
+    own = np.zeros(len(uses), np.uint8)
+    two_sided = (side != side[0]).any()
+    for i in range(len(rows) - 1):
+        end = int(last[i])
+        if end <= i + 1:
+            continue
+        own[parts[i]] = 1
+        both = np.add.reduceat(own[codes[starts[i + 1]:starts[end]]], starts[i + 1:end] - starts[i + 1], dtype=np.int64)
+        own[parts[i]] = 0
+        linked = 100 * both >= percent * (n[i] + n[i + 1:end] - both)
+        if two_sided:
+            linked &= side[i + 1:end] != side[i]
+        met = np.flatnonzero(linked) + i + 1
+        counts[rows[i]] += copies[rows[met]].sum()
+        counts[rows[met]] += copies[rows[i]]
+        for j in met.tolist():
             a, b = _find(parent, i), _find(parent, j)
             if a != b:
                 parent[a] = b
-                left -= 1
-                links.append((int(nodes[i]), int(nodes[j])))
-    return links
+                links.append((int(nodes[rows[i]]), int(nodes[rows[j]])))
+    return links, np.where(home, counts, 0)
 
 
 def join_regions(regions: DataFrame, percent: int) -> DataFrame:
-    """Links ``(src, dst)`` of bounded regions ``(region, node, asks, closed, shingles)``, each joined within one task."""
+    """Bounded regions ``(region, node, known, home, copies, side, shingles)``, each joined within one task: rows ``(src, dst, null)`` are
+    links, ``(src, null, n_links)`` a node's number of links."""
 
     def compute(batches):
         def joined(rows: pa.Table):
@@ -247,14 +267,17 @@ def join_regions(regions: DataFrame, percent: int) -> DataFrame:
             cuts = np.searchsorted(place[order], np.arange(len(ids) + 1))
             shingles = rows.column("shingles").combine_chunks()
             at, values = shingles.offsets.to_numpy(), shingles.values.to_numpy()
-            columns = [rows.column(c).to_numpy(zero_copy_only=False) for c in ("node", "asks", "closed")]
-            links = []
+            columns = [rows.column(c).to_numpy(zero_copy_only=False) for c in ("node", "known", "home", "copies", "side")]
+            found: list[tuple[int, int | None, int | None]] = []
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 own = order[a:b]
-                if b - a > 1 and columns[1][own].any():
-                    links += region_links(*(c[own] for c in columns), [values[at[i]:at[i + 1]] for i in own], percent)
-            src, dst = zip(*links, strict=True) if links else ((), ())
-            return pa.record_batch([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
+                if b - a > 1:
+                    links, counts = region_links(*(c[own] for c in columns), [values[at[i]:at[i + 1]] for i in own], percent)
+                    found += [(src, dst, None) for src, dst in links]
+                    found += [(int(columns[0][own[i]]), None, int(counts[i])) for i in np.flatnonzero(counts)]
+            src, dst, n_links = zip(*found, strict=True) if found else ((), (), ())
+            return pa.record_batch([pa.array(src, pa.int64()), pa.array(dst, pa.int64()), pa.array(n_links, pa.int64())],
+                                   names=["src", "dst", "n_links"])
 
         kept = None  # the last region of a batch may go on in the next
         for batch in batches:
@@ -269,109 +292,100 @@ def join_regions(regions: DataFrame, percent: int) -> DataFrame:
             yield joined(kept)
 
     spark = regions.sparkSession
-    return (regions.select("region", "node", "asks", "closed", "shingles")
+    return (regions.select("region", "node", "known", "home", "copies", "side", "shingles")
             .repartition(shuffle_partitions(spark), "region").sortWithinPartitions("region")
-            .mapInArrow(tidy(compute), "src long, dst long"))
+            .mapInArrow(tidy(compute), "src long, dst long, n_links long"))
 
 
 def _sized(regions: DataFrame, narrow: DataFrame | None = None) -> DataFrame:
-    """``regions (region, node, n, closed, …)`` with ``size``, ``n_open`` and ``small``; regions without an open node are finished.
+    """``regions (region, node, n, home, …)`` with ``size``, ``n_home`` and ``small``; regions that are no node's home are finished.
     ``narrow`` has the same rows without their sets, where those would be computed once more."""
-    sizes = ((regions if narrow is None else narrow).groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.sum((~F.col("closed")).cast("long")).alias("n_open"), F.sum("n").alias("weight"))
-             .where((F.col("n_open") > 0) & (F.col("size") > 1))
+    sizes = ((regions if narrow is None else narrow).groupBy("region")
+             .agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("home").cast("long")).alias("n_home"), F.sum("n").alias("weight"))
+             .where((F.col("n_home") > 0) & (F.col("size") > 1))
              .withColumn("small", (F.col("size") <= LEAF_NODES) & ((F.col("weight") <= LEAF_SHINGLES) | (F.col("size") == 2))))
     return regions.join(sizes.drop("weight"), "region")
 
 
-def to_pivots(large: DataFrame, level: int, percent: int, radius: float) -> DataFrame:
-    """Each node of the large regions with its region's pivots: ``balls`` (bit k: within the radius of pivot k; bit ``PIVOTS``: closed before),
-    ``far`` (distances) and ``pivots`` (their nodes)."""
+def to_pivots(large: DataFrame, level: int, percent: int) -> DataFrame:
+    """Each node of the large regions with its region's ``pivots`` (their nodes), its distances to them (``far``), and
+    the first one in whose ball it is (``ball``, or null)."""
     draw = F.pmod(F.xxhash64("node", F.lit(level)), F.lit(1 << 30))
-    drawn = large.where(~F.col("closed") & (draw * F.col("n_open") < F.lit(4 * PIVOTS << 30)))
+    drawn = large.where(F.col("home") & (draw * F.col("n_home") < F.lit(4 * PIVOTS << 30)))
     rank = F.row_number().over(Window.partitionBy("region").orderBy(draw, "node"))
     copies = F.ceil(F.col("size") / SALT_NODES).cast("int")
+    apart = f"""filter(pivots, (p, i) -> not exists(slice(pivots, 1, i), q ->
+        {100 + percent} * size(array_intersect(p.shingles, q.shingles)) >= {percent} * (p.n + q.n)))"""
     pivots = (drawn.withColumn("k", rank).where(F.col("k") <= PIVOTS).groupBy("region", "size")
               .agg(F.array_sort(F.collect_list(F.struct("k", "node", "n", "shingles"))).alias("pivots"))
-              .select("region", "pivots", F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt")))
+              .select("region", F.expr(apart).alias("pivots"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("salt")))
     salted = large.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(-1)), copies).cast("int"))
     met = (salted.join(pivots, ["region", "salt"])
            .withColumn("both", F.expr("transform(pivots, p -> size(array_intersect(shingles, p.shingles)))")))
     union = "(n + pivots[i].n - c)"
     return (met.withColumn("far", F.expr(f"transform(both, (c, i) -> 1 - c / {union})"))
-            .withColumn("balls", F.expr(f"aggregate(transform(both, (c, i) -> if(100 * c >= {percent} * {union}, shiftleft(1, i), 0)), 0, (a, x) -> a | x)")
-                        + F.col("closed").cast("int") * F.lit(1 << PIVOTS))
-            .withColumn("pivots", F.expr("transform(pivots, p -> p.node)")).drop("both", "salt"))
-
-
-@F.arrow_udf(IntegerType())
-def _main_cluster(groups: pa.Array) -> pa.Array:
-    """Of ``(balls, number of nodes)`` lists, the union of balls that hang together and hold most nodes."""
-    out = []
-    for counts in groups.to_pylist():
-        clusters: list[list[int]] = []
-        for c in counts:
-            if c["balls"]:
-                joined = [x for x in clusters if x[0] & c["balls"]]
-                clusters = [x for x in clusters if not x[0] & c["balls"]]
-                clusters.append([reduce(int.__or__, (x[0] for x in joined), c["balls"]), sum(x[1] for x in joined) + c["count"]])
-        out.append(max(clusters, key=lambda x: (x[1], x[0]))[0] if clusters else 0)
-    return pa.array(out, pa.int32())
-
-
-def region_join(regions: DataFrame, percent: int = PERCENT, narrow: DataFrame | None = None) -> DataFrame:
-    """Links ``(src, dst)`` within ``regions (region string, node, n, closed, shingles)`` whose closure is that of all pairs
-    at the given likeness."""
+            .withColumn("near", F.expr(f"transform(both, (c, i) -> 100 * c >= {percent} * {union})"))
+            .withColumn("pivots", F.expr("transform(pivots, p -> p.node)"))
+            .withColumn("ball", F.expr("get(pivots, cast(array_position(near, true) as int) - 1)")).drop("both", "near", "salt"))
+
+
+def region_rows(regions: DataFrame, percent: int, narrow: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`join_regions` for ``regions (region string, node, n, known, home, copies, shingles)`` of any size: links whose
+    closure is that of all pairs at the given likeness, and parts of the nodes' numbers of links."""
     radius = 1 - percent / 100
-    links, todo = [], materialize(_sized(regions, narrow), "jaccard-regions")
-    columns = ["region", "node", "n", "closed", "shingles"]
+    found, todo = [], materialize(_sized(regions, narrow), "jaccard-regions")
+    columns = ["region", "node", "n", "known", "home", "copies", "shingles"]
 
     def leaves(df: DataFrame) -> None:
-        links.append(materialize(join_regions(df.withColumn("asks", ~F.col("closed")), percent), "jaccard-links"))
+        found.append(materialize(join_regions(df.withColumn("side", F.lit(0)), percent), "jaccard-links"))
 
     def blocks(df: DataFrame) -> None:
-        rows, cols = (F.ceil(F.col(c) / BLOCK_SHINGLES).cast("int") for c in ("open_weight", "weight"))
-        asking = (df.where(~F.col("closed")).withColumn("a", F.pmod(F.xxhash64("node", F.lit("a")), rows).cast("int"))
-                  .withColumn("b", F.explode(F.sequence(F.lit(0), cols - 1))).withColumn("asks", F.lit(True)))
-        asked = (df.withColumn("b", F.pmod(F.xxhash64("node", F.lit("b")), cols).cast("int"))
-                 .withColumn("a", F.explode(F.sequence(F.lit(0), rows - 1))).withColumn("asks", F.lit(False)))
-        both = asking.unionByName(asked).withColumn("region", F.concat_ws("/", "region", "a", "b"))
-        links.append(materialize(join_regions(both, percent), "jaccard-links"))
+        own = F.pmod(F.xxhash64("node", F.lit("a")), F.col("groups")).cast("int")
+        met = (df.withColumn("groups", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")).withColumn("side", own)
+               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))))
+        block = F.concat_ws("/", "region", F.least("side", "other"), F.greatest("side", "other"))
+        found.append(materialize(join_regions(met.withColumn("region", block), percent), "jaccard-links"))
 
     leaves(todo.where("small"))
     for level in range(LEVELS):
         large = todo.where(~F.col("small"))
         if large.isEmpty():
             break
-        met = materialize(to_pivots(large, level, percent, radius), "jaccard-pivots")
-        ball = (met.select("node", "balls", F.posexplode("pivots").alias("k", "pivot"))
-                .where((F.expr("balls & shiftleft(1, k)") != 0) & (F.col("node") != F.col("pivot"))))
-        links.append(ball.select(F.col("node").alias("src"), F.col("pivot").alias("dst")))
-        main = (met.groupBy("region", "balls").count().groupBy("region")
-                .agg(F.collect_list(F.struct("balls", "count")).alias("groups"))  # 2 ** (PIVOTS + 1) at most
-                .select("region", _main_cluster("groups").alias("main")))
-        # a pivot has met its whole region, so all its links are known
-        at = (met.join(main, "region").withColumn("closed", F.col("balls").bitwiseAND(F.col("main")) != 0)
-              .where(~F.array_contains("pivots", F.col("node")))
-              .withColumn("near", F.array_min("far") + F.lit(2 * radius + 1e-9)))
-        cells = (at.withColumn("cells", F.expr("filter(sequence(0, size(far) - 1), i -> far[i] <= near)"))
-                 .drop("size", "n_open", "small"))
-        spread = (cells.groupBy("region").agg(F.avg(F.size("cells")).alias("copies"),
-                                              F.sum(F.when(~F.col("closed"), F.col("n"))).alias("open_weight"), F.sum("n").alias("weight"))
-                  .where("open_weight > 0").withColumn("divides", F.col("copies") <= F.lit(COPIES if level < LEVELS - 1 else 0)))
-        known = cells.join(spread.drop("copies"), "region")
+        met = materialize(to_pivots(large, level, percent), "jaccard-pivots")
+        found.append(met.where("ball != node").select(F.col("node").alias("src"), F.col("ball").alias("dst"), F.lit(None).cast("long").alias("n_links")))
+        cells = (met.withColumn("known", F.coalesce("ball", "known")).withColumn("near", F.array_min("far"))
+                 .withColumn("own", F.expr("cast(array_position(far, near) as int) - 1"))
+                 .withColumn("cells", F.expr(f"filter(sequence(0, size(far) - 1), i -> far[i] <= near + {2 * radius + 1e-9})"))
+                 .drop("size", "n_home", "small"))
+        # a region divides if its nodes are seldom copied and its cells have much fewer pairs than it has
+        spread = (cells.select("region", "n", "home", "own", F.size("cells").alias("copied"), F.explode("cells").alias("cell"))
+                  .groupBy("region", "cell").agg(F.count(F.lit(1)).alias("size"), F.sum((F.col("own") == F.col("cell")).cast("long")).alias("owned"),
+                                                 F.sum(F.when(F.col("own") == F.col("cell"), F.col("n"))).alias("weight"))
+                  .groupBy("region").agg(F.sum("size").alias("all"), F.sum("owned").alias("nodes"), F.sum("weight").alias("weight"),
+                                         F.sum(F.col("size").cast("double") * F.col("owned")).alias("work"))
+                  .withColumn("divides", (F.col("all") <= F.col("nodes") * F.lit(COPIES if level < LEVELS - 1 else 0))
+                              & (F.col("work") <= PART_OF_PAIRS * F.col("nodes").cast("double") * F.col("nodes"))))
+        known = cells.join(spread.select("region", "weight", "divides"), "region")
         blocks(known.where(~F.col("divides")))
-        divided = (known.where("divides").withColumn("cell", F.explode("cells"))
+        divided = (known.where("divides").withColumn("cell", F.explode("cells")).withColumn("home", F.col("home") & (F.col("own") == F.col("cell")))
                    .withColumn("region", F.concat_ws("/", "region", "cell")))
         todo = materialize(_sized(divided.select(*columns)), "jaccard-regions")
         leaves(todo.where("small"))
-    return reduce(DataFrame.unionByName, links).distinct()
+    return reduce(DataFrame.unionByName, found)
+
+
+def region_join(regions: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links ``(src, dst)`` within ``regions (region string, node, n, shingles)`` whose closure is that of all pairs
+    at the given likeness."""
+    rows = regions.select("region", "node", "n", F.col("node").alias("known"), F.lit(True).alias("home"), F.lit(1).cast("long").alias("copies"), "shingles")
+    return region_rows(rows, percent).where("dst is not null").select("src", "dst").distinct()
 
 
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, n_links)``: one row per input row.
 
     ``component_id`` is the smallest id reachable over links (``100 * |A & B| >= percent * |A | B|``), the row's own included;
-    ``n_links`` counts the links recorded between its set and other sets, enough to span its class. Null and empty texts have
+    ``n_links`` counts the other rows that the row links with, copies of its own set among them. Null and empty texts have
     the empty set and link with nothing, not even with each other. A row with a null id gets a class like the others (null only if
     the whole class has no id). Repeated rows come out as often as they came in. An empty table gives an empty
     result; other columns are ignored.
@@ -379,18 +393,19 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = id_table(df, id_col, text_col)
     heads = materialize(shingle_heads(docs, shingle_ranks(docs, width), width, percent).withColumn("row", F.monotonically_increasing_id()), "jaccard-heads")
     nodes = materialize(heads.where("n > 0").groupBy("digest", "n")
-                        .agg(F.min("row").alias("node"), F.min_by("doc_id", "row").alias("rep_id"), F.min("doc_id").alias("first_id"),
+                        .agg(F.min("row").alias("node"), F.min_by("doc_id", "row").alias("rep_id"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
                              F.first("last_rank").alias("last_rank"), F.first("last").alias("last")), "jaccard-nodes")
     regions = (connected_components(materialize(near_nodes(heads, nodes, percent), "jaccard-near"))
                .select("node", F.col("component").cast("string").alias("region")))
-    placed = materialize(nodes.join(regions, "node").select("digest", "rep_id", "node", "n", "region", F.lit(False).alias("closed")), "jaccard-placed")
-    found = region_join(node_sets(docs, placed, width).select("region", "node", "n", "closed", "shingles"), percent, placed)
-    links = materialize(found, "jaccard-found")
-    linked = connected_components(links).join(nodes, "node")
+    placed = materialize(nodes.join(regions, "node").select("digest", "rep_id", "node", "n", "region", "copies"), "jaccard-placed")
+    sets = node_sets(docs, placed, width).select("region", "node", "n", F.col("node").alias("known"), F.lit(True).alias("home"), "copies", "shingles")
+    found = materialize(region_rows(sets, percent, placed.withColumn("home", F.lit(True))), "jaccard-found")
+    linked = connected_components(found.where("dst is not null").select("src", "dst")).join(nodes, "node")
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    degree = links.select(F.explode(F.array("src", "dst")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    known = (nodes.join(linked.join(smallest, "component").select("node", "component_id"), "node", "left").join(degree, "node", "left")
-             .select(F.col("digest").alias("found"), F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    met = found.where("n_links is not null").groupBy(F.col("src").alias("node")).agg(F.sum("n_links").alias("met"))
+    known = (nodes.join(linked.join(smallest, "component").select("node", "component_id"), "node", "left").join(met, "node", "left")
+             .select(F.col("digest").alias("found"), F.coalesce("component_id", "first_id").alias("component_id"),
+                     (F.col("copies") - 1 + F.coalesce("met", F.lit(0))).alias("n_links")))
     rows = heads.select("doc_id", F.col("n").alias("n_shingles"), "digest")
     full = rows.where("digest is not null").join(known, F.col("digest") == F.col("found")).drop("digest", "found")
     empty = rows.where("digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
