@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from visitlens.llm import exact_dedup, line_dedup, simhash
+from visitlens.llm import common, exact_dedup, line_dedup, simhash
 from visitlens.llm.graph import connected_components
 
 from .conftest import EDGE, explain_text
@@ -131,6 +131,28 @@ def test_exact_plan_is_native(small):
         assert not re.search("Python|Arrow|Pandas", explain_text(df))
 
 
+def test_exact_losers_are_found_without_python(spark):
+    """Losers in every piece of a bitmap of several pieces; rows that repeat an id and a text, null ids and texts."""
+    n = 10_000  # of equal texts six in seven go: 10 bits for each of them
+    docs = spark.range(n).selectExpr("if(id % 97 = 0, null, id div 2) as doc_id", "if(id % 7 = 3, null, cast(id % 1400 as string)) as text").repartition(3)
+    kept = exact_dedup.drop_exact_duplicates(docs)
+    assert not re.search("Python|Arrow|Pandas", explain_text(kept))
+    best = {}
+    for r in docs.collect():
+        best.setdefault(r.text or "", []).append(-1 if r.doc_id is None else r.doc_id)
+    got = [(r.text or "", -1 if r.doc_id is None else r.doc_id) for r in kept.collect()]
+    assert sorted(got) == sorted((t, max(ids)) for t, ids in best.items())
+
+
+def test_both_key_tests_agree(spark, tmp_path):
+    spark.range(20_000).selectExpr("id * 3 as key").write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys"))
+    rows = common.with_may_hold(spark.range(60_000), keys, "key", F.col("id"), "native")
+    got = rows.withColumn("python", common.may_hold(keys, "key")(F.col("id"))).collect()
+    assert all(r.native == r.python for r in got) and all(r.native for r in got if r.id % 3 == 0)
+    assert sum(r.native for r in got) < 30_000
+
+
 def test_exact_edges(edge, nothing):
     rows = exact_dedup.exact_duplicates(edge).collect()
     assert len(rows) == len(EDGE)

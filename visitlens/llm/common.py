@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..operators.materialize import materialize
 
-__all__ = ["document_batches", "give_back", "id_table", "may_hold", "materialize", "shuffle_partitions", "text_or_empty", "tidy", "utf8_blocks"]
+__all__ = ["document_batches", "give_back", "id_table", "may_hold", "materialize", "shuffle_partitions", "text_or_empty", "tidy", "utf8_blocks",
+           "with_may_hold"]
 
 BATCH_ROWS, DOCUMENT_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 #: Size of a key bitmap at least (4 kB) and at most (16 MB), bits for each key, and the pieces that Spark's bitmap aggregate builds.
@@ -62,6 +63,29 @@ def id_table(df: DataFrame, id_col: str, text_col: str, label: str = "text") ->
     return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias(label))
 
 
+def _key_bits(keys: DataFrame, key: str) -> tuple[int, DataFrame]:
+    """The size of the bitmap of ``keys`` and its pieces ``(piece, bits)``: ``MOST_BITS / PIECE_BITS`` rows at most."""
+    bits = LEAST_BITS
+    wanted = keys.count() * KEY_BITS
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    return bits, (keys.select(place.alias("place")).groupBy(F.floor(F.col("place") / PIECE_BITS).alias("piece"))
+                  .agg(F.bitmap_construct_agg(F.col("place") % PIECE_BITS).alias("bits")))
+
+
+def with_may_hold(rows: DataFrame, keys: DataFrame, key: str, column: Column, name: str) -> DataFrame:
+    """``rows`` with the test of :func:`may_hold` as the boolean ``name``, in DataFrame operations only: the bitmap's pieces are broadcast."""
+    bits, pieces = _key_bits(keys, key)
+    place = F.pmod(F.xxhash64(column), F.lit(bits))
+    met = rows.withColumn("__place", place).join(
+        F.broadcast(pieces.withColumnsRenamed({"piece": "__piece", "bits": "__bits"})), F.expr(f"__place div {PIECE_BITS} = __piece"), "left")
+    byte = F.conv(F.hex(F.expr(f"substring(__bits, cast((__place % {PIECE_BITS}) div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    bit = F.expr("cast(__place % 8 as int)")
+    return (met.withColumn(name, F.coalesce(F.call_function("shiftright", byte, bit).bitwiseAND(F.lit(1)) == 1, F.lit(False)))
+            .drop("__place", "__piece", "__bits"))
+
+
 def may_hold(keys: DataFrame, key: str) -> Callable[[Column], Column]:
     """A test whether a long key may be in ``keys``: never false for a key that is, seldom true for
     one that is not.
@@ -71,13 +95,8 @@ def may_hold(keys: DataFrame, key: str) -> Callable[[Column], Column]:
     row in ten that no key touches passes at most, up to 13 million keys. Its size, and that of what reaches the driver
     and the executors, is bounded by ``MOST_BITS``; with more keys more rows pass to the exact join.
     """
-    bits = LEAST_BITS
-    wanted = keys.count() * KEY_BITS
-    while bits < min(wanted, MOST_BITS):
-        bits *= 2
-    place = F.pmod(F.xxhash64(key), F.lit(bits))
-    pieces = (keys.select(place.alias("place")).groupBy(F.floor(F.col("place") / PIECE_BITS).alias("piece"))
-              .agg(F.bitmap_construct_agg(F.col("place") % PIECE_BITS).alias("bits")).toArrow())
+    bits, found = _key_bits(keys, key)
+    pieces = found.toArrow()
     bitmap = np.zeros(bits // 8, np.uint8)
     size = PIECE_BITS // 8
     for piece, raw in zip(pieces.column(0).to_pylist(), pieces.column(1), strict=True):  # MOST_BITS / PIECE_BITS rows at most

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, may_hold, text_or_empty
+from .common import materialize, text_or_empty, with_may_hold
 
 TOP_K = 256
 TRACKED = 8192
@@ -87,10 +87,10 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
     lost = materialize(marked.groupBy("digest", "doc_id").agg(F.sum((~F.col("kept")).cast("long")).alias("losers"), F.max("kept").alias("one_stays"))
                        .where("losers > 0").select(F.xxhash64("digest", "doc_id").alias("key"), F.col("digest").alias("d"), F.col("doc_id").alias("i"), "one_stays"),
                        "exact-losers")
-    suspect = may_hold(lost, "key")(F.xxhash64("digest", "doc_id"))
+    keyed = with_may_hold(keyed, lost, "key", F.xxhash64("digest", "doc_id"), "suspect")
     same = (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i"))
-    met = keyed.where(suspect).join(lost.drop("key").hint("merge"), same, "left")
+    met = keyed.where("suspect").join(lost.drop("key").hint("merge"), same, "left")
     first = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy("digest"))
     repeated = met.where("one_stays").withColumn("place", first).where("place = 1")  # rows equal in id and text
-    return (keyed.where(~suspect).select("row.*")
+    return (keyed.where("not suspect").select("row.*")
             .union(met.where("d is null").select("row.*")).union(repeated.select("row.*")))
