@@ -185,6 +185,29 @@ def test_words_are_encoded_as_the_tokenizer_does(word_bpe):
             assert np.frombuffer(raw, "<u4").tolist() == cache.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_a_part_is_merged_once_whatever_stands_around_it(word_bpe):
+    cache = packing.WordCache(word_bpe)
+    texts = ["dog dog, (Dog) dog's DOG.", "", "dog12 ''dog'll", " \t "]
+    assert [np.frombuffer(raw, "<u4").tolist() for raw in cache.encode(texts)] == [cache.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert set(cache.words) == {"dog", ",", "(", ")", "'s", ".", "1", "2", "''", "'ll"}
+    assert cache.encode([]) == [] and cache.encode(["", " \n"]) == [b"", b""]
+
+
+def test_blocks_are_cut_as_the_tokenizer_cuts(word_bpe, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_CHARS", 100)
+    rng = random.Random(7)
+    pieces = ["'", "'s", "'re", "'ve", "'ll", "'d", "l", "r", "e", "s", "T", "é", "Ñ", "Ⱥ", "ŉ", "ß", "½", "7", "--", "$", "\xad", "’", "漢", "e\u0301", " ", " ", "\n", "\x85", "\x1d", "\u2009"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    tokenizer = packing.word_cache(word_bpe).tokenizer
+    got, at = [], 0
+    for lo, hi, ids in packing._encoded(texts, word_bpe):
+        assert lo == at and len(ids) == hi - lo
+        got, at = got + ids, hi
+    want = tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert all(np.frombuffer(raw, "<u4").tolist() == [*w.ids, 0] for raw, w in zip(got, want, strict=True))
+    packing.word_cache.cache_clear()
+
+
 def test_special_tokens_keep_the_tokenizers_ids(spark, word_bpe):
     from tokenizers import Tokenizer
     untouched = Tokenizer.from_file(word_bpe)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Callable
@@ -21,7 +22,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,18 +32,21 @@ from .common import id_table, materialize, tidy
 CAPACITY = 2048
 #: Words and parts of words that a task remembers (in each of two generations), and the longest remembered.
 CACHE_WORDS, CACHE_PARTS, CACHE_CHARS = 300_000, 200_000, 48
-# The tokenizer's own pattern.
-PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Words that Unicode normalisation leaves alone and that Python lower-cases as the tokenizer does.
-LATIN = re.compile("[!-~\xa1-\u012f\u0131-\u024f]+")
+#: Characters that Unicode normalisation leaves alone and that Python lower-cases, one to one, as the tokenizer does.
+PLAIN = "".join(c for c in map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x130), *range(0x131, 0x250)]) if len(c.lower()) == 1 and c.lower() < "\u0250")
+PLAIN_PART = re.compile(f"[{re.escape(PLAIN)}]+")
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Byte-level alphabet of the tokenizer's model: visible Latin-1 characters are themselves, the other bytes follow from 256 on.
 BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 #: White space of the tokenizer's patterns (Unicode White_Space).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORDS = re.compile(f"[^{SPACES}]+")
-#: Characters that str.split takes for white space and the tokenizer does not.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+#: What a character is to the tokenizer's pattern ``'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+``; words with another one are left to it.
+SPACE, LETTER, NUMBER, SIGN, OTHER = range(5)
+KINDS, LOWER = np.full(0x110000, OTHER, np.uint8), np.arange(0x110000, dtype="<u4")
+for _c in PLAIN:
+    KINDS[ord(_c)] = {"L": LETTER, "N": NUMBER}.get(unicodedata.category(_c)[0], SIGN)
+    LOWER[ord(_c)] = ord(_c.lower())
+KINDS[[c for c in range(0x3001) if re.fullmatch(f"[{SPACES}]", chr(c))]] = SPACE
 
 
 class TwoGenerations(dict):
@@ -66,11 +69,49 @@ class TwoGenerations(dict):
         return found
 
 
+def _cut(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The lower-cased parts that the tokenizer's pattern finds in the texts, a word with an ``OTHER`` character being one part as
+    it is; and for each text (and the end) the number of parts before it."""
+    bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    chars = np.frombuffer(("\n".join(texts) + "\n   ").encode("utf-32-le"), "<u4")
+    kinds, lower = KINDS[chars], LOWER[chars]
+    before = np.concatenate([[np.uint8(SPACE)], kinds[:-1]])
+    starts = (kinds != before) | (kinds == NUMBER)
+    # 's and the like, where a run of signs begins with the apostrophe
+    at = np.flatnonzero((chars == ord("'")) & starts)
+    one, two = lower[at + 1], lower[at + 2]
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    for ends, width in ((short, 2), (long, 3)):
+        starts[at[ends] + 1] = False
+        starts[at[ends] + width] |= kinds[at[ends] + width] == LETTER
+    kept = kinds != SPACE
+    other = np.flatnonzero(kinds == OTHER)
+    if len(other):
+        opens = kept & (before == SPACE)
+        word = np.cumsum(opens)
+        whole = np.zeros(int(word[-1]) + 1, bool)
+        whole[word[other]] = True
+        whole = whole[word]
+        starts = np.where(whole, opens, starts)
+        lower = np.where(whole, chars, lower)
+    starts &= kept
+    held = lower[kept]
+    data = held.tobytes().decode("utf-32-le").encode()
+    first = np.flatnonzero(starts[kept])
+    if len(data) > len(held):
+        widths = 1 + (held >= 0x80).astype(np.int64) + (held >= 0x800) + (held >= 0x10000)
+        first = (np.cumsum(widths) - widths)[first]
+    offsets = np.append(first, len(data)).astype(np.int64)
+    parts = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data))
+    return parts, np.searchsorted(np.flatnonzero(starts), bounds)
+
+
 class WordCache:
-    """Token ids of white-space words as little-endian 32-bit bytes.
+    """Token ids of texts as little-endian 32-bit bytes.
 
-    The tokenizer never merges over white space, so a text's ids are its words' ids in a row. Words of Latin letters are split as
-    its pattern does and their parts merged by its model, so a part is merged once whatever stands around it. Other words,
+    The tokenizer never merges over white space, so a text's ids are its words' ids in a row. Words of plain Latin letters are split as
+    its pattern does, a block of texts at a time, and each distinct part is merged by its model once, whatever stands around it. Other words,
     and whole texts that hold the beginning of a special token's string, go through the tokenizer itself.
     """
 
@@ -83,30 +124,30 @@ class WordCache:
         specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: What all special tokens' strings begin with; no text without it holds one.
         self.opening = os.path.commonprefix(specials)
-        self.words, self.parts = TwoGenerations(self._word, words), TwoGenerations(self._part, parts)
+        self.special = bool(specials)
+        self.words = TwoGenerations(self._word, words + parts)
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
-    def _part(self, part: str) -> bytes:
-        if not part.isascii():
-            part = part.encode().decode("latin-1").translate(BYTE_LEVEL)
-        return array("I", [token.id for token in self.model.tokenize(part)]).tobytes()
-
     def _word(self, word: str) -> bytes:
-        if not LATIN.fullmatch(word):
+        if not PLAIN_PART.fullmatch(word):
             return self._ids(word)
-        word = word.lower()
-        return self.parts[word] if word.isalpha() else b"".join(map(self.parts.__getitem__, PARTS.findall(word)))
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_LEVEL)
+        return array("I", [token.id for token in self.model.tokenize(word)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [self.encode_text(text) for text in texts]
-
-    def encode_text(self, text: str) -> bytes:
-        if self.opening in text if self.opening else self.tokenizer.get_added_tokens_decoder():
-            return self._ids(text)
-        words = WORDS.findall(text) if SEPARATORS.search(text) else text.split()
-        return b"".join(map(self.words.__getitem__, words))
+        whole = {i: self._ids(text) for i, text in enumerate(texts) if self.special and self.opening in text}
+        parts, bounds = _cut(["" if i in whole else text for i, text in enumerate(texts)] if whole else texts)
+        coded = parts.dictionary_encode()
+        ids = pa.array(map(self.words.__getitem__, coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        data = ids.buffers()[2]
+        if data is None:
+            return [whole.get(i, b"") for i in range(len(texts))]
+        data = memoryview(data)
+        cuts = np.frombuffer(ids.buffers()[1], np.int64)[bounds].tolist()
+        return [whole[i] if i in whole else bytes(data[a:b]) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
 
 
 @lru_cache(maxsize=1)
@@ -116,7 +157,7 @@ def word_cache(path: str) -> WordCache:
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, place long"
 #: Characters of text tokenised at a time.
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 21
 
 
 def tokenised(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -133,13 +174,11 @@ def tokenised(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_c
 def _encoded(texts: list[str], path: str):
     cache, end = word_cache(path), np.zeros(1, "<u4").tobytes()
     lo = size = 0
-    encoded = []
     for i, text in enumerate(texts):
-        encoded.append(cache.encode_text(text) + end)
         size += len(text)
         if size >= BLOCK_CHARS or i == len(texts) - 1:
-            yield lo, i + 1, encoded
-            lo, size, encoded = i + 1, 0, []
+            yield lo, i + 1, [ids + end for ids in cache.encode(texts[lo:i + 1])]
+            lo, size = i + 1, 0
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
