@@ -152,3 +152,39 @@ def test_links_of_near_copies_and_copies(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
     got = {r.doc_id: (r.component_id, r.n_links) for r in jj.jaccard_join(docs).collect()}
     assert got == {**{i: (0, 32) for i in range(33)}, **{i: (i, 0) for i in (33, 34, 35)}}
+
+
+@pytest.mark.parametrize("leaf", [1024, 12])
+def test_small_regions_write_no_sets(spark, monkeypatch, leaf):
+    """The sets of regions that one task joins are never written, only their texts are shuffled; larger regions' sets are made from the
+    texts too. Among the rows are repeated ones, ids that repeat with other texts, null ids, and copies written differently."""
+    rng, written = random.Random(11), []
+
+    def note(df, label):
+        written.append((label, df.columns))
+        return materialize(df, label)
+
+    materialize = jj.materialize
+    monkeypatch.setattr(jj, "materialize", note)
+    monkeypatch.setattr(jj, "LEAF_NODES", leaf)
+    texts = []
+    for c in range(3):
+        words = [f"c{c}w{i}" for i in range(70)]
+        for _ in range(25):
+            at = rng.randrange(70)
+            texts.append(" ".join([*words[:at], f"x{rng.randrange(1000)}", *words[at + 1:]]))
+        texts += [" ".join(words), " ".join(words).upper(), "\t".join(words)]
+    texts += ["alone in the table with words of its own", "", "few words"]
+    ids = [*range(len(texts))]
+    rows = [*zip(ids, texts, strict=True), (5, texts[5]), (5, texts[5]), (7, texts[40]), (None, texts[3]), (None, texts[30]), (None, texts[30]), (None, texts[-1])]
+    got = jj.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    sets = {i: slow_set(t) for i, (_, t) in enumerate(rows)}
+    by_class, n_links = slow_classes(sets), slow_links(sets)
+    smallest: dict[int, int] = {}
+    for i, c in by_class.items():
+        if rows[i][0] is not None:
+            smallest[c] = min(rows[i][0], smallest.get(c, rows[i][0]))
+    wanted = [(rows[i][0], len(sets[i]), smallest[c], n_links[i]) for i, c in by_class.items()]
+    assert Counter(tuple(r) for r in got) == Counter(wanted)
+    held = [label for label, columns in written if "shingles" in columns]
+    assert bool(held) == (leaf == 12), written

@@ -17,8 +17,9 @@ The Jaccard distance ``d = 1 - |A & B| / |A | B|`` is a metric, and two document
 5. A region that its pivots do not divide (all its nodes are about equally far from each other) is joined in blocks: its nodes
    are dealt to bounded groups, and a task joins two of them. That is exact too.
 
-Sets travel only for nodes of regions with two or more members. Nothing but a count for each large region's
-level and the fixed-size shingle counts reaches the driver.
+Texts travel only for nodes of regions with two or more members. A text takes about half the disk of its set's digests, so a small
+region's sets are made from the texts in the task that joins them; only those of large regions are written. Nothing but a count for each
+large region's level and the fixed-size shingle counts reaches the driver.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 from pyspark.sql.window import Window
 
 from .common import id_table, materialize, may_hold, shuffle_partitions, tidy
@@ -120,8 +122,12 @@ def shingle_ranks(docs: DataFrame, width: int) -> np.ndarray:
     return ranks
 
 
+def text_sha() -> Column:
+    return F.unhex(F.sha2("text", 256))
+
+
 def shingle_heads(docs: DataFrame, ranks: np.ndarray, width: int, percent: int) -> DataFrame:
-    """``(doc_id, n, digest, head, last_rank, last)``: a row's set size, the 128-bit digest of its set (null for the empty set), its
+    """``(doc_id, text_sha, n, digest, head, last_rank, last)``: a row's set size, the 128-bit digest of its set (null for the empty set), its
     seldomest shingles and the place of the last of them in the order of all shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # COUNTERS bytes
 
@@ -140,11 +146,12 @@ def shingle_heads(docs: DataFrame, ranks: np.ndarray, width: int, percent: int)
                 heads.append(shingles[order[:end]] if n else shingles)
                 last.append((ranks[order[end - 1]], shingles[order[end - 1]]) if n else (None, None))
             last_rank, last_shingle = zip(*last, strict=True) if last else ((), ())
-            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(heads, pa.list_(pa.int64())),
-                                   pa.array(last_rank, pa.int32()), pa.array(last_shingle, pa.int64())],
-                                  names=["doc_id", "n", "digest", "head", "last_rank", "last"])
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                                   pa.array(heads, pa.list_(pa.int64())), pa.array(last_rank, pa.int32()), pa.array(last_shingle, pa.int64())],
+                                  names=["doc_id", "text_sha", "n", "digest", "head", "last_rank", "last"])
 
-    return docs.mapInArrow(tidy(compute), "doc_id long, n long, digest binary, head array<long>, last_rank int, last long")
+    return docs.select("doc_id", "text", text_sha().alias("text_sha")).mapInArrow(
+        tidy(compute), "doc_id long, text_sha binary, n long, digest binary, head array<long>, last_rank int, last long")
 
 
 def near_nodes(heads: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -185,20 +192,30 @@ def near_nodes(heads: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return kept.select("src", "dst").union(crowd.where("node != hub").select("node", "hub")).distinct()
 
 
-def node_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """``nodes (digest, rep_id, …)`` with their ``shingles``; texts that are no node's never leave their task."""
-    wanted = may_hold(nodes.select(F.xxhash64("digest", "rep_id").alias("key")), "key")
+def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``nodes (text_sha, rep_id, …)`` with their ``text``; texts that are no node's never leave their task."""
+    wanted = may_hold(nodes.select(F.xxhash64("text_sha", "rep_id").alias("key")), "key")
+    held = docs.withColumn("text_sha", text_sha()).where(wanted(F.xxhash64("text_sha", "doc_id")))
+    return held.select("text_sha", "text").dropDuplicates(["text_sha"]).join(nodes.drop("rep_id"), "text_sha").drop("text_sha")
+
+
+def _with_sets(rows: pa.Table, words: WordHashes, width: int) -> pa.Table:
+    """``rows`` with ``shingles`` in place of the last column ``text``."""
+    sets = pa.array([shingle_set(t.as_py(), words, width) for t in rows.column("text")], pa.list_(pa.int64()))
+    return rows.set_column(rows.num_columns - 1, "shingles", sets)
+
+
+def node_sets(texts: DataFrame, width: int) -> DataFrame:
+    """``texts (…, text)`` with ``shingles`` in place of ``text``."""
+    others = [c for c in texts.columns if c != "text"]
 
     def compute(batches):
         words = WordHashes()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), words, width) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                                   pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "digest", "shingles"])
+            yield from _with_sets(pa.Table.from_batches([batch]), words, width).to_batches()
 
-    sets = docs.mapInArrow(tidy(compute), "doc_id long, digest binary, shingles array<long>")
-    held = sets.where(wanted(F.xxhash64("digest", "doc_id")) & F.col("digest").isNotNull()).drop("doc_id")
-    return held.dropDuplicates(["digest"]).join(nodes, "digest")
+    schema = texts.select(*others).schema.add("shingles", ArrayType(LongType()))
+    return texts.select(*others, "text").mapInArrow(tidy(compute), schema)
 
 
 def _find(parent: list[int], i: int) -> int:
@@ -256,11 +273,14 @@ def region_links(nodes: np.ndarray, known: np.ndarray, home: np.ndarray, copies:
     return links, np.where(home, counts, 0)
 
 
-def join_regions(regions: DataFrame, percent: int) -> DataFrame:
+def join_regions(regions: DataFrame, percent: int, width: int = SHINGLE_WORDS) -> DataFrame:
     """Bounded regions ``(region, node, known, home, copies, side, shingles)``, each joined within one task: rows ``(src, dst, null)`` are
-    links, ``(src, null, n_links)`` a node's number of links."""
+    links, ``(src, null, n_links)`` a node's number of links. With ``text`` instead of ``shingles`` the task makes the sets."""
+    last_column = "text" if "text" in regions.columns else "shingles"
 
     def compute(batches):
+        words = WordHashes()
+
         def joined(rows: pa.Table):
             ids, place = np.unique(rows.column("region").to_numpy(zero_copy_only=False), return_inverse=True)
             order = np.argsort(place, kind="stable")
@@ -282,6 +302,7 @@ def join_regions(regions: DataFrame, percent: int) -> DataFrame:
         kept = None  # the last region of a batch may go on in the next
         for batch in batches:
             rows = pa.Table.from_batches([batch])
+            rows = _with_sets(rows, words, width) if last_column == "text" else rows
             rows = rows if kept is None else pa.concat_tables([kept, rows])
             last = rows.column("region").to_numpy(zero_copy_only=False)
             cut = int(np.flatnonzero(last != last[-1])[-1]) + 1 if len(last) and (last != last[-1]).any() else 0
@@ -292,15 +313,14 @@ def join_regions(regions: DataFrame, percent: int) -> DataFrame:
             yield joined(kept)
 
     spark = regions.sparkSession
-    return (regions.select("region", "node", "known", "home", "copies", "side", "shingles")
+    return (regions.select("region", "node", "known", "home", "copies", "side", last_column)
             .repartition(shuffle_partitions(spark), "region").sortWithinPartitions("region")
             .mapInArrow(tidy(compute), "src long, dst long, n_links long"))
 
 
-def _sized(regions: DataFrame, narrow: DataFrame | None = None) -> DataFrame:
-    """``regions (region, node, n, home, …)`` with ``size``, ``n_home`` and ``small``; regions that are no node's home are finished.
-    ``narrow`` has the same rows without their sets, where those would be computed once more."""
-    sizes = ((regions if narrow is None else narrow).groupBy("region")
+def _sized(regions: DataFrame) -> DataFrame:
+    """``regions (region, node, n, home, …)`` with ``size``, ``n_home`` and ``small``; regions that are no node's home are finished."""
+    sizes = (regions.groupBy("region")
              .agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("home").cast("long")).alias("n_home"), F.sum("n").alias("weight"))
              .where((F.col("n_home") > 0) & (F.col("size") > 1))
              .withColumn("small", (F.col("size") <= LEAF_NODES) & ((F.col("weight") <= LEAF_SHINGLES) | (F.col("size") == 2))))
@@ -329,11 +349,25 @@ def to_pivots(large: DataFrame, level: int, percent: int) -> DataFrame:
             .withColumn("ball", F.expr("get(pivots, cast(array_position(near, true) as int) - 1)")).drop("both", "near", "salt"))
 
 
-def region_rows(regions: DataFrame, percent: int, narrow: DataFrame | None = None) -> DataFrame:
+def region_rows(regions: DataFrame, percent: int) -> DataFrame:
     """The rows of :func:`join_regions` for ``regions (region string, node, n, known, home, copies, shingles)`` of any size: links whose
     closure is that of all pairs at the given likeness, and parts of the nodes' numbers of links."""
+    return _sized_rows(materialize(_sized(regions), "jaccard-regions"), percent)
+
+
+def text_region_rows(docs: DataFrame, regions: DataFrame, width: int, percent: int) -> DataFrame:
+    """:func:`region_rows` for ``regions (region string, node, n, known, home, copies, text_sha, rep_id)`` without their sets."""
+    sized = materialize(_sized(regions), "jaccard-sized")
+    found = materialize(join_regions(node_texts(docs, sized.where("small")).withColumn("side", F.lit(0)), percent, width), "jaccard-links")
+    large = sized.where(~F.col("small"))
+    if large.isEmpty():
+        return found
+    return found.unionByName(_sized_rows(materialize(node_sets(node_texts(docs, large), width), "jaccard-regions"), percent))
+
+
+def _sized_rows(todo: DataFrame, percent: int) -> DataFrame:
     radius = 1 - percent / 100
-    found, todo = [], materialize(_sized(regions, narrow), "jaccard-regions")
+    found = []
     columns = ["region", "node", "n", "known", "home", "copies", "shingles"]
 
     def leaves(df: DataFrame) -> None:
@@ -393,13 +427,12 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = id_table(df, id_col, text_col)
     heads = materialize(shingle_heads(docs, shingle_ranks(docs, width), width, percent).withColumn("row", F.monotonically_increasing_id()), "jaccard-heads")
     nodes = materialize(heads.where("n > 0").groupBy("digest", "n")
-                        .agg(F.min("row").alias("node"), F.min_by("doc_id", "row").alias("rep_id"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
-                             F.first("last_rank").alias("last_rank"), F.first("last").alias("last")), "jaccard-nodes")
+                        .agg(F.min("row").alias("node"), F.min_by("doc_id", "row").alias("rep_id"), F.min_by("text_sha", "row").alias("text_sha"),
+                             F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("last_rank").alias("last_rank"), F.first("last").alias("last")), "jaccard-nodes")
     regions = (connected_components(materialize(near_nodes(heads, nodes, percent), "jaccard-near"))
                .select("node", F.col("component").cast("string").alias("region")))
-    placed = materialize(nodes.join(regions, "node").select("digest", "rep_id", "node", "n", "region", "copies"), "jaccard-placed")
-    sets = node_sets(docs, placed, width).select("region", "node", "n", F.col("node").alias("known"), F.lit(True).alias("home"), "copies", "shingles")
-    found = materialize(region_rows(sets, percent, placed.withColumn("home", F.lit(True))), "jaccard-found")
+    placed = nodes.join(regions, "node").select("region", "node", "n", F.col("node").alias("known"), F.lit(True).alias("home"), "copies", "text_sha", "rep_id")
+    found = materialize(text_region_rows(docs, materialize(placed, "jaccard-placed"), width, percent), "jaccard-found")
     linked = connected_components(found.where("dst is not null").select("src", "dst")).join(nodes, "node")
     smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
     met = found.where("n_links is not null").groupBy(F.col("src").alias("node")).agg(F.sum("n_links").alias("met"))
