@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,53 @@ def test_small_regions_write_no_sets(spark, monkeypatch, leaf):
     assert Counter(tuple(r) for r in got) == Counter(wanted)
     held = [label for label, columns in written if "shingles" in columns]
     assert bool(held) == (leaf == 12), written
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_heads_of_linked_sets_share_enough(percent):
+    """In any order of the shingles, the heads of two linked sets share what either must share, also where the sets' sizes differ the most."""
+    for small in range(1, 130):
+        for large in range(small, 100 * small // percent + 1):
+            both = -(-percent * (small + large) // (100 + percent))  # of two sets that just link
+            assert both <= small
+            behind = [n - (n - jj.least_shared(n, percent) + jj.head_shared(n, percent)) for n in (small, large)]
+            assert 0 <= behind[0] <= behind[1]
+            # whichever head ends first, all that the sets share beyond it is behind it
+            assert both - behind[1] >= jj.head_shared(large, percent) and both - behind[0] >= jj.head_shared(large, percent)
+
+
+def test_shared_passage_makes_no_region(spark):
+    """Heads in no useful order, as in a corpus that is large for the counts: a passage in many unrelated texts, among them some with near copies,
+    makes them no region. Every near copy is found."""
+    rng, texts, group = random.Random(3), {}, {}
+    passage = [f"p{i}" for i in range(24)]
+    for c in range(40):
+        words = [f"c{c}w{i}" for i in range(rng.randrange(150, 260))]
+        at = rng.randrange(len(words))
+        words[at:at] = passage
+        copies = [words]
+        if c < 12:
+            spot = rng.randrange(len(words))
+            copies += [[*words[:spot], "changed", *words[spot + 1:]], words[:len(words) * 85 // 100], ["other", "opening", *words], [*words, "and", "end"]]
+        for words in copies:
+            group[len(texts)] = c
+            texts[len(texts)] = " ".join(words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    heads = jj.shingle_heads(docs, np.zeros(jj.COUNTERS, np.uint8), 5, 80).withColumn("row", F.col("doc_id"))
+    heads = jj.materialize(heads, "test-heads")
+    nodes = jj.materialize(heads.select(F.col("row").alias("node"), "n", "last_rank", "last"), "test-nodes")
+    pairs = [tuple(r) for r in jj.near_nodes(heads, nodes, 80).collect()]
+    assert all(group[a] == group[b] for a, b in pairs)
+    parent = {k: k for k in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    linked = slow_classes({k: slow_set(t) for k, t in texts.items()})
+    assert all(find(k) == find(c) for k, c in linked.items())
+    assert len(set(linked.values())) == 40  # all copies are linked

@@ -4,9 +4,10 @@ The Jaccard distance ``d = 1 - |A & B| / |A | B|`` is a metric, and two document
 
 1. Equal shingle sets become one node. A fixed-size count of all shingles orders them from seldom to common; only
    the order depends on it, never a result.
-2. First regions: the *head* of a set are its ``|A| - ceil(0.8 |A|) + 1`` seldomest shingles. Two sets of which one's head ends
-   before the other's have no more in common than their heads have, plus what lies behind the first head. So nodes whose heads
-   share too little are more than ``r`` apart (:func:`near_nodes`). The components of what is left are regions that no link leaves.
+2. First regions: the *head* of a set are its ``|A| - ceil(0.8 |A|) + k`` seldomest shingles, ``k`` about a fifteenth of them all. Two sets
+   of which one's head ends before the other's have no more in common than their heads have, plus what lies behind the first head. So the heads
+   of linked sets share ``k`` shingles at least, and nodes whose heads share too little are more than ``r`` apart (:func:`near_nodes`). A
+   few shingles that unrelated texts share seldom join them. The components of what is left are regions that no link leaves.
 3. A region of bounded size is joined exactly in one task. A larger one draws ``PIVOTS`` pivots among its nodes, leaves out those
    within ``r`` of an earlier one and measures each node's distance to the others. A node in a pivot's ball (``d <= r``) is linked to the pivot.
    Each node's home is the Voronoi cell of its nearest pivot. It is copied to every other cell whose pivot is at most
@@ -47,6 +48,9 @@ LEVELS, COPIES = 6, 2.0
 PART_OF_PAIRS = 0.75
 #: Counters of the shingle counts (4 MB a task) and counters a row.
 COUNTERS, ROW_COUNTERS = 1 << 20, 1 << 14
+#: Linked sets have one of so many shared shingles in both heads. Rounds that drop nodes whose heads share fewer; a round is the last if it leaves more
+#: than this part of the rows.
+HEAD_PART, PRUNINGS, PRUNED = 12, 4, 0.9
 #: Nodes that share a shingle of their heads and are looked at in pairs; more of them are held together by one.
 FEW = 3
 #: Nodes of a region that meet one copy of its pivots in a task.
@@ -91,6 +95,14 @@ def least_shared(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def head_shared(n: int, percent: int) -> int:
+    """Shingles that the head of a set of ``n`` has in common with the head of any set it links with, at least.
+
+    With ``t`` of :func:`least_shared`, a head leaves ``t - head_shared`` shingles behind it. That never falls with ``n``, as ``head_shared`` grows
+    with ``t`` only and more slowly. Two linked sets share ``t`` of the larger one at least, so their heads share what either set must share."""
+    return 1 + least_shared(n, percent) // HEAD_PART
+
+
 def _counter(shingles: np.ndarray) -> np.ndarray:
     return (shingles.view(np.uint64) >> np.uint64(44)).astype(np.int64)
 
@@ -140,7 +152,7 @@ def shingle_heads(docs: DataFrame, ranks: np.ndarray, width: int, percent: int)
                 n = len(shingles)
                 ranks = level[_counter(shingles)]
                 order = np.argsort(ranks, kind="stable")  # ties stay in the order of the digests
-                end = n - least_shared(n, percent) + 1
+                end = n - least_shared(n, percent) + head_shared(n, percent)
                 sizes.append(n)
                 digests.append(xxhash.xxh3_128_digest(shingles.tobytes()) if n else None)
                 heads.append(shingles[order[:end]] if n else shingles)
@@ -154,26 +166,47 @@ def shingle_heads(docs: DataFrame, ranks: np.ndarray, width: int, percent: int)
         tidy(compute), "doc_id long, text_sha binary, n long, digest binary, head array<long>, last_rank int, last long")
 
 
+def shared_heads(seldom: DataFrame) -> DataFrame:
+    """The rows of ``seldom (node, class, least, shingle)`` whose shingle other nodes have too, of nodes with ``least`` of them: no other node
+    links. What they alone shared goes with them, so that is repeated until little more goes; both nodes of a link and all they share stay."""
+    rows, left, known = seldom, None, False
+    for _ in range(PRUNINGS):
+        common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        if not known:  # most shingles are in one head only: these stay where they are
+            common = materialize(common, "jaccard-common")
+            rows = rows.where(may_hold(common, "shingle")(F.col("shingle")))
+        held = F.count(F.lit(1)).over(Window.partitionBy("node"))
+        rows = materialize(rows.join(common, "shingle").withColumn("held", held).where("held >= least").drop("held"), "jaccard-shared")
+        before, left, known = left, rows.count(), True
+        if before is not None and left > PRUNED * before:
+            break
+    return rows
+
+
 def near_nodes(heads: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(src, dst)`` whose components hold every link between the ``nodes``.
 
     Linked sets differ in size by the factor ``100 / percent`` at most, so a head's shingle is shared only within two neighbouring size
-    classes. ``FEW`` nodes that share one are counted in pairs; a pair stays if the shingles it shares, and those that
-    more than ``FEW`` share, could be enough. Where more share a shingle, each stays with the first of them.
+    classes. Nodes that share too little with all others go (:func:`shared_heads`). ``FEW`` nodes that share a shingle are counted in pairs;
+    a pair stays if the shingles it shares, and those that more than ``FEW`` share, could be enough. Where more share a shingle, each stays with
+    the first of them, but not for the commonest: as linked nodes share ``least`` shingles, they share one that is not among the ``least - 1``
+    commonest of either.
     """
     size_class = F.floor(F.ln("n") / F.lit(np.log(100 / percent) + 1e-9)).cast("int")
+    shared_least = f"({percent} * {{n}} + 99) div 100"
+    least = F.expr(f"cast(1 + {shared_least.format(n='n')} div {HEAD_PART} as int)")  # head_shared
     # a row that only seems to be a node repeats a node's head: it adds no pair of nodes, and the node comes first
     seldom = (heads.where("n > 0").where(may_hold(nodes, "node")(F.col("row")))
-              .select(F.col("row").alias("node"), size_class.alias("class"), F.explode("head").alias("shingle")))
-    common = materialize(seldom.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "jaccard-common")
-    shared = materialize(seldom.where(may_hold(common, "shingle")(F.col("shingle"))).join(common, "shingle"), "jaccard-shared")
-    shared = shared.withColumn("cell", F.explode(F.array("class", F.col("class") + 1)))
+              .select(F.col("row").alias("node"), size_class.alias("class"), least.alias("least"), F.explode("head").alias("shingle")))
+    shared = shared_heads(seldom).withColumn("cell", F.explode(F.array("class", F.col("class") + 1)))
     member = F.struct("node", "class")
     cells = materialize(shared.groupBy("shingle", "cell").agg(
         F.count(F.lit(1)).alias("c"), F.min(member).alias("a"), F.max(member).alias("z"), F.sum("node").alias("nodes"), F.sum("class").alias("classes"))
         .where("c > 1"), "jaccard-cells")
-    large = cells.where(F.col("c") > FEW).select("shingle", "cell", F.col("a.node").alias("hub"))
-    crowd = materialize(shared.where(may_hold(large, "shingle")(F.col("shingle"))).join(large, ["shingle", "cell"]).select("node", "hub", "shingle"), "jaccard-crowds")
+    large = cells.where(F.col("c") > FEW).select("shingle", "cell", "c", F.col("a.node").alias("hub"))
+    place = F.row_number().over(Window.partitionBy("node", "cell").orderBy(F.desc("c"), F.desc("shingle")))
+    crowd = materialize(shared.where(may_hold(large, "shingle")(F.col("shingle"))).join(large, ["shingle", "cell"])
+                        .select("node", "hub", "shingle", (place >= F.col("least")).alias("joins")), "jaccard-crowds")
     # of three nodes the sums give the one in the middle
     middle = F.expr("named_struct('node', nodes - a.node - z.node, 'class', cast(classes - a.class - z.class as int))")
     few = cells.where(F.col("c") <= FEW).select("cell", "a", "z", F.when(F.col("c") == 3, middle).alias("m"))
@@ -185,11 +218,12 @@ def near_nodes(heads: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     known = (nodes.join(crowded, "node", "left")
              .select("node", F.struct("n", F.struct("last_rank", "last").alias("end"), F.coalesce("crowded", F.lit(0)).alias("crowded")).alias("x")))
     met = (pairs.join(known.withColumnsRenamed({"node": "src", "x": "a"}), "src").join(known.withColumnsRenamed({"node": "dst", "x": "b"}), "dst"))
-    behind = F.expr(f"({percent} * if(a.end <= b.end, a.n, b.n) + 99) div 100 - 1")  # shingles of a set behind its head
+    met = met.withColumn("first", F.expr(shared_least.format(n="if(a.end <= b.end, a.n, b.n)")))
+    behind = F.expr(f"first - 1 - first div {HEAD_PART}")  # shingles of a set behind its head
     wanted = F.expr(f"({percent} * (a.n + b.n) + {99 + percent}) div {100 + percent}")
     kept = met.where(F.expr(f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)")
                      & (F.col("shared") + F.least("a.crowded", "b.crowded") + behind >= wanted))
-    return kept.select("src", "dst").union(crowd.where("node != hub").select("node", "hub")).distinct()
+    return kept.select("src", "dst").union(crowd.where("joins and node != hub").select("node", "hub")).distinct()
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
